@@ -1,0 +1,64 @@
+"""Left lookup joins that stay balanced when a few keys hold most rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key below the cut holds less than 1/1000 of all rows, whatever the data.
+MAX_HOT_KEYS = 1000
+ROWS_PER_SALT = 2_000_000
+NULL_KEY_SALTS = 1024
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """The most frequent keys and the number of salts each one needs.
+
+    At most ``MAX_HOT_KEYS`` rows, so the result may be broadcast at any data
+    size. Leaving a key out never changes a join result, only its balance.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (
+        counts.filter(F.col("_n") > rows_per_salt)
+        .orderBy(F.desc("_n"), *keys)
+        .limit(MAX_HOT_KEYS)
+        .select(*keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts"))
+    )
+
+
+def salted_lookup(lookup: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Repeat the lookup rows of hot keys once per salt."""
+    marked = lookup.join(F.broadcast(hot), list(keys), "left")
+    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
+    return marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
+
+
+def lookup_join(
+    big: DataFrame,
+    salted: DataFrame,
+    hot: DataFrame,
+    keys: Sequence[str],
+    spread_by: Column,
+) -> DataFrame:
+    """Left join ``big`` with a :func:`salted_lookup` that is unique per key.
+
+    ``spread_by`` decides the salt of a row of a hot key. It is a column of the
+    row, not a random number, so a recomputed task sends rows the same way.
+    Rows with a null key match nothing and are spread as well.
+    """
+    spread = F.xxhash64(spread_by)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    salt = (
+        F.when(no_key, F.pmod(spread, F.lit(NULL_KEY_SALTS)))
+        .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts").cast("long")))
+        .otherwise(F.lit(0))
+        .cast("int")
+    )
+    left = big.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", salt)
+    return left.drop("_salts").join(salted, [*keys, "_salt"], "left").drop("_salt")
