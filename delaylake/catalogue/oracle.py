@@ -219,7 +219,7 @@ select *, arr_c - (nas_c - nasw) as adjusted,
        wd > 0 or nasw > 0 as has_meteo,
        (wd + nasw) / greatest(greatest(adjusted, 0), 1) as ratio
 from (select *, greatest(coalesce(arr, 0), 0) as arr_c, greatest(nas, 0) as nas_c
-      from silver_trips)"""
+      from trips)"""
 PARTS["ths"] = "select unnest([15, 30, 45, 60, 90]) as th"
 PARTS["classes"] = """
 select m.*, cast(th as integer) as th, arr_c >= th as late,
@@ -347,8 +347,8 @@ oracle(
         from silver_trips""",
 )
 _PAIRS = f"""select distinct {_station('WBAN')} as wban, {_int('AirportID')} as airport,
-             {_int('TimeZone')} as tz, {_int('airport_id')} as zone_airport,
-             trim(timezone) as zone from raw_repeated"""
+             {_int('TimeZone')} as tz, {_int('zone_airport')} as zone_airport,
+             trim(zone) as zone from raw_repeated"""
 oracle(
     "dim_dedup",
     f"""select kind, key, a, b from (

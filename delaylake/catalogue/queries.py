@@ -64,6 +64,10 @@ def keyed_trips(spark, sf):
     return trips.with_trip_key(silver_trips(spark, sf))
 
 
+def timed_trips(spark, sf):
+    return timeline.complete_trips(keyed_trips(spark, sf))
+
+
 def bronze_observations(spark, sf):
     return observations.bronze_observations(stand_ins.raw_observations(spark, sf))
 
@@ -74,8 +78,23 @@ def silver_observations(spark, sf):
     )
 
 
+def silver_tables(spark, sf):
+    """Silver trips and observations, written and read back as the stages do.
+
+    Gold plans scan them several times; the tables keep those scans narrow and
+    let the time bounds reach the reader.
+    """
+    folder = files.shared_folder(spark)
+    stored = []
+    for name, df in (("trips", silver_trips(spark, sf)), ("obs", silver_observations(spark, sf))):
+        files.write_table(df, f"{folder}/{name}", ["year", "month"])
+        stored.append(files.read_table(spark, f"{folder}/{name}", df.schema))
+    return stored
+
+
 def joined(spark, sf):
-    return timeline.join_weather(keyed_trips(spark, sf), silver_observations(spark, sf))
+    flown, silver = silver_tables(spark, sf)
+    return timeline.join_weather(trips.with_trip_key(flown), silver, all_trips=flown)
 
 
 def labeled(spark, sf, th=15):
@@ -83,7 +102,7 @@ def labeled(spark, sf, th=15):
 
 
 def all_targets(spark, sf):
-    return stages.gold_targets_direct(silver_trips(spark, sf), silver_observations(spark, sf))
+    return stages.gold_targets_direct(*silver_tables(spark, sf))
 
 
 def slice_features(spark, sf, origin_hours, dest_hours):
@@ -123,12 +142,16 @@ def src_table_roundtrip(spark, sf):
 
 @query
 def dim_dedup(spark, sf):
-    raw = stand_ins.repeated_mapping(spark, sf)
+    repeated = stand_ins.repeated_mapping(spark, sf)
+    raw = repeated.select("WBAN", "AirportID", "TimeZone")
+    zones = repeated.select(
+        "WBAN", F.col("zone_airport").alias("airport_id"), F.col("zone").alias("timezone")
+    )
     parts = {
         "station_offset": (dimensions.station_offsets(raw), "WBAN", "airport_id", "tz_hour"),
         "airport_offset": (dimensions.airport_offsets(raw), "airport_id", "tz_hour", None),
-        "station_zone": (dimensions.station_zones(raw), "WBAN", "airport_id", "timezone"),
-        "airport_zone": (dimensions.airport_zones(raw), "airport_id", "timezone", None),
+        "station_zone": (dimensions.station_zones(zones), "WBAN", "airport_id", "timezone"),
+        "airport_zone": (dimensions.airport_zones(zones), "airport_id", "timezone", None),
     }
     rows = [
         df.select(
@@ -373,10 +396,10 @@ def hourly_obs(spark, sf):
 
 
 def _timeline_rows(spark, sf, prefix):
-    base = trips.unique_trips(timeline.complete_trips(keyed_trips(spark, sf)))
-    silver = silver_observations(spark, sf)
+    flown, silver = silver_tables(spark, sf)
+    base = trips.unique_trips(timeline.complete_trips(trips.with_trip_key(flown)))
     hourly = timeline.hourly_observations(silver)
-    hot = timeline.busy_strips(base)
+    hot = timeline.busy_strips(flown)
     strips = timeline.skew.salted_lookup(
         timeline.weather_strips(hourly), hot, ["airport_id", "day"]
     )
@@ -454,7 +477,8 @@ def _labeled_rows(df):
 
 @query
 def jt_labeled(spark, sf):
-    rows = timeline.labeled_join(keyed_trips(spark, sf), silver_observations(spark, sf), 15)
+    flown, silver = silver_tables(spark, sf)
+    rows = timeline.labeled_join(trips.with_trip_key(flown), silver, 15)
     return _labeled_rows(rows)
 
 
@@ -467,7 +491,7 @@ def label_threshold(spark, sf):
 
 
 def measures(spark, sf):
-    return targets.delay_measures(keyed_trips(spark, sf))
+    return targets.delay_measures(timed_trips(spark, sf))
 
 
 @query
@@ -490,12 +514,12 @@ def class_counts(spark, sf):
 
 @query
 def balanced_keys(spark, sf):
-    return targets.balanced_keys(keyed_trips(spark, sf), [REPORT_TH])
+    return targets.balanced_keys(timed_trips(spark, sf), [REPORT_TH])
 
 
 @query
 def keys_all(spark, sf):
-    return targets.balanced_keys(keyed_trips(spark, sf), seed=targets.GOLD_SEED)
+    return targets.balanced_keys(timed_trips(spark, sf), seed=targets.GOLD_SEED)
 
 
 @query
@@ -528,7 +552,7 @@ def target_sample(spark, sf):
 
 @query
 def target_reattach(spark, sf):
-    keys = targets.balanced_keys(keyed_trips(spark, sf), [REPORT_TH], seed=targets.GOLD_SEED)
+    keys = targets.balanced_keys(timed_trips(spark, sf), [REPORT_TH], seed=targets.GOLD_SEED)
     attached = targets.target_columns(targets.attach_keys(labeled(spark, sf), keys))
     return attached.select(
         "flight_key", "ds", "th", "is_pos", "C", "F.carrier", *_end_summary("o")
@@ -537,17 +561,17 @@ def target_reattach(spark, sf):
 
 @query
 def tau_grid(spark, sf):
-    return ratios.tau_counts(ratios.ratio_measures(keyed_trips(spark, sf)))
+    return ratios.tau_counts(ratios.ratio_measures(timed_trips(spark, sf)))
 
 
 @query
 def tau_one(spark, sf):
-    return ratios.tau_one_counts(ratios.ratio_measures(keyed_trips(spark, sf)))
+    return ratios.tau_one_counts(ratios.ratio_measures(timed_trips(spark, sf)))
 
 
 @query
 def ratio_hist(spark, sf):
-    return ratios.ratio_histogram(ratios.ratio_measures(keyed_trips(spark, sf)))
+    return ratios.ratio_histogram(ratios.ratio_measures(timed_trips(spark, sf)))
 
 
 # ---- quality reports -----------------------------------------------------

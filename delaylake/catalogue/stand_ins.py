@@ -138,8 +138,8 @@ REPEATED_OFFSETS = {
     "WBAN": _padded("s_nationkey * 37 + 3", 5),
     "AirportID": _text("10000 + s_nationkey"),
     "TimeZone": _text("s_suppkey % 7 - 3"),
-    "airport_id": _text("10000 + s_nationkey + s_suppkey % 2"),
-    "timezone": "case s_suppkey % 3 when 0 then 'Asia/Tokyo' when 1 then ' UTC ' else null end",
+    "zone_airport": _text("10000 + s_nationkey + s_suppkey % 2"),
+    "zone": "case s_suppkey % 3 when 0 then 'Asia/Tokyo' when 1 then ' UTC ' else null end",
 }
 
 

@@ -72,11 +72,6 @@ def zone_to_utc(ts: Column, zone: Column) -> Column:
     return F.to_utc_timestamp(ts, F.coalesce(zone, F.lit("UTC")))
 
 
-def hour_number(ts: Column) -> Column:
-    """Hours since the epoch, rounded down."""
-    return F.floor(F.unix_timestamp(ts) / F.lit(HOUR_SECONDS)).cast("long")
-
-
 def hour_start(hour: Column) -> Column:
     return F.timestamp_seconds(hour * HOUR_SECONDS)
 

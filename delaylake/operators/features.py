@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import add, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylake.functions import clock, values
@@ -102,41 +100,36 @@ def flat_features(
     return flat.na.drop("any", subset=REQUIRED)
 
 
-def _end_features(prefix: str, array: str, hours: int) -> list[Column]:
-    points = [F.get(array, F.lit(h)) for h in range(hours)]
+def _end_features(prefix: str, array: str, hours: int) -> list[str]:
+    """SQL of the features of one end."""
 
-    def readings(name: str) -> list[Column]:
-        return [p.getField(f"{prefix}_{name}") for p in points]
+    def readings(name: str) -> list[str]:
+        return [f"get({array}, {h}).{prefix}_{name}" for h in range(hours)]
 
-    def filled(name: str) -> list[Column]:
-        return [F.coalesce(c, F.lit(0.0)) for c in readings(name)]
+    def total(name: str) -> str:
+        return "(" + " + ".join(f"coalesce({r}, 0D)" for r in readings(name)) + ")"
 
-    def total(name: str) -> Column:
-        return reduce(add, filled(name))
-
-    def any_of(tests: list[Column]) -> Column:
-        return reduce(or_, [F.coalesce(t, F.lit(False)) for t in tests]).cast("double")
+    def any_of(name: str, test: str) -> str:
+        tests = " or ".join(f"coalesce({r} {test}, false)" for r in readings(name))
+        return f"cast({tests} as double)"
 
     hourly = []
     for h in range(hours):
         for v in WEATHER_VARIABLES:
-            reading = points[h].getField(f"{prefix}_{v}")
-            hourly.append(F.coalesce(reading, F.lit(0.0)).alias(f"{prefix}_h{h}_{v}"))
-            hourly.append(reading.isNull().cast("double").alias(f"{prefix}_h{h}_{v}_isna"))
+            reading, name = f"get({array}, {h}).{prefix}_{v}", f"{prefix}_h{h}_{v}"
+            hourly.append(f"coalesce({reading}, 0D) as {name}")
+            hourly.append(f"cast({reading} is null as double) as {name}_isna")
     summaries = {
-        "vis_avg": total("vis") / float(hours),
-        "temp_avg": total("tempC") / float(hours),
-        "wind_avg": total("windKt") / float(hours),
+        "vis_avg": f"{total('vis')} / {hours}D",
+        "temp_avg": f"{total('tempC')} / {hours}D",
+        "wind_avg": f"{total('windKt')} / {hours}D",
         "precip_sum": total("precip"),
-        "has_precip": any_of([c > 0 for c in readings("precip")]),
-        "has_heavy_precip": any_of([c >= HEAVY_PRECIP for c in readings("precip")]),
-        "has_low_vis": any_of([c < LOW_VISIBILITY for c in readings("vis")]),
-        **{
-            name: any_of([c.contains(code) for c in readings("wxType")])
-            for name, code in WEATHER_CODES.items()
-        },
+        "has_precip": any_of("precip", "> 0"),
+        "has_heavy_precip": any_of("precip", f">= {HEAVY_PRECIP}D"),
+        "has_low_vis": any_of("vis", f"< {LOW_VISIBILITY}D"),
+        **{n: any_of("wxType", f"like '%{code}%'") for n, code in WEATHER_CODES.items()},
     }
-    return hourly + [c.alias(f"{prefix}_{n}") for n, c in summaries.items()]
+    return hourly + [f"{e} as {prefix}_{n}" for n, e in summaries.items()]
 
 
 def weather_features(flat: DataFrame, origin_hours: int, dest_hours: int) -> DataFrame:
@@ -150,7 +143,7 @@ def weather_features(flat: DataFrame, origin_hours: int, dest_hours: int) -> Dat
         added += _end_features("o", "Wo", origin_hours)
     if dest_hours > 0:
         added += _end_features("d", "Wd", dest_hours)
-    return flat.select("*", *added)
+    return flat.selectExpr("*", *added)
 
 
 def hash_split(

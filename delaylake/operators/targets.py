@@ -101,18 +101,18 @@ def delay_measures(
     )
 
 
-def late(threshold: int) -> Column:
-    return F.col("ARR_DELAY_NEW") >= threshold
+def late(threshold: int | str) -> str:
+    """SQL text; ``threshold`` is a number of minutes or a column name."""
+    return f"ARR_DELAY_NEW >= {threshold}"
 
 
-def positive_rules(threshold: int, tau: float = TAU) -> dict[str, Column]:
-    """Membership of the positives, on the columns of :func:`delay_measures`."""
-    weather, nas = F.col("WEATHER_DELAY"), F.col("NAS_WEATHER_DELAY")
-    explained = F.col("has_meteo") & (F.col("ARR_NASW") > 0) & (F.col("ratio_adj") >= tau)
+def positive_rules(threshold: int | str, tau: float = TAU) -> dict[str, str]:
+    """Membership of the positives, as SQL on the columns of :func:`delay_measures`."""
+    explained = f"has_meteo and ARR_NASW > 0 and ratio_adj >= {tau!r}D"
     return {
-        "D1": late(threshold) & explained,
-        "D2": late(threshold) & ((weather > 0) | (nas >= threshold)),
-        "D3": late(threshold) & ((weather > 0) | (nas > 0)),
+        "D1": f"{late(threshold)} and {explained}",
+        "D2": f"{late(threshold)} and (WEATHER_DELAY > 0 or NAS_WEATHER_DELAY >= {threshold})",
+        "D3": f"{late(threshold)} and (WEATHER_DELAY > 0 or NAS_WEATHER_DELAY > 0)",
         "D4": late(threshold),
     }
 
@@ -125,60 +125,51 @@ def class_counts(
     for th in thresholds:
         named = {
             **{f"cnt_{d.lower()}": rule for d, rule in positive_rules(th, tau).items()},
-            "cnt_neg": ~late(th),
+            "cnt_neg": f"not {late(th)}",
         }
-        sums += [F.count_if(rule).alias(f"{n}_{th}") for n, rule in named.items()]
-        rows.append(
-            F.struct(F.lit(th).alias("th"), *(F.col(f"{n}_{th}").alias(n) for n in named))
-        )
-    return measures.agg(*sums).select(F.inline(F.array(*rows)))
+        sums += [F.expr(f"count_if({rule}) as {n}_{th}") for n, rule in named.items()]
+        rows.append(f"struct({th} as th, {', '.join(f'{n}_{th} as {n}' for n in named)})")
+    return measures.agg(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def negative_shares(counts: DataFrame) -> DataFrame:
-    """One row: map of ``'D1|15'`` to the share of negatives to keep.
+def dataset_grid(counts: DataFrame) -> DataFrame:
+    """One row, one struct: ``cells``, an ``array<struct<ds, th, share>>`` of all
+    datasets and thresholds, and ``largest``, the largest share per threshold.
 
-    The share is positives over negatives, at most 1; without positives no
-    negative is kept either.
+    ``share`` is the part of the negatives to keep: positives over negatives,
+    at most 1; without positives no negative is kept either.
     """
-    entries = []
-    for ds in DATASETS:
-        positives = F.col(f"cnt_{ds.lower()}")
-        share = F.when(positives <= 0, F.lit(0.0)).otherwise(
-            F.least(F.lit(1.0), positives / F.greatest(F.col("cnt_neg"), F.lit(1)))
-        )
-        entries.append(
-            F.struct(F.concat_ws("|", F.lit(ds), F.col("th")).alias("k"), share.alias("v"))
-        )
-    pairs = counts.select(F.inline(F.array(*entries)))
-    return pairs.agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("shares"))
-
-
-def memberships(
-    counted: DataFrame,
-    thresholds: Sequence[int] = THRESHOLDS,
-    tau: float = TAU,
-    seed: int = DEFAULT_SEED,
-) -> Column:
-    """``array<struct<ds, th, is_pos>>`` of the datasets a row belongs to.
+    shares = {
+        ds: f"if(cnt_{ds.lower()} <= 0, 0D, "
+        f"least(1D, cnt_{ds.lower()} / greatest(cnt_neg, 1)))"
+        for ds in DATASETS
+    }
+    cells = ", ".join(f"struct('{d}' as ds, th, {s} as share)" for d, s in shares.items())
+    per_threshold = counts.selectExpr(
+        "th", f"array({cells}) as cells", f"greatest({', '.join(shares.values())}) as top"
+    )
+    return per_threshold.agg(
+        F.expr(
+            "struct(flatten(collect_list(cells)) as cells, "
+            "map_from_entries(collect_list(struct(th, top))) as largest)"
+        ).alias("grid")
+    )
 
-    ``counted`` are the measures of the whole input: its class counts, one row,
-    come in as a scalar subquery. One hash per trip decides all draws, so the
-    negatives of a smaller dataset are also negatives of a larger one.
-    """
-    shares = negative_shares(class_counts(counted, thresholds, tau)).scalar()
-    draw = values.unit_hash(F.col("flight_key"), seed)
 
-    def entry(ds, th, is_pos):
-        return F.struct(
-            F.lit(ds).alias("ds"), F.lit(th).alias("th"), F.lit(is_pos).alias("is_pos")
-        )
+def expand_targets(measures: DataFrame, grid: Column, tau: float, seed: int) -> DataFrame:
+    """One row per trip and dataset it belongs to, with ``ds, th, is_pos``.
 
-    slots = []
-    for th in thresholds:
-        for ds, rule in positive_rules(th, tau).items():
-            kept = ~late(th) & (draw < F.try_element_at(shares, F.lit(f"{ds}|{th}")))
-            slots.append(F.when(rule, entry(ds, th, 1)).when(kept, entry(ds, th, 0)))
-    return F.array_compact(F.array(*slots))
+    ``grid`` is the scalar subquery of :func:`dataset_grid`, a few entries. Each
+    trip meets every entry inside one generated loop and only members leave it;
+    nothing is shuffled. One hash per trip decides all draws, so the negatives
+    of a smaller dataset are also negatives of a larger one.
+    """
+    drawn = measures.withColumn("_draw", values.unit_hash(F.col("flight_key"), seed))
+    met = drawn.select("*", F.inline(grid.getField("cells")))
+    tests = [f"(ds = '{d}' and {rule})" for d, rule in positive_rules("th", tau).items()]
+    tests.append(f"(not {late('th')} and _draw < share)")
+    members = met.filter(" or ".join(tests))
+    return members.withColumn("is_pos", F.expr(f"if({late('th')}, 1, 0)")).drop("_draw", "share")
 
 
 def balanced_keys(
@@ -190,21 +181,10 @@ def balanced_keys(
     """``(flight_key, ds, th, is_pos, C)`` for all datasets and thresholds.
 
     Two scans of the narrow measures in all, one to count and one to draw, for
-    any number of thresholds; nothing is shuffled.
+    any number of thresholds.
     """
-    measures = delay_measures(df)
-    drawn = measures.select(
-        "flight_key",
-        "ARR_DELAY_NEW",
-        F.explode(memberships(measures, thresholds, tau, seed)).alias("m"),
-    )
-    return drawn.select(
-        "flight_key",
-        "m.ds",
-        "m.th",
-        "m.is_pos",
-        F.when(F.col("ARR_DELAY_NEW") >= F.col("m.th"), 1).otherwise(0).alias("C"),
-    )
+    keys = expand_targets(delay_measures(df), target_grid(df, thresholds, tau), tau, seed)
+    return keys.selectExpr("flight_key", "ds", "th", "is_pos", f"if({late('th')}, 1, 0) as C")
 
 
 def attach_keys(joined: DataFrame, keys: DataFrame, with_class: bool = True) -> DataFrame:
@@ -236,46 +216,45 @@ def target_columns(attached: DataFrame) -> DataFrame:
     return attached.select(*TARGET_COLUMNS)
 
 
-def with_memberships(
-    trips: DataFrame,
-    thresholds: Sequence[int] = THRESHOLDS,
-    tau: float = TAU,
-    seed: int = DEFAULT_SEED,
+def target_grid(
+    trips: DataFrame, thresholds: Sequence[int] = THRESHOLDS, tau: float = TAU
+) -> Column:
+    """Scalar subquery of :func:`dataset_grid` over all trips, joined or flat."""
+    return dataset_grid(class_counts(delay_measures(trips), thresholds, tau)).scalar()
+
+
+def trips_in_targets(
+    trips: DataFrame, grid: Column, thresholds: Sequence[int] = THRESHOLDS, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """Silver trips that belong to some dataset, with their ``targets`` array.
+    """Flat trips that belong to at least one dataset.
 
-    Deciding membership before the weather is attached keeps trips in no
-    dataset out of the two wide joins.
+    Applied before the weather is attached, this keeps the other trips out of
+    the two wide joins. D4 holds every late trip, so the lowest threshold
+    covers all positives.
     """
-    counted = delay_measures(trips)
-    packed = trips.select(F.struct(*trips.columns).alias("trip"), *trips.columns)
-    drawn = delay_measures(packed, also_keep=["trip"]).select(
-        "trip", memberships(counted, thresholds, tau, seed).alias("targets")
+    delay = F.greatest(coalesce_paths(trips, ARRIVAL_DELAY, F.lit(0.0)), F.lit(0.0))
+    drawn = trips.withColumns(
+        {"_delay": delay, "_draw": values.unit_hash(key_column(trips), seed)}
     )
-    return drawn.filter(F.size("targets") > 0).select("trip.*", "targets")
+    largest = grid.getField("largest")
+    wanted = F.col("_delay") >= min(thresholds)
+    for th in thresholds:
+        share = F.try_element_at(largest, F.lit(th))
+        wanted = wanted | ((F.col("_delay") < th) & (F.col("_draw") < share))
+    return drawn.filter(wanted).drop("_delay", "_draw")
 
 
-def joined_with_memberships(
-    joined: DataFrame,
-    thresholds: Sequence[int] = THRESHOLDS,
-    tau: float = TAU,
-    seed: int = DEFAULT_SEED,
+def build_targets(
+    joined: DataFrame, grid: Column, tau: float = TAU, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """Labeled joined trips that belong to some dataset, with their ``targets``.
+    """The targets table from labeled joined trips, without joining keys back.
 
-    The counting scan reads fields of ``F`` only; the timelines are read once.
+    Membership follows from a trip's own row and the counts in ``grid``, see
+    :func:`target_grid`. The timelines are read once.
     """
     carried = ["F", "Wo", "Wd", "C", "year", "month"]
-    drawn = delay_measures(joined, also_keep=carried).select(
-        *carried, memberships(delay_measures(joined), thresholds, tau, seed).alias("targets")
-    )
-    return drawn.filter(F.size("targets") > 0)
-
-
-def explode_targets(labeled: DataFrame) -> DataFrame:
-    """One row per trip and dataset, in the layout of the targets table."""
-    rows = labeled.select("*", F.inline("targets"))
-    return rows.withColumn("flight_key", F.col("F.flight_key")).select(*TARGET_COLUMNS)
+    rows = expand_targets(delay_measures(joined, also_keep=carried), grid, tau, seed)
+    return rows.select(*TARGET_COLUMNS)
 
 
 def target_slice(targets: DataFrame, ds: str = "D2", th: int = 60) -> DataFrame:

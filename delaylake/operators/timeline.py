@@ -45,6 +45,12 @@ def point_type(prefix: str = "") -> str:
     return f"struct<{prefix}ts: timestamp, {fields}>"
 
 
+def empty_point(hour: str) -> str:
+    """SQL of a point that knows only its time; ``hour`` counts from the epoch."""
+    nothing = ", ".join(f"cast(null as {t}) as {n}" for n, (_, t) in POINT_FIELDS.items())
+    return f"struct(timestamp_seconds(({hour}) * {clock.HOUR_SECONDS}) as ts, {nothing})"
+
+
 def observation_point(df: DataFrame, prefix: str, time_column: str = "obs_utc") -> Column:
     """Weather point of one observation; columns the frame lacks become null."""
     return F.struct(
@@ -56,6 +62,15 @@ def observation_point(df: DataFrame, prefix: str, time_column: str = "obs_utc")
     )
 
 
+def hour_number(ts: str) -> str:
+    """SQL: hours since the epoch, the same for any session time zone."""
+    return f"(unix_timestamp({ts}) div {clock.HOUR_SECONDS})"
+
+
+def day_number(ts: str) -> str:
+    return f"({hour_number(ts)} div {DAY_HOURS})"
+
+
 def complete_trips(trips: DataFrame) -> DataFrame:
     return trips.filter(F.col("dep_ts_utc").isNotNull() & F.col("arr_ts_utc").isNotNull())
 
@@ -91,21 +106,18 @@ def hourly_observations(
     over a struct: partial aggregation leaves one row per airport, hour and map
     task, and ties fall to station and measures, not to arrival order.
     """
-    hour = clock.hour_number(F.col("obs_utc"))
-    late = F.unix_timestamp("obs_utc") - hour * clock.HOUR_SECONDS
     payload = [
         column_or_null(observations, source, dtype).cast(dtype).alias(name)
         for name, (source, dtype) in POINT_FIELDS.items()
     ]
-    near = observations.filter(late <= tolerance_min * 60).select(
-        "airport_id",
-        hour.alias("hour"),
-        F.struct(
-            late.alias("late_sec"),
-            F.col("WBAN"),
-            F.col("obs_utc"),
-            *payload,
-        ).alias("reading"),
+    timed = observations.withColumns(
+        {
+            "hour": F.expr(hour_number("obs_utc")),
+            "late_sec": F.expr(f"unix_timestamp(obs_utc) % {clock.HOUR_SECONDS}"),
+        }
+    )
+    near = timed.filter(F.col("late_sec") <= tolerance_min * 60).select(
+        "airport_id", "hour", F.struct("late_sec", "WBAN", "obs_utc", *payload).alias("reading")
     )
     best = near.groupBy("airport_id", "hour").agg(F.min("reading").alias("r"))
     return best.select(
@@ -125,47 +137,37 @@ def weather_strips(hourly: DataFrame) -> DataFrame:
     own day and, as lookback, to the next one. At most 36 rows meet in a group
     because the input is unique per airport and hour.
     """
-    own = F.struct(
-        F.floor(F.col("hour") / DAY_HOURS).cast("long").alias("day"),
-        (F.pmod("hour", F.lit(DAY_HOURS)) + LOOKBACK_HOURS).cast("int").alias("slot"),
+    own = f"struct(hour div {DAY_HOURS} as day, hour % {DAY_HOURS} + {LOOKBACK_HOURS} as slot)"
+    next_day = (
+        f"struct(hour div {DAY_HOURS} + 1 as day, hour % {DAY_HOURS} - {LOOKBACK_HOURS} as slot)"
     )
-    next_day = F.struct(
-        (F.floor(F.col("hour") / DAY_HOURS) + 1).cast("long").alias("day"),
-        (F.pmod("hour", F.lit(DAY_HOURS)) - LOOKBACK_HOURS).cast("int").alias("slot"),
+    days = (
+        f"if(hour % {DAY_HOURS} >= {DAY_HOURS - LOOKBACK_HOURS}, "
+        f"array({own}, {next_day}), array({own}))"
     )
-    afternoon = F.pmod("hour", F.lit(DAY_HOURS)) >= DAY_HOURS - LOOKBACK_HOURS
-    placed = hourly.select(
+    placed = hourly.selectExpr(
         "airport_id",
-        F.explode(F.when(afternoon, F.array(own, next_day)).otherwise(F.array(own))).alias("at"),
-        F.struct(F.col("obs_hour").alias("ts"), *POINT_FIELDS).alias("point"),
-    ).select("airport_id", "at.day", "at.slot", "point")
+        f"inline({days})",
+        f"struct(obs_hour as ts, {', '.join(POINT_FIELDS)}) as point",
+    )
     by_slot = placed.groupBy("airport_id", "day").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "point"))).alias("points")
+        F.expr("map_from_entries(collect_list(struct(cast(slot as int), point))) as points")
     )
-    first_hour = F.col("day") * DAY_HOURS - LOOKBACK_HOURS
-    nothing = [F.lit(None).cast(dtype).alias(n) for n, (_, dtype) in POINT_FIELDS.items()]
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(STRIP_POINTS - 1)),
-        lambda slot: F.coalesce(
-            F.try_element_at(F.col("points"), slot),
-            F.struct(clock.hour_start(first_hour + slot).alias("ts"), *nothing),
-        ),
+    slot_hour = f"day * {DAY_HOURS} - {LOOKBACK_HOURS} + slot"
+    dense = (
+        f"transform(sequence(0, {STRIP_POINTS - 1}), slot -> "
+        f"coalesce(try_element_at(points, slot), {empty_point(slot_hour)}))"
     )
-    return by_slot.select("airport_id", "day", dense.alias("strip"))
+    return by_slot.selectExpr("airport_id", "day", f"{dense} as strip")
 
 
 def busy_strips(trips: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT) -> DataFrame:
     """``(airport_id, day)`` pairs that very many trips look up, from one scan."""
-    ends = F.array(
-        *(
-            F.struct(
-                F.col(airport).alias("airport_id"),
-                F.floor(clock.hour_number(F.col(ts)) / DAY_HOURS).cast("long").alias("day"),
-            )
-            for airport, ts in TRIP_ENDS.values()
-        )
+    ends = ", ".join(
+        f"struct({airport} as airport_id, {day_number(ts)} as day)"
+        for airport, ts in TRIP_ENDS.values()
     )
-    lookups = complete_trips(trips).select(F.explode(ends).alias("k")).select("k.*")
+    lookups = complete_trips(trips).selectExpr(f"inline(array({ends}))")
     return skew.hot_keys(lookups, ["airport_id", "day"], rows_per_salt)
 
 
@@ -184,24 +186,20 @@ def attach_timeline(
     """
     airport, ts = TRIP_ENDS[prefix]
     columns = trips.columns
-    keyed = trips.withColumns(
-        {"airport_id": F.col(airport), "_hour": clock.hour_number(F.col(ts))}
-    ).withColumn("day", F.floor(F.col("_hour") / DAY_HOURS).cast("long"))
+    keyed = trips.selectExpr(
+        *columns,
+        f"{airport} as airport_id",
+        f"{day_number(ts)} as day",
+        f"{hour_number(ts)} as _hour",
+    )
     found = skew.lookup_join(
         keyed, salted_strips, hot, ["airport_id", "day"], F.col("flight_key")
     )
-    start = F.pmod("_hour", F.lit(DAY_HOURS)).cast("int") + 1
-    nothing = [F.lit(None).cast(dtype).alias(n) for n, (_, dtype) in POINT_FIELDS.items()]
-    empty = F.transform(
-        F.sequence(F.lit(0), F.lit(LOOKBACK_HOURS)),
-        lambda back: F.struct(
-            clock.hour_start(F.col("_hour") - back).alias("ts"), *nothing
-        ),
-    )
-    points = F.coalesce(F.reverse(F.slice("strip", start, F.lit(POINTS))), empty)
-    return found.select(
-        *columns,
-        points.cast(f"array<{point_type(prefix + '_')}>").alias(ARRAY_NAMES[prefix]),
+    cut = f"reverse(slice(strip, cast(_hour % {DAY_HOURS} + 1 as int), {POINTS}))"
+    empty = f"transform(sequence(0, {LOOKBACK_HOURS}), back -> {empty_point('_hour - back')})"
+    named = f"array<{point_type(prefix + '_')}>"
+    return found.selectExpr(
+        *columns, f"cast(coalesce({cut}, {empty}) as {named}) as {ARRAY_NAMES[prefix]}"
     )
 
 
@@ -230,24 +228,29 @@ def join_weather(
     tolerance_min: int = DEFAULT_TOLERANCE_MIN,
     deduplicate: bool = True,
     rows_per_salt: int = skew.ROWS_PER_SALT,
-    also_keep: tuple[str, ...] = (),
+    all_trips: DataFrame | None = None,
 ) -> DataFrame:
     """Trips with both timelines, ``Wo`` and ``Wd``.
 
     The strips, their salted copies and their shuffle are the same for both
     ends, so Spark computes them once. ``deduplicate=False`` saves a shuffle
     when ``flight_key`` is known to be unique.
+
+    ``all_trips`` is the stored table ``trips`` was selected from, if any. The
+    time bounds and the busy keys then come from narrow scans of that table;
+    both may cover more than ``trips`` without changing the result.
     """
-    needed = complete_trips(trips).select(*JT_TRIP_COLUMNS, *also_keep)
+    profiled = trips if all_trips is None else all_trips
+    needed = complete_trips(trips).select(*JT_TRIP_COLUMNS)
     base = unique_trips(needed) if deduplicate else needed
-    hourly = hourly_observations(within_trip_times(observations, trips), tolerance_min)
-    hot = busy_strips(trips, rows_per_salt)
+    hourly = hourly_observations(within_trip_times(observations, profiled), tolerance_min)
+    hot = busy_strips(profiled, rows_per_salt)
     strips = skew.salted_lookup(weather_strips(hourly), hot, ["airport_id", "day"])
     with_origin = attach_timeline(base, strips, hot, "o")
     return attach_timeline(with_origin, strips, hot, "d")
 
 
-def label_trips(joined: DataFrame, threshold_min: int, also_keep: tuple[str, ...] = ()) -> DataFrame:
+def label_trips(joined: DataFrame, threshold_min: int) -> DataFrame:
     """Pack the trip into struct ``F`` and label it late (``C = 1``) or not.
 
     An unknown delay counts as not late.
@@ -268,9 +271,7 @@ def label_trips(joined: DataFrame, threshold_min: int, also_keep: tuple[str, ...
         F.col("NAS_WEATHER_DELAY").alias("nas_weather_delay"),
         "flight_key",
     )
-    return joined.select(
-        packed.alias("F"), "Wo", "Wd", late.alias("C"), "year", "month", *also_keep
-    )
+    return joined.select(packed.alias("F"), "Wo", "Wd", late.alias("C"), "year", "month")
 
 
 def labeled_join(

@@ -25,8 +25,18 @@ from delaylake.operators.observations import (
     silver_observations,
     station_join_loss,
 )
-from delaylake.operators.timeline import join_weather, label_trips
-from delaylake.operators.trips import bronze_trips, clean_trips, with_trip_key
+from delaylake.operators.timeline import (
+    JT_TRIP_COLUMNS,
+    complete_trips,
+    join_weather,
+    label_trips,
+)
+from delaylake.operators.trips import (
+    bronze_trips,
+    clean_trips,
+    unique_trips,
+    with_trip_key,
+)
 from delaylake.sources import files
 
 
@@ -115,7 +125,8 @@ def gold_joined(
     trips: DataFrame, observations: DataFrame, thresholds: Sequence[int] = targets.THRESHOLDS
 ) -> DataFrame:
     """Joined trips, labeled at the first threshold."""
-    return label_trips(join_weather(with_trip_key(trips), observations), thresholds[0])
+    keyed = with_trip_key(trips)
+    return label_trips(join_weather(keyed, observations, all_trips=trips), thresholds[0])
 
 
 def gold_targets(
@@ -129,9 +140,8 @@ def gold_targets(
     The membership of a trip follows from its own row and 25 counts, so no key
     table has to be joined back.
     """
-    return targets.explode_targets(
-        targets.joined_with_memberships(joined, thresholds, tau, seed)
-    )
+    grid = targets.target_grid(joined, thresholds, tau)
+    return targets.build_targets(joined, grid, tau, seed)
 
 
 def gold_targets_direct(
@@ -141,13 +151,16 @@ def gold_targets_direct(
     tau: float = targets.TAU,
     seed: int = targets.GOLD_SEED,
 ) -> DataFrame:
-    """The same targets without storing the joined trips.
+    """The same targets of silver tables, without storing the joined trips.
 
     Weather is attached only to trips that belong to some dataset.
     """
-    chosen = targets.with_memberships(with_trip_key(trips), thresholds, tau, seed)
-    joined = join_weather(chosen, observations, also_keep=("targets",))
-    return targets.explode_targets(label_trips(joined, thresholds[0], ("targets",)))
+    keyed = with_trip_key(trips)
+    timed = unique_trips(complete_trips(keyed).select(*JT_TRIP_COLUMNS))
+    grid = targets.target_grid(timed, thresholds, tau)
+    chosen = targets.trips_in_targets(timed, grid, thresholds, seed)
+    joined = join_weather(chosen, observations, deduplicate=False, all_trips=trips)
+    return targets.build_targets(label_trips(joined, thresholds[0]), grid, tau, seed)
 
 
 def raw_mapping(spark: SparkSession, raw: RawInputs) -> DataFrame:
