@@ -280,7 +280,7 @@ def _end_features(prefix: str, hours: int) -> str:
     columns = []
     for h in range(hours):
         for v in WEATHER_VARIABLES:
-            columns.append(f"{_rounded(f'coalesce({at(h, v)}, 0)')} as {prefix}_h{h}_{v}")
+            columns.append(f"coalesce({at(h, v)}, 0) as {prefix}_h{h}_{v}")
             columns.append(
                 f"case when {at(h, v)} is null then 1 else 0 end::double as {prefix}_h{h}_{v}_isna"
             )
@@ -296,7 +296,7 @@ def _end_features(prefix: str, hours: int) -> str:
         "has_sn": seen("wxType like '%SN%'"),
         "has_fg": seen("wxType like '%FG%'"),
     }
-    columns += [f"{_rounded(e)} as {prefix}_{n}" for n, e in summaries.items()]
+    columns += [f"{e} as {prefix}_{n}" for n, e in summaries.items()]
     return (
         f"select flight_key as end_key, {', '.join(columns)} "
         f"from points_{prefix} group by flight_key"
@@ -756,7 +756,12 @@ oracle(
 # ---- features and models -------------------------------------------------
 
 oracle("flat_features", "select * from flat")
-oracle("wx_features", f"select flight_key, label, {', '.join(_FEATURES)} from features")
+oracle(
+    "wx_features",
+    "select flight_key, label, "
+    + ", ".join(f"{_rounded(n)} as {n}" for n in _FEATURES)
+    + " from features",
+)
 oracle(
     "train_test_split",
     """select flight_key, label,

@@ -399,11 +399,9 @@ def _timeline_rows(spark, sf, prefix):
     flown, silver = silver_tables(spark, sf)
     base = trips.unique_trips(timeline.complete_trips(trips.with_trip_key(flown)))
     hourly = timeline.hourly_observations(silver)
-    hot = timeline.busy_strips(flown)
-    strips = timeline.skew.salted_lookup(
-        timeline.weather_strips(hourly), hot, ["airport_id", "day"]
+    with_points = timeline.attach_timeline(
+        base, timeline.weather_strips(hourly), prefix, timeline.busy_strips(flown)
     )
-    with_points = timeline.attach_timeline(base, strips, hot, prefix)
     points = with_points.select(
         "flight_key", F.posexplode(timeline.ARRAY_NAMES[prefix]).alias("pos", "p")
     )

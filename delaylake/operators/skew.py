@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key below the cut holds less than 1/1000 of all rows, whatever the data.
+# At most this many keys are treated as hot. Any other key holds less than
+# 1/1000 of all rows, whatever the data, and needs no salt.
 MAX_HOT_KEYS = 1000
 ROWS_PER_SALT = 2_000_000
 NULL_KEY_SALTS = 1024
@@ -30,35 +33,39 @@ def hot_keys(
     )
 
 
-def salted_lookup(lookup: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Repeat the lookup rows of hot keys once per salt."""
-    marked = lookup.join(F.broadcast(hot), list(keys), "left")
-    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
-    return marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
+def pinned(hot: DataFrame) -> DataFrame | None:
+    """Run the count once and keep its few rows in the plan; None when there are none."""
+    rows = hot.collect()
+    return hot.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def lookup_join(
     big: DataFrame,
-    salted: DataFrame,
-    hot: DataFrame,
+    lookup: DataFrame,
     keys: Sequence[str],
-    spread_by: Column,
+    hot: DataFrame | None,
+    spread_by: str,
 ) -> DataFrame:
-    """Left join ``big`` with a :func:`salted_lookup` that is unique per key.
+    """Left join ``big`` with a ``lookup`` that is unique per key.
 
-    ``spread_by`` decides the salt of a row of a hot key. It is a column of the
-    row, not a random number, so a recomputed task sends rows the same way.
-    Rows with a null key match nothing and are spread as well.
+    Without hot keys this is a plain left join. Rows of a hot key are spread
+    over its salts and its lookup row is repeated once per salt. ``spread_by``
+    decides the salt; it is a column and not a random number, so a recomputed
+    task sends its rows the same way. Rows with a null key match nothing and
+    are spread as well.
     """
-    spread = F.xxhash64(spread_by)
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    salt = (
-        F.when(no_key, F.pmod(spread, F.lit(NULL_KEY_SALTS)))
-        .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts").cast("long")))
-        .otherwise(F.lit(0))
-        .cast("int")
+    if hot is None:
+        return big.join(lookup, list(keys), "left")
+    few = F.broadcast(hot)
+    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
+    repeated = (
+        lookup.join(few, list(keys), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+        .drop("_salts")
+    )
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    salts = F.when(no_key, NULL_KEY_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = big.join(few, list(keys), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")
     )
-    left = big.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", salt)
-    return left.drop("_salts").join(salted, [*keys, "_salt"], "left").drop("_salt")
+    return salted.drop("_salts").join(repeated, [*keys, "_salt"], "left").drop("_salt")

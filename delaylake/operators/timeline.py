@@ -77,7 +77,7 @@ def complete_trips(trips: DataFrame) -> DataFrame:
 
 def trip_bounds(trips: DataFrame) -> DataFrame:
     """One row: 12 hours before the first departure, 12 after the last arrival."""
-    half_day = F.make_dt_interval(hours=F.lit(LOOKBACK_HOURS))
+    half_day = F.expr(f"interval {LOOKBACK_HOURS} hours")
     return complete_trips(trips).agg(
         (F.min("dep_ts_utc") - half_day).alias("min_ts"),
         (F.max("arr_ts_utc") + half_day).alias("max_ts"),
@@ -87,13 +87,22 @@ def trip_bounds(trips: DataFrame) -> DataFrame:
 def within_trip_times(observations: DataFrame, trips: DataFrame) -> DataFrame:
     """Observations no trip can refer to are cut at the scan.
 
-    The bounds are scalar subqueries, which reach the Parquet reader as pushed
-    filters. Without any trip the bounds are open.
+    The bounds, one row, are fetched first and enter the plan as literals: they
+    reach the file reader and, where the table is split by ``year``, skip whole
+    partitions. Without any trip nothing is cut.
     """
-    bounds = trip_bounds(trips)
-    low = bounds.select(F.coalesce("min_ts", F.to_timestamp(F.lit("0001-01-01")))).scalar()
-    high = bounds.select(F.coalesce("max_ts", F.to_timestamp(F.lit("9999-12-31")))).scalar()
-    return observations.filter(F.col("obs_utc").between(low, high))
+    low, high = trip_bounds(trips).select(
+        F.date_format("min_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        F.date_format("max_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    ).first()
+    if low is None or high is None:
+        return observations
+    kept = observations.filter(
+        f"obs_utc between timestamp'{low}' and timestamp'{high}'"
+    )
+    if "year" in observations.columns:
+        kept = kept.filter(f"year between {int(low[:4])} and {int(high[:4])}")
+    return kept
 
 
 def hourly_observations(
@@ -161,14 +170,16 @@ def weather_strips(hourly: DataFrame) -> DataFrame:
     return by_slot.selectExpr("airport_id", "day", f"{dense} as strip")
 
 
-def busy_strips(trips: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT) -> DataFrame:
+def busy_strips(
+    trips: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT
+) -> DataFrame | None:
     """``(airport_id, day)`` pairs that very many trips look up, from one scan."""
     ends = ", ".join(
         f"struct({airport} as airport_id, {day_number(ts)} as day)"
         for airport, ts in TRIP_ENDS.values()
     )
     lookups = complete_trips(trips).selectExpr(f"inline(array({ends}))")
-    return skew.hot_keys(lookups, ["airport_id", "day"], rows_per_salt)
+    return skew.pinned(skew.hot_keys(lookups, ["airport_id", "day"], rows_per_salt))
 
 
 TRIP_ENDS = {
@@ -178,7 +189,7 @@ TRIP_ENDS = {
 
 
 def attach_timeline(
-    trips: DataFrame, salted_strips: DataFrame, hot: DataFrame, prefix: str
+    trips: DataFrame, strips: DataFrame, prefix: str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Add the 13 points up to the hour of departure (``o``) or arrival (``d``).
 
@@ -192,9 +203,7 @@ def attach_timeline(
         f"{day_number(ts)} as day",
         f"{hour_number(ts)} as _hour",
     )
-    found = skew.lookup_join(
-        keyed, salted_strips, hot, ["airport_id", "day"], F.col("flight_key")
-    )
+    found = skew.lookup_join(keyed, strips, ["airport_id", "day"], hot, "flight_key")
     cut = f"reverse(slice(strip, cast(_hour % {DAY_HOURS} + 1 as int), {POINTS}))"
     empty = f"transform(sequence(0, {LOOKBACK_HOURS}), back -> {empty_point('_hour - back')})"
     named = f"array<{point_type(prefix + '_')}>"
@@ -232,8 +241,8 @@ def join_weather(
 ) -> DataFrame:
     """Trips with both timelines, ``Wo`` and ``Wd``.
 
-    The strips, their salted copies and their shuffle are the same for both
-    ends, so Spark computes them once. ``deduplicate=False`` saves a shuffle
+    The strips and their shuffle are the same for both ends, so Spark computes
+    them once. ``deduplicate=False`` saves a shuffle
     when ``flight_key`` is known to be unique.
 
     ``all_trips`` is the stored table ``trips`` was selected from, if any. The
@@ -245,9 +254,8 @@ def join_weather(
     base = unique_trips(needed) if deduplicate else needed
     hourly = hourly_observations(within_trip_times(observations, profiled), tolerance_min)
     hot = busy_strips(profiled, rows_per_salt)
-    strips = skew.salted_lookup(weather_strips(hourly), hot, ["airport_id", "day"])
-    with_origin = attach_timeline(base, strips, hot, "o")
-    return attach_timeline(with_origin, strips, hot, "d")
+    strips = weather_strips(hourly)
+    return attach_timeline(attach_timeline(base, strips, "o", hot), strips, "d", hot)
 
 
 def label_trips(joined: DataFrame, threshold_min: int) -> DataFrame:
