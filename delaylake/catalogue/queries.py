@@ -79,17 +79,14 @@ def silver_observations(spark, sf):
 
 
 def silver_tables(spark, sf):
-    """Silver trips and observations, written and read back as the stages do.
+    """Silver trips, written and read back as the stages do, and observations.
 
-    Gold plans scan them several times; the tables keep those scans narrow and
-    let the time bounds reach the reader.
+    Gold plans scan the trips several times and the stored table keeps those
+    scans narrow. The observations are scanned once and stay lazy.
     """
-    folder = files.shared_folder(spark)
-    stored = []
-    for name, df in (("trips", silver_trips(spark, sf)), ("obs", silver_observations(spark, sf))):
-        files.write_table(df, f"{folder}/{name}", ["year", "month"])
-        stored.append(files.read_table(spark, f"{folder}/{name}", df.schema))
-    return stored
+    path, flown = files.shared_folder(spark), silver_trips(spark, sf)
+    files.write_table(flown, path, ["year", "month"])
+    return files.read_table(spark, path, flown.schema), silver_observations(spark, sf)
 
 
 def joined(spark, sf):

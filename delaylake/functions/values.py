@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 
 def real_number(c: Column) -> Column:
-    """Double, or null for text that is no number (``M``, blank)."""
-    return c.try_cast("double")
+    """Double, or null for text that is no number (``M``, blank).
+
+    Text without a digit (or the ``n`` of ``NaN`` and ``inf``) is sorted out
+    first: a failing cast raises and catches an exception for every value.
+    """
+    return F.when(c.rlike("[0-9nN]"), c.try_cast("double"))
 
 
 def whole_number(c: Column) -> Column:
     """Int through double, so that ``0.00`` reads as 0."""
-    return c.try_cast("double").try_cast("int")
+    return real_number(c).try_cast("int")
 
 
 def station_id(c: Column) -> Column:

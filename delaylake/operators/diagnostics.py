@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.operators.quality import long_form
@@ -111,12 +111,25 @@ def feature_variances(features: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def variance_extremes(variances: DataFrame, n: int = 20) -> DataFrame:
-    """Top and bottom ``n`` features and how many do not vary at all."""
-    top = variances.orderBy(F.desc("variance"), "feature").limit(n)
-    bottom = variances.orderBy("variance", F.desc("feature")).limit(n)
-    return top.withColumn("end", F.lit("top")).unionByName(
-        bottom.withColumn("end", F.lit("bottom"))
+    """Top and bottom ``n`` features, from one evaluation of the variances.
+
+    The window has no partition: its rows are the features, a few hundred.
+    """
+    ranking = Window.orderBy(F.desc("variance"), "feature")
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = variances.withColumns(
+        {
+            "place": F.row_number().over(ranking),
+            "features": F.count(F.lit(1)).over(everything.orderBy(F.lit(1))),
+        }
+    )
+    ends = F.array_compact(
+        F.array(
+            F.when(F.col("place") <= n, "top"),
+            F.when(F.col("place") > F.col("features") - n, "bottom"),
+        )
     )
+    return ranked.select("feature", "variance", F.explode(ends).alias("end"))
 
 
 def variance_counts(variances: DataFrame) -> DataFrame:

@@ -60,11 +60,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType | str | None = None
+    spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame:
-    """Read a stage table. Give the schema to keep ``month`` as text (``'01'``)."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """Read a stage table.
+
+    Give the schema to keep ``month`` as text (``'01'``) and the column order;
+    partition columns would otherwise be typed by their values and come last.
+    """
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def write_table(
@@ -103,8 +108,9 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a session without that setting, as in tests, gets a local folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="delaylake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or tempfile.mkdtemp(prefix="delaylake-")
+    )
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -22,7 +22,9 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    from delaylake.session import tune
+
+    yield tune(session)
     session.stop()
 
 
