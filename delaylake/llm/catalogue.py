@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylake.llm import sharding, urls, warc
+from delaylake.llm import decontamination, licenses, sharding, simhash, urls, warc
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -21,24 +21,39 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents")).drop("spans")
+
+
 def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, rule string")
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return urls.judge(pages, rules).drop("url")
 
 
+def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.dedup_classes(_table(spark, sf, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf, "pages"))
 
 
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return sharding.shard(docs, SHARDS).selectExpr("*", "cast(null as int) as grown_shard")
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
+    "op6_simhash": op6_simhash,
     "op8_warc": op8_warc,
+    "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }
 
