@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylake.llm import decontamination, licenses, sharding, simhash, urls, warc
+from delaylake.llm import decontamination, licenses, quality, sharding, simhash, urls, warc
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -31,6 +31,10 @@ def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(pages, rules).drop("url")
 
 
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judged(_table(spark, sf, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.dedup_classes(_table(spark, sf, "documents"))
 
@@ -51,6 +55,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
+    "op4_quality_rules": op4_quality_rules,
     "op6_simhash": op6_simhash,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
