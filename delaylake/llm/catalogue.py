@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylake.llm import decontamination, licenses, quality, sharding, simhash, urls, warc
+from delaylake.llm import decontamination, licenses, pieces, quality, sharding, simhash, substrings, urls, warc
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -21,6 +21,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.digest(_table(spark, sf, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(_table(spark, sf, "documents")).drop("spans")
 
@@ -39,6 +43,10 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.dedup_classes(_table(spark, sf, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.deduplicated(_table(spark, sf, "documents")).drop("th", "kept_text")
+
+
 def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf, "pages"))
 
@@ -53,10 +61,12 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,

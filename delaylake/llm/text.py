@@ -38,7 +38,9 @@ def powers(n: int) -> np.ndarray:
     if len(_POW) < n:
         size = max(n, 2 * len(_POW))
         with np.errstate(over="ignore"):
-            _POW = np.cumprod(np.concatenate(([1], np.full(size - 1, _ODD))).astype(np.uint64))
+            factors = np.full(size, _ODD)
+            factors[0] = 1
+            _POW = np.cumprod(factors, dtype=np.uint64)
     return _POW[:n]
 
 
