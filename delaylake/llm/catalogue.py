@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylake.llm import decontamination, licenses, pieces, quality, sharding, simhash, substrings, urls, warc
+from delaylake.llm import decontamination, katz, licenses, pieces, quality, sharding, simhash, substrings, urls, warc
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -39,6 +39,10 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judged(_table(spark, sf, "documents"))
 
 
+def op5_katz(spark: SparkSession, sf: str) -> DataFrame:
+    return katz.score(_table(spark, sf, "documents"), katz.training())
+
+
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.dedup_classes(_table(spark, sf, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_katz": op5_katz,
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_warc": op8_warc,
