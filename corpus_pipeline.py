@@ -1,12 +1,49 @@
-"""The corpus pipeline: each stage reads what the one before it wrote."""
+"""The corpus pipeline: quality rules, near-duplicates, repeated strings, benchmark leaks, tokens.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it
+kept. All but the last return the columns of ``docs``; the last adds the token
+ids and whether they decode to the text. The surprising rows (nulls, empty and
+very long texts, repeated rows, extra columns) are defined in the docstrings of
+the operators; an empty table passes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from delaylake.llm import decontamination, pieces, quality, simhash, substrings
 from delaylake.llm.store import stored
 
-STAGES = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = simhash.near_duplicates(docs)
+    return judged.where("keep").select(*docs.columns)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.clean(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encode(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("repeated strings", repeated_strings),
+    ("benchmark leaks", benchmark_leaks),
+    ("tokens", tokens),
+]
+#: No SQL: three stages cannot be put in SQL. The tests compare with brute force.
 ORACLE_SQL = None
 
 

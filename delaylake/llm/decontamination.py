@@ -118,7 +118,16 @@ def _literal_enough(k: int):
     return least
 
 
-LEAK = "doc_id long, item_id long, start_word long, stop_word long, share double, kind string"
+LEAK = "doc_id long, th long, item_id long, start_word long, stop_word long, share double, kind string"
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has no leak."""
+    body = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    found = stored(_leaks(docs, benchmark, WINDOW, MIN_SHARE, MIN_CONSISTENT).select("doc_id", "th").distinct())
+    rows = docs.select(F.struct("*").alias("doc"), body.alias("th")).alias("d")
+    on = F.expr("cast(d.doc.doc_id as long) <=> l.doc_id and d.th = l.th")
+    return rows.join(found.alias("l"), on, "left_anti").select("doc.*")
 
 
 def leaks(
@@ -129,6 +138,16 @@ def leaks(
     consistent: float = MIN_CONSISTENT,
 ) -> DataFrame:
     """(doc_id, item_id, start_word, stop_word, share, kind) of every leak; kind is verbatim or changed."""
+    best = F.max(F.struct("share", "start_word", "stop_word", "kind"))
+    return (
+        _leaks(docs, benchmark, window, least, consistent)
+        .groupBy("doc_id", "item_id")
+        .agg(best.alias("b"))
+        .select("doc_id", "item_id", "b.start_word", "b.stop_word", "b.share", "b.kind")
+    )
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: float, consistent: float) -> DataFrame:
     texts = diagonals.keyed(docs)
     items = stored(
         diagonals.keyed(benchmark.select(F.col("item_id").alias("doc_id"), "text")).where("doc_id is not null").distinct()
@@ -153,13 +172,7 @@ def leaks(
         asked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("item", "asked", "start", "stop")).alias("spans"))
     )
     again = texts.alias("d").join(found.alias("w"), F.expr("d.doc_id <=> w.doc_id and d.th = w.th"))
-    aligned = again.select("d.doc_id", "d.text", "w.spans").mapInArrow(_aligned(least, consistent), LEAK)
-    best = F.max(F.struct("share", "start_word", "stop_word", "kind"))
-    return (
-        aligned.groupBy("doc_id", "item_id")
-        .agg(best.alias("b"))
-        .select("doc_id", "item_id", "b.start_word", "b.stop_word", "b.share", "b.kind")
-    )
+    return again.select("d.doc_id", "d.th", "d.text", "w.spans").mapInArrow(_aligned(least, consistent), LEAK)
 
 
 def _sizes(items: DataFrame) -> DataFrame:
@@ -186,6 +199,7 @@ def _aligned(least: float, consistent: float):
         schema = pa.schema(
             [
                 ("doc_id", pa.int64()),
+                ("th", pa.int64()),
                 ("item_id", pa.int64()),
                 ("start_word", pa.int64()),
                 ("stop_word", pa.int64()),
@@ -196,7 +210,7 @@ def _aligned(least: float, consistent: float):
         known: dict[str, tuple] = {}
         for batch in batches:
             out = []
-            for doc_id, body, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, th, body, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = _one(body)
                 for s in spans:
                     if len(known) > 10_000:
@@ -204,7 +218,7 @@ def _aligned(least: float, consistent: float):
                     item = known.get(s["asked"]) or known.setdefault(s["asked"], _one(s["asked"]))
                     row = _compared(item, text, s["start"], s["stop"], least, consistent)
                     if row:
-                        out.append({"doc_id": doc_id, "item_id": s["item"]} | row)
+                        out.append({"doc_id": doc_id, "th": th, "item_id": s["item"]} | row)
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run

@@ -248,3 +248,9 @@ def _concentrated(fit: DataFrame, model: DataFrame) -> DataFrame:
         for j in range(i + 1)
     }
     return _factored(sums.withColumns(mean | scatter))
+
+
+def clean(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep."""
+    row = docs.select(F.struct("*").alias("__doc"), "text", "lang", "source")
+    return judged(row, keep=("__doc",)).where("kept").select("__doc.*")

@@ -34,13 +34,16 @@ FRONTIER = 1 << 18
 BUFFER = 1 << 16
 
 
-def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
-    """The 64-bit fingerprint of each text of a slice."""
+def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, words64: int = 1) -> np.ndarray:
+    """Fingerprints of each text of a slice: a column of 64 bits for each of ``words64`` hash functions.
+
+    The first hash is the XXH64 of a shingle, further ones are bijections of it.
+    """
     low = tx.LOWER[data]
     starts, ends, first = tx.spans(low, offsets, tx.NOT_SPACE)
     rows = len(offsets) - 1
     if not len(starts):
-        return np.zeros(rows, np.uint64)
+        return np.zeros((rows, words64), np.uint64)
     lengths = ends - starts
     at = tx.within(starts, lengths + 1)
     joined = low[np.minimum(at, len(low) - 1)]
@@ -58,15 +61,19 @@ def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np
         np.uint64,
         len(head),
     )
-    ones = np.zeros((rows, BITS), np.int64)
     owner = np.repeat(np.arange(rows), count)
-    for i in range(0, len(h), 1 << 17):
-        part, who = h[i : i + (1 << 17)], owner[i : i + (1 << 17)]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        cut = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
-        ones[who[cut]] += np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
-    over = (2 * ones > count[:, None]).astype(np.uint8)
-    return np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
+    out = np.empty((rows, words64), np.uint64)
+    for k in range(words64):
+        own = tx.mix(h + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) if k else h
+        ones = np.zeros((rows, BITS), np.int64)
+        for i in range(0, len(h), 1 << 17):
+            part, who = own[i : i + (1 << 17)], owner[i : i + (1 << 17)]
+            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            cut = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+            ones[who[cut]] += np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
+        over = (2 * ones > count[:, None]).astype(np.uint8)
+        out[:, k] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
+    return out
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -75,7 +82,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep: tu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [fingerprint_slice(d, o, shingle) for _, _, d, o in tx.slices(batch.column(len(keep)))]
+            parts = [fingerprint_slice(d, o, shingle)[:, 0] for _, _, d, o in tx.slices(batch.column(len(keep)))]
             fp = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(fp.view(np.int64))], names=[*keep, "fp"])
@@ -84,11 +91,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep: tu
     return docs.select(*keep, text).mapInArrow(run, schema)
 
 
-def trie_pairs(values: np.ndarray, budget: int, fixed: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(values: np.ndarray, budget: int, fixed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of sorted distinct 64-bit values that differ in at most ``budget`` bits, none of
-    them among the first ``fixed``."""
+    them among the first ``fixed``; in portions."""
     n = len(values)
-    left, right = [], []
     stack = list(_roots(values, fixed)) if n > 1 else []
     while stack:
         depth, a, b, errors = stack.pop()
@@ -101,9 +107,7 @@ def trie_pairs(values: np.ndarray, budget: int, fixed: int) -> tuple[np.ndarray,
         if depth >= BITS:
             small[:] = True
         if small.any():
-            i, j = _met(values, (a[0][small], a[1][small]), (b[0][small], b[1][small]), budget)
-            left.append(i)
-            right.append(j)
+            yield _met(values, (a[0][small], a[1][small]), (b[0][small], b[1][small]), budget)
             a, b, errors = (a[0][~small], a[1][~small]), (b[0][~small], b[1][~small]), errors[~small]
         if not len(errors):
             continue
@@ -126,8 +130,6 @@ def trie_pairs(values: np.ndarray, budget: int, fixed: int) -> tuple[np.ndarray,
         if sum(map(len, total)):
             cat = np.concatenate
             stack.append((depth + 1, (cat(lows), cat(highs)), (cat(lows2), cat(highs2)), cat(total)))
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
 def _roots(values: np.ndarray, fixed: int):
@@ -214,17 +216,17 @@ def _linked(rows: np.ndarray, budget: int, blocks: int, width: int) -> Iterator[
         own = np.unique(rows[1][rows[0] >> width == block].view(np.uint64))
         turned = _rotated(own, block, width)
         order = np.argsort(turned)
-        i, j = trie_pairs(turned[order], budget, width)
-        a, b = own[order[i]], own[order[j]]
-        # A pair counts in the first block in which it agrees.
-        first = np.ones(len(a), bool)
-        for earlier in range(block):
-            first &= ((a ^ b) << np.uint64(earlier * width)) >> np.uint64(BITS - width) != 0
-        a, b = a[first], b[first]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b).view(np.int64)), pa.array(np.maximum(a, b).view(np.int64))],
-            names=["a", "b"],
-        )
+        for i, j in trie_pairs(turned[order], budget, width):
+            a, b = own[order[i]], own[order[j]]
+            # A pair counts in the first block in which it agrees.
+            first = np.ones(len(a), bool)
+            for earlier in range(block):
+                first &= ((a ^ b) << np.uint64(earlier * width)) >> np.uint64(BITS - width) != 0
+            a, b = a[first], b[first]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b).view(np.int64)), pa.array(np.maximum(a, b).view(np.int64))],
+                names=["a", "b"],
+            )
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -274,3 +276,131 @@ def dedup_classes(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFra
     return classes(prints, budget).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: Wide fingerprints for documents that share four fifths of their shingles: such pairs differ in
+#: about 15 of 100 bits, too many for the blocks of a short fingerprint.
+WIDE = 7
+KEY = 32
+KEY_ERRORS = 3
+PREFIX = 8
+#: Of 448 bits. Pairs with a similarity of 0.8 differ in 68 on average, with a deviation of 7.6.
+WIDE_BUDGET = 84
+
+
+def _wide_edges(group: int, ids: np.ndarray, fps: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links in one group: fingerprints with an equal prefix of one key."""
+    key = _wide_key(fps, group >> PREFIX)
+    order = np.argsort(key, kind="stable")
+    key, ids, fps = key[order], ids[order], fps[order]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    label = np.arange(len(ids))
+
+    def join(i: np.ndarray, j: np.ndarray) -> None:
+        nonlocal label
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+        near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= budget
+        pairs = np.unique(np.stack([label[i[near]], label[j[near]]], axis=1), axis=0)
+        if not len(pairs):
+            return
+        root = {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        for a, b in pairs.tolist():
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+        table = np.arange(len(ids))
+        for x in list(root):
+            table[x] = find(x)
+        label = table[label]
+
+    # Equal keys: each with the first and with the one before.
+    rest = np.setdiff1d(np.arange(len(ids)), head)
+    first = np.repeat(head, np.diff(np.append(head, len(ids))))
+    join(first[rest], rest)
+    join(rest - 1, rest)
+    for i, j in trie_pairs(key[head].astype(np.uint64) << np.uint64(BITS - KEY), KEY_ERRORS, PREFIX):
+        join(head[i], head[j])
+    member = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[label[member]], ids[member]
+
+
+def _wide_key(fps: np.ndarray, number: int) -> np.ndarray:
+    """32 bits of the fingerprint from bit 16 * number on, around the end."""
+    word, part = divmod(number, 4)
+    here, after = fps[:, word], fps[:, (word + 1) % fps.shape[1]]
+    shift = np.uint64(16 * part)
+    both = here >> shift
+    if part == 3:
+        both = both | (after << np.uint64(16))
+    return (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
+    """The rows of ``docs``, and ``keep``: true for one row of each class of near-duplicates.
+
+    Wide fingerprints are dealt by 28 keys of 32 bits each; in a group, tries
+    over the keys give the candidates, which the whole fingerprint confirms.
+    A group hands on a spanning forest of its links, so large classes stay
+    linear. The row with the least doc_id stays; null ids come last.
+    """
+    rows = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("id")))
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [fingerprint_slice(d, o, shingle, WIDE) for _, _, d, o in tx.slices(batch.column(1))]
+            fps = np.concatenate(parts) if parts else np.zeros((0, WIDE), np.uint64)
+            raw = [fp.tobytes() for fp in fps]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "fp"])
+
+    prints = stored(rows.select("id", "doc.text").mapInArrow(wide, "id long, fp binary"))
+    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(0)
+            fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(-1, WIDE)
+            for number in range(4 * WIDE):
+                group = (number << PREFIX) + (_wide_key(fps, number) >> np.uint32(KEY - PREFIX)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(group), batch.column(1), raw], names=["group", "first", "fp"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, fps = None, [], []
+
+        def flush() -> pa.RecordBatch:
+            a, b = _wide_edges(now, np.array(ids), np.frombuffer(b"".join(fps), np.uint64).reshape(-1, WIDE), budget)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for group, first, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group != now:
+                    if len(ids) > 1:
+                        yield flush()
+                    now, ids, fps = group, [], []
+                ids.append(first)
+                fps.append(fp)
+        if len(ids) > 1:
+            yield flush()
+
+    edges = (
+        distinct.select("fp", "first")
+        .mapInArrow(dealt, "group long, first long, fp binary")
+        .repartition("group")
+        .sortWithinPartitions("group")
+        .mapInArrow(linked, "a long, b long")
+    )
+    roots = components(edges)
+    named = distinct.join(roots, F.col("first") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "first").alias("root")
+    )
+    order = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), "id")
+    owned = prints.join(named, "fp").select("id", "root").join(rows.select("id", order.alias("o")), "id")
+    kept = stored(owned.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.id").alias("id"), F.lit(True).alias("keep")))
+    return rows.join(kept, "id", "left").select("doc.*", F.coalesce("keep", F.lit(False)).alias("keep"))

@@ -478,7 +478,7 @@ def _cut(held: DataFrame, keep_text: bool) -> DataFrame:
                         "n_removed": len(raw) - len(left),
                         "n_spans": runs,
                         "kept_sha256": hashlib.sha256(left).hexdigest(),
-                        "kept_text": left if keep_text else None,
+                        "kept_text": left.decode(errors="ignore").encode() if keep_text else None,
                     }
                 )
             yield pa.RecordBatch.from_pylist(out, schema=schema)
@@ -521,3 +521,25 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, keep_text: bool = False)
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("k.kept_sha256", "r.sha")).alias("kept_sha256"),
         F.when(gone, F.lit("").cast("binary")).otherwise(F.col("k.kept_text")).alias("kept_text"),
     )
+
+
+def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of ``docs`` without their repeated strings; n_chars, where there is one, follows the text.
+
+    Bytes of a character that was cut in two go as well.
+    """
+    changed = deduplicated(docs, length, keep_text=True).where("kept_text is not null")
+    changed = changed.select("doc_id", "th", F.col("kept_text").alias("left")).dropDuplicates(["doc_id", "th"])
+    body = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select(F.struct("*").alias("doc"), body.alias("th")).alias("d")
+    on = F.expr("cast(d.doc.doc_id as long) <=> c.doc_id and d.th = c.th")
+    text = F.when(F.col("c.left").isNotNull(), F.decode(F.col("c.left"), "utf-8")).otherwise(F.col("d.doc.text"))
+    out = []
+    for c in docs.columns:
+        kept = F.col(f"d.doc.`{c}`")
+        if c == "text":
+            kept = text
+        elif c == "n_chars":
+            kept = F.when(F.col("c.left").isNotNull(), F.char_length(text)).otherwise(kept).cast(dict(docs.dtypes)[c])
+        out.append(kept.alias(c))
+    return rows.join(changed.alias("c"), on, "left").select(*out)
