@@ -45,7 +45,9 @@ def _rounded(c: str, digits: int = 6) -> str:
 
 
 PARTS["raw_trips"] = _derived(
-    stand_ins.TRIPS, "orders join customer on o_custkey = c_custkey"
+    stand_ins.TRIPS,
+    "orders join customer on o_custkey = c_custkey "
+    "join (values (1), (2)) copies(copy) on copy = 1 or o_orderkey % 41 = 0",
 )
 PARTS["raw_obs"] = _derived(stand_ins.OBSERVATIONS, "events")
 PARTS["raw_offsets"] = _derived(stand_ins.OFFSETS, "nation")
@@ -88,8 +90,9 @@ select carrier, crs, arr, origin, dest, fl_date, fl_num, dep_utc, arr_utc, y, m,
        alpha * coalesce(nas, 0) as nasw,
        coalesce(wd, 0) + alpha * coalesce(nas, 0) as total_wd,
        arr - (cast(1 as double) - alpha) * coalesce(nas, 0) as arr_nasw_raw,
-       carrier || '-' || lpad(cast(fl_num as varchar), 4, '0') || '-'
-         || strftime(fl_date, '%Y-%m-%d') || '-' || origin || '-' || dest as flight_key
+       carrier || '-' || case when fl_num >= 1000 then cast(fl_num as varchar)
+         else lpad(cast(fl_num as varchar), 4, '0') end || '-'
+         || strftime(fl_date, '%Y-%m-%d') || '-' || origin || '-' || dest as trip_key
 from bronze_trips
 where coalesce(cancelled, 0) = 0 and coalesce(diverted, 0) = 0"""
 
@@ -123,7 +126,8 @@ PARTS["bronze_obs"] = f"""
 select {_station('WBAN')} as wban, "Date" as raw_date, "Time" as raw_time,
        SkyCondition, WeatherType,
        {', '.join(f'{_num(c)} as {c}' for c in _OBS_NUMBERS)},
-       try_strptime(day || ' ' || lpad("Time", 4, '0'), '%Y-%m-%d %H%M') as obs_local,
+       case when length("Time") <= 4
+            then try_strptime(day || ' ' || lpad("Time", 4, '0'), '%Y-%m-%d %H%M') end as obs_local,
        cast(year(obs_local) as integer) as y, strftime(obs_local, '%m') as m
 from days"""
 PARTS["silver_obs"] = """
@@ -173,13 +177,22 @@ where place = 1 and epoch(obs_utc) - epoch(hour) <= 20 * 60"""
 
 
 PARTS["hourly"] = _hourly("silver_obs")
+PARTS["hourly_nearest"] = f"""
+select airport_id, hour, wban, obs_utc,
+       {', '.join(f'{c} as {n}' for n, c in _POINT.items())}
+from (select *, row_number() over (
+               partition by airport_id, hour
+               order by abs(epoch(obs_utc) - epoch(hour)), obs_utc, wban, {_TIES}) as place
+      from (select *, date_trunc('hour', obs_utc + interval 30 minute) as hour
+            from silver_obs where obs_utc is not null))
+where place = 1 and abs(epoch(obs_utc) - epoch(hour)) <= 20 * 60"""
 PARTS["trips"] = """
-select * from silver_trips where dep_utc is not null and arr_utc is not null"""
+select distinct * from silver_trips where dep_utc is not null and arr_utc is not null"""
 
 
 def _timeline(airport: str, ts: str) -> str:
     return f"""
-select t.flight_key, cast(g.pos as integer) as pos,
+select t.trip_key, cast(g.pos as integer) as pos,
        date_trunc('hour', t.{ts}) - to_hours(cast(g.pos as integer)) as ts,
        {', '.join(f'h.{n}' for n in _POINT)}
 from trips t
@@ -195,11 +208,11 @@ PARTS["points_d"] = _timeline("dest", "arr_utc")
 
 def _ends(prefix: str) -> str:
     return f"""
-select flight_key as end_key, 13 as {prefix}_points,
+select trip_key as end_key, 13 as {prefix}_points,
        cast(count(vis) as integer) as {prefix}_vis_seen,
        {_stamp('max(ts)')} as {prefix}_first, {_stamp('min(ts)')} as {prefix}_last,
        string_agg(coalesce(wxType, '-'), ',' order by pos) as {prefix}_weather
-from points_{prefix} group by flight_key"""
+from points_{prefix} group by trip_key"""
 
 
 PARTS["ends_o"] = _ends("o")
@@ -210,8 +223,8 @@ _ENDS = ", ".join(
 PARTS["joined"] = """
 select t.*, o.* exclude (end_key), d.* exclude (end_key)
 from trips t
-join ends_o o on o.end_key = t.flight_key
-join ends_d d on d.end_key = t.flight_key"""
+join ends_o o on o.end_key = t.trip_key
+join ends_d d on d.end_key = t.trip_key"""
 
 PARTS["measures"] = """
 select *, arr_c - (nas_c - nasw) as adjusted,
@@ -237,10 +250,10 @@ from classes group by th"""
 
 def _keys(seed: int) -> str:
     return f"""
-select c.flight_key, d.ds, c.th,
+select c.trip_key, d.ds, c.th,
        case when d.pos then 1 else 0 end as is_pos,
        case when c.late then 1 else 0 end as C
-from (select *, ('0x' || md5('{seed}|' || flight_key)[1:8])::ubigint / 4294967296.0::double as draw
+from (select *, ('0x' || md5('{seed}|' || trip_key)[1:8])::ubigint / 4294967296.0::double as draw
       from classes) c
 join counts n on n.th = c.th
 cross join lateral (values
@@ -256,14 +269,23 @@ PARTS["keys42"] = _keys(42)
 PARTS["targets"] = """
 select j.*, k.ds, k.th, k.is_pos, k.C as c_th,
        case when coalesce(j.arr, 0) >= 15 then 1 else 0 end as c_ref
-from joined j join keys k on k.flight_key = j.flight_key"""
-PARTS["flat"] = """
-select flight_key, ds, th, cast(is_pos as double) as label, carrier as carrier_id,
+from joined j join keys k on k.trip_key = j.trip_key"""
+PARTS["flat_all"] = """
+select trip_key, ds, th, cast(is_pos as double) as label, carrier as carrier_id,
        origin as origin_id, dest as dest_id, fl_num as flnum, crs as crs_dep_time,
        y as year, cast(m as integer) as month, (crs // 100) * 60 + crs % 100 as dep_minutes
 from targets
-where ds = 'D2' and th = 60 and carrier is not null and origin is not null
+where carrier is not null and origin is not null
   and dest is not null and fl_num is not null and crs is not null"""
+PARTS["flat"] = "select * from flat_all where ds = 'D2' and th = 60"
+PARTS["split"] = """
+select ds, th, count(*) filter (where not held) as train_rows,
+       count(*) filter (where not held and label = 1) as train_positives,
+       count(*) filter (where held) as test_rows,
+       count(*) filter (where held and label = 1) as test_positives
+from (select *, ('0x' || md5('42|' || trip_key)[1:8])::ubigint / 4294967296.0::double < 0.2 as held
+      from flat_all)
+group by ds, th"""
 
 
 def _end_features(prefix: str, hours: int) -> str:
@@ -298,8 +320,8 @@ def _end_features(prefix: str, hours: int) -> str:
     }
     columns += [f"{e} as {prefix}_{n}" for n, e in summaries.items()]
     return (
-        f"select flight_key as end_key, {', '.join(columns)} "
-        f"from points_{prefix} group by flight_key"
+        f"select trip_key as end_key, {', '.join(columns)} "
+        f"from points_{prefix} group by trip_key"
     )
 
 
@@ -308,8 +330,8 @@ PARTS["features_d"] = _end_features("d", 2)
 PARTS["features"] = """
 select f.*, o.* exclude (end_key), d.* exclude (end_key)
 from flat f
-join features_o o on o.end_key = f.flight_key
-join features_d d on d.end_key = f.flight_key"""
+join features_o o on o.end_key = f.trip_key
+join features_d d on d.end_key = f.trip_key"""
 _FEATURES = weather_feature_names(3, 2)
 PARTS["variances"] = " union all ".join(
     f"select '{n}' as feature, coalesce(var_samp({n}), 0) as variance from features"
@@ -381,6 +403,12 @@ oracle(
         {_stamp('dep_local')} as from_date, {_stamp('dep_local')} as from_parts
         from bronze_trips""",
 )
+oracle(
+    "local_ts_rolled",
+    f"""select carrier as OP_CARRIER_AIRLINE_ID, fl_num as FL_NUM,
+        {_stamp("case when crs = 2400 then fl_date + interval 1 day else dep_local end")}
+          as dep_local from bronze_trips""",
+)
 oracle(
     "utc_shift",
     f"""select carrier as OP_CARRIER_AIRLINE_ID, fl_num as FL_NUM,
@@ -392,7 +420,7 @@ oracle(
     """select y as year, m as month, count(*) as n from bronze_obs
        where obs_local is not null group by y, m""",
 )
-oracle("entity_key", "select flight_key, fl_num as FL_NUM from silver_trips")
+oracle("entity_key", "select trip_key, fl_num as FL_NUM from silver_trips")
 
 # ---- bronze and silver ---------------------------------------------------
 
@@ -480,21 +508,34 @@ oracle(
     f"""select airport_id, {_stamp('hour')} as obs_hour, wban as WBAN,
         {_stamp('obs_utc')} as obs_utc, {_POINT_ROUNDED} from hourly""",
 )
+oracle(
+    "hourly_obs_nearest",
+    f"""select airport_id, {_stamp('hour')} as obs_hour, wban as WBAN,
+        {_stamp('obs_utc')} as obs_utc, {_POINT_ROUNDED} from hourly_nearest""",
+)
+oracle(
+    "obs_points",
+    f"select airport_id, {_stamp('obs_utc')} as o_ts, "
+    + ", ".join(
+        f"{c if n in ('sky', 'wxType') else _rounded(c)} as o_{n}" for n, c in _POINT.items()
+    )
+    + " from silver_obs",
+)
 for _prefix, _name in (("o", "timeline_origin"), ("d", "timeline_dest")):
     oracle(
         _name,
-        f"select flight_key, pos, {_stamp('ts')} as ts, {_POINT_ROUNDED} from points_{_prefix}",
+        f"select trip_key, pos, {_stamp('ts')} as ts, {_POINT_ROUNDED} from points_{_prefix}",
     )
 oracle(
     "jt_base",
-    f"""select flight_key, origin as origin_airport_id, dest as dest_airport_id,
+    f"""select trip_key, origin as origin_airport_id, dest as dest_airport_id,
         {_stamp('dep_utc')} as dep_ts_utc, {_stamp('arr_utc')} as arr_ts_utc,
         arr as ARR_DELAY_NEW, {_rounded('nasw')} as NAS_WEATHER_DELAY, y as year, m as month,
         {_ENDS} from joined""",
 )
 oracle(
     "jt_labeled",
-    f"""select flight_key, carrier, fl_num as flnum, strftime(fl_date, '%Y-%m-%d') as date,
+    f"""select trip_key, carrier, fl_num as flnum, strftime(fl_date, '%Y-%m-%d') as date,
         crs as crs_dep_scheduled_hhmm, arr as arr_delay_new, wd as weather_delay,
         nas as nas_delay, {_rounded('nasw')} as nas_weather_delay,
         case when arr >= 15 then 1 else 0 end as C, y as year, m as month, {_ENDS}
@@ -502,7 +543,7 @@ oracle(
 )
 oracle(
     "label_threshold",
-    """select flight_key, arr as arr_delay_new, case when arr >= 60 then 1 else 0 end as C
+    """select trip_key, arr as arr_delay_new, case when arr >= 60 then 1 else 0 end as C
        from trips""",
 )
 
@@ -510,7 +551,7 @@ oracle(
 
 oracle(
     "ratio_metrics",
-    f"""select flight_key, arr_c as ARR_DELAY_NEW, wd as WEATHER_DELAY, nas_c as NAS_DELAY,
+    f"""select trip_key, arr_c as ARR_DELAY_NEW, wd as WEATHER_DELAY, nas_c as NAS_DELAY,
         {_rounded('nasw')} as NAS_WEATHER_DELAY, {_rounded('arr_nasw')} as ARR_NASW,
         {_rounded('ratio')} as ratio_adj, has_meteo from measures""",
 )
@@ -519,7 +560,7 @@ oracle("balanced_keys", "select * from keys42 where th = 60")
 oracle("keys_all", "select * from keys")
 oracle(
     "targets_all",
-    f"""select flight_key, ds, th, is_pos, c_ref, c_th, y as year, m as month, {_ENDS}
+    f"""select trip_key, ds, th, is_pos, c_ref, c_th, y as year, m as month, {_ENDS}
         from targets""",
 )
 oracle(
@@ -530,11 +571,11 @@ oracle(
     "target_sample",
     """select carrier, fl_num as flnum, strftime(fl_date, '%Y-%m-%d') as date,
        c_ref as C, is_pos
-       from targets where ds = 'D2' and th = 60 order by flight_key limit 20""",
+       from targets where ds = 'D2' and th = 60 order by trip_key limit 20""",
 )
 oracle(
     "target_reattach",
-    f"""select flight_key, ds, th, is_pos, c_ref as C, carrier,
+    f"""select trip_key, ds, th, is_pos, c_ref as C, carrier,
         {', '.join(c for c in _ENDS.split(', ') if c.startswith('o_'))}
         from targets where th = 60""",
 )
@@ -697,15 +738,29 @@ oracle(
         + [("all fields", _ALL_NULL)]
     ),
 )
+oracle(
+    "uniques_approx",
+    " union all ".join(
+        f"""select '{name}' as "column", count(distinct {c}) as distinct_values, true as close
+            from silver_trips"""
+        for name, c in (
+            ("FL_NUM", "fl_num"),
+            ("origin_airport_id", "origin"),
+            ("dest_airport_id", "dest"),
+            ("year", "y"),
+            ("month", "m"),
+        )
+    ),
+)
 oracle("feature_variance", "select feature, round(variance, 4) as variance from variances")
 oracle(
     "variance_extremes",
     """select feature, round(variance, 4) as variance, "end" from (
        select feature, variance, 'top' as "end",
-              row_number() over (order by variance desc, feature) as place from variances
+              row_number() over (order by round(variance, 6) desc, feature) as place from variances
        union all
        select feature, variance, 'bottom',
-              row_number() over (order by variance, feature desc) from variances)
+              row_number() over (order by round(variance, 6), feature desc) from variances)
        where place <= 20""",
 )
 oracle(
@@ -758,16 +813,50 @@ oracle(
 oracle("flat_features", "select * from flat")
 oracle(
     "wx_features",
-    "select flight_key, label, "
+    "select trip_key, label, "
     + ", ".join(f"{_rounded(n)} as {n}" for n in _FEATURES)
     + " from features",
 )
 oracle(
     "train_test_split",
-    """select flight_key, label,
-       case when ('0x' || md5('42|' || flight_key)[1:8])::ubigint / 4294967296.0::double < 0.2
+    """select trip_key, label,
+       case when ('0x' || md5('42|' || trip_key)[1:8])::ubigint / 4294967296.0::double < 0.2
             then 'test' else 'train' end as part from flat""",
 )
+_SEEN_AVERAGES = ", ".join(
+    f"round(coalesce(avg({v}) filter (where pos < {{hours}}), 0), 6) as {{p}}_{n}_avg"
+    for n, v in (("vis", "vis"), ("temp", "tempC"), ("wind", "windKt"))
+)
+oracle(
+    "wx_ignore_missing",
+    f"""select trip_key, o.* exclude (k), d.* exclude (k) from flat
+        join (select trip_key as k, {_SEEN_AVERAGES.format(p="o", hours=3)}
+              from points_o group by trip_key) o on o.k = flat.trip_key
+        join (select trip_key as k, {_SEEN_AVERAGES.format(p="d", hours=2)}
+              from points_d group by trip_key) d on d.k = flat.trip_key""",
+)
+oracle(
+    "ml_rf",
+    f"""select train_rows, train_positives, test_rows, test_positives, true as areas_fit,
+        {len(weather_feature_names(3, 3)) + 6}::bigint as features, 1.0::double as importance
+        from split where ds = 'D2' and th = 60""",
+)
+oracle(
+    "ml_grid",
+    """select tag, s.ds, s.th, origin_hours, dest_hours,
+       case when train_positives > 0 and train_positives < train_rows and test_rows > 0
+            then 'ok' else 'empty' end as status,
+       train_rows, train_positives, test_rows, test_positives
+       from split s join (values ('no_weather', 'D2', 60, 0, 0), ('origin', 'D2', 60, 3, 0),
+         ('dest', 'D1', 30, 0, 3), ('both', 'D4', 90, 3, 3))
+         e(tag, ds, th, origin_hours, dest_hours) on e.ds = s.ds and e.th = s.th""",
+)
+oracle(
+    "stage_rerun",
+    f"""select trip_key, ds, th, is_pos, c_ref, y as year, m as month,
+        {', '.join(c for c in _ENDS.split(', ') if c.startswith('o_'))}
+        from targets where th = 60""",
+)
 oracle(
     "clf_metrics",
     """select round(avg(((arr_c >= 60) = (arr_nasw >= 50))::integer), 6) as accuracy,

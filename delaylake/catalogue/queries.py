@@ -68,6 +68,10 @@ def timed_trips(spark, sf):
     return timeline.complete_trips(keyed_trips(spark, sf))
 
 
+def unique_timed_trips(spark, sf):
+    return trips.unique_trips(timed_trips(spark, sf))
+
+
 def bronze_observations(spark, sf):
     return observations.bronze_observations(stand_ins.raw_observations(spark, sf))
 
@@ -82,13 +86,26 @@ def silver_tables(spark, sf):
     """Silver trips, written and read back as the stages do, and observations.
 
     Gold plans scan the trips several times and the stored table keeps those
-    scans narrow. The observations are scanned once and stay lazy.
+    scans narrow; it is written once per session and input folder. The
+    observations are scanned once and stay lazy.
     """
-    path, flown = files.shared_folder(spark), silver_trips(spark, sf)
-    files.write_table(flown, path, ["year", "month"])
+    flown = silver_trips(spark, sf)
+    path = _stored_once(spark, "silver_trips", sf, lambda: flown, ["year", "month"])
     return files.read_table(spark, path, flown.schema), silver_observations(spark, sf)
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored_once(spark, name, sf, rows, partition_by) -> str:
+    key = (spark.sparkContext.applicationId, name, sf)
+    if key not in _STORED:
+        path = files.shared_folder(spark)
+        files.write_table(rows(), path, partition_by)
+        _STORED[key] = path
+    return _STORED[key]
+
+
 def joined(spark, sf):
     flown, silver = silver_tables(spark, sf)
     return timeline.join_weather(trips.with_trip_key(flown), silver, all_trips=flown)
@@ -114,10 +131,15 @@ def slice_features(spark, sf, origin_hours, dest_hours):
 
 @query
 def src_csv_roundtrip(spark, sf):
-    path = files.shared_folder(spark)
-    stand_ins.raw_trips(spark, sf).write.option("header", True).csv(path)
-    back = files.require_columns(files.read_delimited(spark, [path]), TRIP_COLUMNS)
-    return back.select(*TRIP_COLUMNS)
+    """Two files with different column order."""
+    path, raw = files.shared_folder(spark), stand_ins.raw_trips(spark, sf)
+    first = F.col("OP_CARRIER_AIRLINE_ID").cast("int") % 2 == 0
+    for part, rows, names in (
+        ("a", raw.filter(first), TRIP_COLUMNS),
+        ("b", raw.filter(~first), TRIP_COLUMNS[::-1]),
+    ):
+        rows.select(*names).write.option("header", True).csv(f"{path}/{part}")
+    return files.read_delimited(spark, [f"{path}/a", f"{path}/b"], columns=TRIP_COLUMNS)
 
 
 @query
@@ -185,6 +207,13 @@ def local_ts(spark, sf):
     )
 
 
+@query
+def local_ts_rolled(spark, sf):
+    typed = trips.bronze_projection(stand_ins.raw_trips(spark, sf))
+    rolled = clock.local_timestamp(F.col("FL_DATE"), F.col("CRS_DEP_TIME"), roll_2400=True)
+    return typed.select("OP_CARRIER_AIRLINE_ID", "FL_NUM", stamp(rolled).alias("dep_local"))
+
+
 @query
 def utc_shift(spark, sf):
     return bronze_trips(spark, sf).select(
@@ -211,7 +240,7 @@ def year_month(spark, sf):
 
 @query
 def entity_key(spark, sf):
-    return keyed_trips(spark, sf).select("flight_key", "FL_NUM")
+    return keyed_trips(spark, sf).select("trip_key", "FL_NUM")
 
 
 # ---- bronze and silver ---------------------------------------------------
@@ -345,7 +374,9 @@ def obs_utc_iana(spark, sf):
 @query
 def obs_airport_semi(spark, sf):
     kept = observations.at_served_airports(
-        silver_observations(spark, sf), bronze_trips(spark, sf)
+        silver_observations(spark, sf),
+        bronze_trips(spark, sf),
+        dimensions.station_offsets(offsets(spark, sf)),
     )
     return kept.groupBy("airport_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -374,9 +405,7 @@ def obs_temporal_prune(spark, sf):
     )
 
 
-@query
-def hourly_obs(spark, sf):
-    hourly = timeline.hourly_observations(silver_observations(spark, sf))
+def _hourly_rows(hourly):
     return hourly.select(
         "airport_id",
         stamp("obs_hour").alias("obs_hour"),
@@ -392,18 +421,41 @@ def hourly_obs(spark, sf):
     )
 
 
+@query
+def hourly_obs(spark, sf):
+    return _hourly_rows(timeline.hourly_observations(silver_observations(spark, sf)))
+
+
+@query
+def hourly_obs_nearest(spark, sf):
+    silver = silver_observations(spark, sf)
+    return _hourly_rows(timeline.hourly_observations(silver, mode="nearest"))
+
+
+@query
+def obs_points(spark, sf):
+    silver = silver_observations(spark, sf)
+    points = silver.select("airport_id", timeline.observation_point(silver, "o").alias("p"))
+    return points.select(
+        "airport_id",
+        stamp("p.o_ts").alias("o_ts"),
+        *(
+            (rounded(f"p.o_{n}") if dtype == "double" else F.col(f"p.o_{n}")).alias(f"o_{n}")
+            for n, (_, dtype) in timeline.POINT_FIELDS.items()
+        ),
+    )
+
+
 def _timeline_rows(spark, sf, prefix):
     flown, silver = silver_tables(spark, sf)
     base = trips.unique_trips(timeline.complete_trips(trips.with_trip_key(flown)))
     hourly = timeline.hourly_observations(silver)
-    with_points = timeline.attach_timeline(
-        base, timeline.weather_strips(hourly), prefix, timeline.busy_strips(flown)
-    )
+    with_points = timeline.attach_timeline(base, timeline.weather_strips(hourly), prefix)
     points = with_points.select(
-        "flight_key", F.posexplode(timeline.ARRAY_NAMES[prefix]).alias("pos", "p")
+        "trip_key", F.posexplode(timeline.ARRAY_NAMES[prefix]).alias("pos", "p")
     )
     return points.select(
-        "flight_key",
+        "trip_key",
         "pos",
         stamp(F.col(f"p.{prefix}_ts")).alias("ts"),
         *(
@@ -437,7 +489,7 @@ def _end_summary(prefix):
 @query
 def jt_base(spark, sf):
     return joined(spark, sf).select(
-        "flight_key",
+        "trip_key",
         "origin_airport_id",
         "dest_airport_id",
         stamp("dep_ts_utc").alias("dep_ts_utc"),
@@ -453,7 +505,7 @@ def jt_base(spark, sf):
 
 def _labeled_rows(df):
     return df.select(
-        "F.flight_key",
+        "F.trip_key",
         "F.carrier",
         "F.flnum",
         F.date_format("F.date", "yyyy-MM-dd").alias("date"),
@@ -479,21 +531,21 @@ def jt_labeled(spark, sf):
 
 @query
 def label_threshold(spark, sf):
-    return labeled(spark, sf, REPORT_TH).select("F.flight_key", "F.arr_delay_new", "C")
+    return labeled(spark, sf, REPORT_TH).select("F.trip_key", "F.arr_delay_new", "C")
 
 
 # ---- targets -------------------------------------------------------------
 
 
 def measures(spark, sf):
-    return targets.delay_measures(timed_trips(spark, sf))
+    return targets.unique_measures(timed_trips(spark, sf))
 
 
 @query
 def ratio_metrics(spark, sf):
     m = measures(spark, sf)
     return m.select(
-        "flight_key",
+        "trip_key",
         "ARR_DELAY_NEW",
         "WEATHER_DELAY",
         "NAS_DELAY",
@@ -520,7 +572,7 @@ def keys_all(spark, sf):
 @query
 def targets_all(spark, sf):
     return all_targets(spark, sf).select(
-        "flight_key",
+        "trip_key",
         "ds",
         "th",
         "is_pos",
@@ -550,23 +602,23 @@ def target_reattach(spark, sf):
     keys = targets.balanced_keys(timed_trips(spark, sf), [REPORT_TH], seed=targets.GOLD_SEED)
     attached = targets.target_columns(targets.attach_keys(labeled(spark, sf), keys))
     return attached.select(
-        "flight_key", "ds", "th", "is_pos", "C", "F.carrier", *_end_summary("o")
+        "trip_key", "ds", "th", "is_pos", "C", "F.carrier", *_end_summary("o")
     )
 
 
 @query
 def tau_grid(spark, sf):
-    return ratios.tau_counts(ratios.ratio_measures(timed_trips(spark, sf)))
+    return ratios.tau_counts(ratios.ratio_measures(unique_timed_trips(spark, sf)))
 
 
 @query
 def tau_one(spark, sf):
-    return ratios.tau_one_counts(ratios.ratio_measures(timed_trips(spark, sf)))
+    return ratios.tau_one_counts(ratios.ratio_measures(unique_timed_trips(spark, sf)))
 
 
 @query
 def ratio_hist(spark, sf):
-    return ratios.ratio_histogram(ratios.ratio_measures(timed_trips(spark, sf)))
+    return ratios.ratio_histogram(ratios.ratio_measures(unique_timed_trips(spark, sf)))
 
 
 # ---- quality reports -----------------------------------------------------
@@ -606,7 +658,16 @@ def uniques_exact(spark, sf):
 
 @query
 def uniques_approx(spark, sf):
-    return quality.key_cardinalities(silver_trips(spark, sf))
+    """Exact counts, and whether each estimate is within three standard errors."""
+    silver = silver_trips(spark, sf)
+    exact = quality.key_cardinalities(silver, approximate=False)
+    near = quality.key_cardinalities(silver).withColumnRenamed("approx_distinct", "estimate")
+    gap = F.abs(F.col("estimate") - F.col("approx_distinct"))
+    return exact.join(near, "column").select(
+        "column",
+        F.col("approx_distinct").alias("distinct_values"),
+        (gap <= 3 * 0.05 * F.col("approx_distinct")).alias("close"),
+    )
 
 
 @query
@@ -722,14 +783,22 @@ def flat_features(spark, sf):
 def wx_features(spark, sf):
     wide = slice_features(spark, sf, 3, 2)
     names = features.weather_feature_names(3, 2)
-    return wide.select("flight_key", "label", *(rounded(n).alias(n) for n in names))
+    return wide.select("trip_key", "label", *(rounded(n).alias(n) for n in names))
+
+
+@query
+def wx_ignore_missing(spark, sf):
+    rows = targets.target_slice(all_targets(spark, sf))
+    wide = features.weather_features(features.flat_features(rows), 3, 2, ignore_missing=True)
+    names = [f"{p}_{n}_avg" for p in "od" for n in ("vis", "temp", "wind")]
+    return wide.select("trip_key", *(rounded(n).alias(n) for n in names))
 
 
 @query
 def train_test_split(spark, sf):
     train, test, _ = features.prepare_dataset(all_targets(spark, sf), "D2", REPORT_TH)
-    return train.select("flight_key", "label", F.lit("train").alias("part")).unionByName(
-        test.select("flight_key", "label", F.lit("test").alias("part"))
+    return train.select("trip_key", "label", F.lit("train").alias("part")).unionByName(
+        test.select("trip_key", "label", F.lit("test").alias("part"))
     )
 
 
@@ -749,9 +818,8 @@ SMALL_FOREST = models.ForestSettings(trees=10, depth=5)
 
 def stored_targets(spark, sf):
     """Targets written once, so that the passes of a fit do not recompute them."""
-    path = files.shared_folder(spark)
     rows = all_targets(spark, sf)
-    files.write_table(rows, path, ["ds", "th"])
+    path = _stored_once(spark, "targets", sf, lambda: rows, ["ds", "th"])
     return files.read_table(spark, path, rows.schema)
 
 
@@ -760,8 +828,16 @@ def ml_rf(spark, sf):
     train, test, names = features.prepare_dataset(
         stored_targets(spark, sf), "D2", REPORT_TH, origin_hours=3, dest_hours=3
     )
-    model, _ = models.fit_and_score(train, test, names, SMALL_FOREST)
-    return models.feature_importances(spark, model).limit(30)
+    model, scores = models.fit_and_score(train, test, names, SMALL_FOREST)
+    weights = models.feature_importances(spark, model).agg(
+        F.count(F.lit(1)).alias("features"), rounded(F.sum("importance")).alias("importance")
+    )
+    parts = [models.row_counts(p) for p in (train, test)]
+    counts = spark.createDataFrame(
+        [(*parts[0], *parts[1], all(0 <= scores[a] <= 1 for a in ("auc_roc", "auc_pr")))],
+        "train_rows long, train_positives long, test_rows long, test_positives long, areas_fit boolean",
+    )
+    return counts.join(F.broadcast(weights))
 
 
 @query
@@ -772,6 +848,51 @@ def ml_grid(spark, sf):
         models.Experiment("D1", 30, 0, 3, "dest"),
         models.Experiment("D4", 90, 3, 3, "both"),
     ]
-    return models.run_experiments(
+    rows = models.run_experiments(
         spark, stored_targets(spark, sf), studies, forest=SMALL_FOREST
     )
+    return rows.select(
+        "tag",
+        "ds",
+        "th",
+        "origin_hours",
+        "dest_hours",
+        "status",
+        *(f"{p}_{n}" for p in ("train", "test") for n in ("rows", "positives")),
+    )
+
+
+@query
+def stage_rerun(spark, sf):
+    """Targets of stored stages after a first month and then a second one."""
+    base = files.shared_folder(spark)
+    parts = {
+        "trips": (stand_ins.raw_trips(spark, sf), ".csv", "OP_CARRIER_AIRLINE_ID"),
+        "readings": (stand_ins.raw_observations(spark, sf), "hourly.txt", "RelativeHumidity"),
+    }
+    months = ["201201", "201202"]
+    for folder, (rows, suffix, column) in parts.items():
+        for i, month in enumerate(months):
+            part = rows.filter(F.col(column).cast("int") % 2 == i)
+            part.write.option("header", True).csv(f"{base}/{folder}/{month}{suffix}")
+    offsets(spark, sf).write.option("header", True).csv(f"{base}/mapping.csv")
+    lake = stages.Lake(f"{base}/lake")
+
+    def raw(upto):
+        return stages.RawInputs(
+            f"{base}/trips", f"{base}/readings", f"{base}/mapping.csv", months[:upto]
+        )
+
+    stages.run_gold(spark, raw(1), lake, thresholds=[REPORT_TH])
+    stages.run_gold(spark, raw(2), lake, thresholds=[REPORT_TH])
+    table = stages.targets_table(spark, raw(2), lake, thresholds=[REPORT_TH])
+    return table.select(
+        "trip_key",
+        "ds",
+        "th",
+        "is_pos",
+        F.col("C").alias("c_ref"),
+        "year",
+        "month",
+        *_end_summary("o"),
+    )

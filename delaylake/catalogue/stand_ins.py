@@ -5,7 +5,8 @@ Spark and the checking engine both accept, so both sides start from the same
 raw text; all typing, parsing and joining is done by the operators.
 
 * trips: ``orders`` joined with ``customer``; delays, cancellations, unknown
-  airports and dirty text follow from the order key
+  airports, copies, five-digit numbers, years before 1970 and dirty text follow
+  from the order key
 * observations: ``events``; station, measures and date spelling follow from
   user, value and event id; two stations in 27 are unknown to the mapping
 * mappings: ``nation`` (clean) and ``supplier`` (several rows per station)
@@ -14,6 +15,7 @@ raw text; all typing, parsing and joining is done by the operators.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _text(expression: str) -> str:
@@ -29,15 +31,17 @@ _CAUSE = "o_orderkey % 11"
 
 TRIPS = {
     "FL_DATE": (
-        f"{_text('2012 + o_orderkey % 3')} || '-01-' || "
+        f"{_text('case when o_orderkey % 101 = 0 then 1969 else 2012 + o_orderkey % 3 end')} || '-01-' || "
         f"{_padded('5 + dayofyear(o_orderdate) % 22', 2)}"
     ),
     "OP_CARRIER_AIRLINE_ID": _text("19000 + o_orderkey % 20"),
-    "OP_CARRIER_FL_NUM": _text("cast(floor(o_orderkey / 20) as bigint)"),
+    "OP_CARRIER_FL_NUM": _text(
+        "cast(floor(o_orderkey / 20) as bigint) + case when o_orderkey % 31 = 0 then 10000 else 0 end"
+    ),
     "ORIGIN_AIRPORT_ID": _text("10000 + o_custkey % 26"),
     "DEST_AIRPORT_ID": _text("10000 + c_nationkey"),
     "CRS_DEP_TIME": (
-        "case when o_orderkey % 501 = 0 then '2400' else "
+        "case when o_orderkey % 501 = 0 then '2400' when o_orderkey % 307 = 0 then '12345' else "
         f"{_text('((o_orderkey * 7) % 24) * 100 + (o_orderkey * 13) % 60')} end"
     ),
     "CRS_ELAPSED_TIME": (
@@ -68,7 +72,7 @@ TRIPS = {
 
 _STATION = "(user_id % 27) * 37 + 3"
 _CENTS = "cast(round(value * 100) as bigint)"
-_YEAR = _text("2012 + event_id % 3")
+_YEAR = _text("case when event_id % 37 = 0 then 1969 else 2012 + event_id % 3 end")
 _DAY = _padded("day(ts)", 2)
 
 OBSERVATIONS = {
@@ -83,7 +87,10 @@ OBSERVATIONS = {
         f"when event_id % 4 = 2 then '01/' || {_DAY} || '/' || {_YEAR} "
         f"else {_YEAR} || '/01/' || {_DAY} end"
     ),
-    "Time": _text("hour(ts) * 100 + minute(ts)"),
+    "Time": (
+        "case when event_id % 311 = 0 then '12345' else "
+        f"{_text('hour(ts) * 100 + minute(ts)')} end"
+    ),
     "SkyCondition": "case when event_id % 13 = 0 then ' ' else upper(event_type) end",
     "WeatherType": (
         "case event_type when 'error' then '+TSRA' when 'click' then 'SN' "
@@ -143,6 +150,10 @@ REPEATED_OFFSETS = {
 }
 
 
+# Some trips come twice, as they do in files that overlap.
+COPIES = "case when o_orderkey % 41 = 0 then array(1, 2) else array(1) end"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -153,7 +164,8 @@ def _derived(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
     orders, customer = (table(spark, folder, t) for t in ("orders", "customer"))
-    return _derived(orders.join(customer, orders.o_custkey == customer.c_custkey), TRIPS)
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    return _derived(placed.select("*", F.explode(F.expr(COPIES)).alias("copy")), TRIPS)
 
 
 def raw_observations(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,8 +10,9 @@ HOUR_SECONDS = 3600
 
 
 def padded_hhmm(hhmm: Column) -> Column:
-    """``930 -> '0930'``; longer text is cut to four characters."""
-    return F.lpad(hhmm.cast("string"), 4, "0")
+    """``930 -> '0930'``; text longer than four characters is no clock time: null."""
+    text = hhmm.cast("string")
+    return F.when(F.length(text) <= 4, F.lpad(text, 4, "0"))
 
 
 def normalize_date(text: Column) -> Column:
@@ -44,15 +45,22 @@ def clock_timestamp(year: Column, month: Column, day: Column, hhmm: Column) -> C
     )
 
 
-def local_timestamp(date: Column, hhmm: Column) -> Column:
-    """Local timestamp from a date column and an HHMM number or text."""
-    return clock_timestamp(F.year(date), F.month(date), F.day(date), hhmm)
+def local_timestamp(date: Column, hhmm: Column, roll_2400: bool = False) -> Column:
+    """Local timestamp from a date column and an HHMM number or text.
+
+    With ``roll_2400`` the text ``2400`` is midnight at the end of the day.
+    """
+    exact = clock_timestamp(F.year(date), F.month(date), F.day(date), hhmm)
+    if not roll_2400:
+        return exact
+    midnight = F.date_add(date, 1).cast("timestamp")
+    return F.when(padded_hhmm(hhmm) == "2400", midnight).otherwise(exact)
 
 
 def text_timestamp(date_text: Column, hhmm: Column) -> Column:
     """Local timestamp from date text in any accepted form and HHMM text."""
     return F.try_to_timestamp(
-        F.concat_ws(" ", normalize_date(date_text), padded_hhmm(hhmm)),
+        F.concat(normalize_date(date_text), F.lit(" "), padded_hhmm(hhmm)),
         F.lit("yyyy-MM-dd HHmm"),
     )
 

@@ -29,11 +29,15 @@ def station_id(c: Column) -> Column:
 def trip_key(
     carrier: Column, number: Column, date: Column, origin: Column, dest: Column
 ) -> Column:
-    """``carrier-0number-yyyy-MM-dd-origin-dest``; null parts are left out."""
+    """``carrier-0number-yyyy-MM-dd-origin-dest``; null parts are left out.
+
+    Numbers are padded to four digits, longer ones stay whole.
+    """
+    digits = number.cast("string")
     return F.concat_ws(
         "-",
         carrier.cast("string"),
-        F.lpad(number.cast("string"), 4, "0"),
+        F.when(F.length(digits) >= 4, digits).otherwise(F.lpad(digits, 4, "0")),
         F.date_format(date, "yyyy-MM-dd"),
         origin.cast("string"),
         dest.cast("string"),

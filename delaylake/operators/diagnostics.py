@@ -97,8 +97,8 @@ def newest_points(targets: DataFrame, timeline: str, n: int = 5) -> DataFrame:
     """Newest points of the first ``n`` trips by key, for inspection."""
     return (
         targets.filter(F.size(timeline) > 0)
-        .select("F.flight_key", F.get(timeline, F.lit(0)).alias("point"))
-        .orderBy("flight_key")
+        .select("F.trip_key", F.get(timeline, F.lit(0)).alias("point"))
+        .orderBy("trip_key")
         .limit(n)
     )
 
@@ -110,12 +110,13 @@ def feature_variances(features: DataFrame, names: Sequence[str]) -> DataFrame:
     return long_form(features.agg(*sums), rows).orderBy(F.desc("variance"), "feature")
 
 
-def variance_extremes(variances: DataFrame, n: int = 20) -> DataFrame:
+def variance_extremes(variances: DataFrame, n: int = 20, digits: int = 6) -> DataFrame:
     """Top and bottom ``n`` features, from one evaluation of the variances.
 
-    The window has no partition: its rows are the features, a few hundred.
+    Features rank by the rounded variance, then by name: equal variances differ
+    in their last bits with the order of summation. The window has no partition: its rows are the features, a few hundred.
     """
-    ranking = Window.orderBy(F.desc("variance"), "feature")
+    ranking = Window.orderBy(F.desc(F.round("variance", digits)), "feature")
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = variances.withColumns(
         {
@@ -159,7 +160,7 @@ def feature_statistics(
 
 def feature_sample(features: DataFrame, n: int = 10) -> DataFrame:
     shown = [c for c in KEY_FEATURES if c in features.columns]
-    return features.select("flight_key", "label", *shown).orderBy("flight_key").limit(n)
+    return features.select("trip_key", "label", *shown).orderBy("trip_key").limit(n)
 
 
 def airport_roles(observations: DataFrame, trips: DataFrame) -> DataFrame:

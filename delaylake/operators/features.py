@@ -82,7 +82,7 @@ def flat_features(
     The timelines stay in the row and are not part of the completeness test.
     """
     flat = targets.select(
-        "flight_key",
+        "trip_key",
         "ds",
         "th",
         F.col(settings.label_column).cast("double").alias("label"),
@@ -100,18 +100,23 @@ def flat_features(
     return flat.na.drop("any", subset=REQUIRED)
 
 
-def _end_features(prefix: str, array: str, hours: int) -> list[str]:
+def _end_features(prefix: str, array: str, hours: int, ignore_missing: bool) -> list[str]:
     """SQL of the features of one end."""
 
-    def readings(name: str) -> list[str]:
-        return [f"get({array}, {h}).{prefix}_{name}" for h in range(hours)]
+    window = f"slice({array}, 1, {hours})"
 
     def total(name: str) -> str:
-        return "(" + " + ".join(f"coalesce({r}, 0D)" for r in readings(name)) + ")"
+        return f"aggregate({window}, 0D, (s, p) -> s + coalesce(p.{prefix}_{name}, 0D))"
+
+    def average(name: str) -> str:
+        if not ignore_missing:
+            return f"{total(name)} / {hours}D"
+        seen = f"size(filter({window}, p -> p.{prefix}_{name} is not null))"
+        return f"coalesce({total(name)} / nullif({seen}, 0), 0D)"
 
     def any_of(name: str, test: str) -> str:
-        tests = " or ".join(f"coalesce({r} {test}, false)" for r in readings(name))
-        return f"cast({tests} as double)"
+        found = f"exists({window}, p -> coalesce(p.{prefix}_{name} {test}, false))"
+        return f"cast(coalesce({found}, false) as double)"
 
     hourly = []
     for h in range(hours):
@@ -120,9 +125,9 @@ def _end_features(prefix: str, array: str, hours: int) -> list[str]:
             hourly.append(f"coalesce({reading}, 0D) as {name}")
             hourly.append(f"cast({reading} is null as double) as {name}_isna")
     summaries = {
-        "vis_avg": f"{total('vis')} / {hours}D",
-        "temp_avg": f"{total('tempC')} / {hours}D",
-        "wind_avg": f"{total('windKt')} / {hours}D",
+        "vis_avg": average("vis"),
+        "temp_avg": average("tempC"),
+        "wind_avg": average("windKt"),
         "precip_sum": total("precip"),
         "has_precip": any_of("precip", "> 0"),
         "has_heavy_precip": any_of("precip", f">= {HEAVY_PRECIP}D"),
@@ -132,17 +137,20 @@ def _end_features(prefix: str, array: str, hours: int) -> list[str]:
     return hourly + [f"{e} as {prefix}_{n}" for n, e in summaries.items()]
 
 
-def weather_features(flat: DataFrame, origin_hours: int, dest_hours: int) -> DataFrame:
+def weather_features(
+    flat: DataFrame, origin_hours: int, dest_hours: int, ignore_missing: bool = False
+) -> DataFrame:
     """Add the hourly readings and the per-end summaries in one projection.
 
     A missing reading counts as 0 and is flagged in its ``_isna`` column; the
-    averages divide by the window length.
+    averages divide by the window length, or by the readings seen with
+    ``ignore_missing`` (0 without any).
     """
     added = []
     if origin_hours > 0:
-        added += _end_features("o", "Wo", origin_hours)
+        added += _end_features("o", "Wo", origin_hours, ignore_missing)
     if dest_hours > 0:
-        added += _end_features("d", "Wd", dest_hours)
+        added += _end_features("d", "Wd", dest_hours, ignore_missing)
     return flat.selectExpr("*", *added)
 
 
@@ -165,5 +173,5 @@ def prepare_dataset(
     """Train rows, test rows and weather feature names of one slice."""
     flat = flat_features(target_slice(targets, ds, th), settings)
     full = weather_features(flat, origin_hours, dest_hours).drop("Wo", "Wd")
-    train, test = hash_split(full, "flight_key", settings.test_fraction, settings.seed)
+    train, test = hash_split(full, "trip_key", settings.test_fraction, settings.seed)
     return train, test, weather_feature_names(origin_hours, dest_hours)

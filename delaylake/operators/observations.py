@@ -65,15 +65,27 @@ def silver_observations(bronze: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def at_served_airports(observations: DataFrame, trips: DataFrame) -> DataFrame:
-    """Keep observations at airports some trip starts from or flies to."""
-    return observations.join(served_airports(trips), "airport_id", "left_semi")
+def at_served_airports(
+    observations: DataFrame, trips: DataFrame, mapping: DataFrame
+) -> DataFrame:
+    """Keep observations at mapped airports that some trip starts from or flies to.
+
+    The served airports are looked up in the mapping first, so what is broadcast
+    has at most one row per mapped airport and the observations stay in place.
+    """
+    airports = mapping.select("airport_id").distinct()
+    served = airports.join(served_airports(trips), "airport_id", "left_semi")
+    return observations.join(F.broadcast(served), "airport_id", "left_semi")
 
 
 def zoned_observations(bronze: DataFrame, zones: DataFrame, trips: DataFrame) -> DataFrame:
-    """Observations at served airports, in UTC by IANA zone."""
-    placed = bronze.join(zones, "WBAN", "inner").filter(F.col("airport_id").isNotNull())
-    utc = at_served_airports(placed, trips).withColumn(
+    """Observations at served airports, in UTC by IANA zone.
+
+    Stations of other airports leave the mapping, not the observations; the
+    mapping has one row per station and is broadcast.
+    """
+    served = zones.join(served_airports(trips), "airport_id", "left_semi")
+    utc = bronze.join(F.broadcast(served), "WBAN", "inner").withColumn(
         "obs_utc", clock.zone_to_utc(F.col("obs_local_naive"), F.col("timezone"))
     )
     return utc.select(

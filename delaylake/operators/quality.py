@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.window import Window
 
 # Column lists of the bronze and silver reports.
 BRONZE_TRIP_KEYS = [
@@ -142,24 +143,37 @@ def key_cardinalities(
     return long_form(counts, rows).orderBy(F.desc("approx_distinct"), "column")
 
 
-def delay_quantiles(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """``(column, p50, p90, p95, p99)`` of the delay columns that exist.
+def delay_quantiles(df: DataFrame) -> DataFrame:
+    """``(column, p50, p90, p95, p99)`` of the delay columns that exist, exactly.
 
-    Mergeable sketches with rank error ``1 / accuracy``, all from one scan.
+    Delays are whole minutes with few distinct values: they are counted per
+    value first, on the map side as well, and the first value whose cumulated
+    count reaches the rank is taken. The window sees one row per value.
     """
     present = [c for c in DELAY_COLUMNS if c in df.columns]
-    points = F.array(*(F.lit(p) for p in QUANTILES.values()))
-    sketches = df.agg(
-        *(F.percentile_approx(c, points, accuracy).alias(c) for c in present)
+    cells = F.array(
+        *(
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+            for c in present
+        )
+    )
+    counts = (
+        df.select(F.inline(cells)).where("value is not null").groupBy("column", "value").count()
     )
-    rows = [
+    by = Window.partitionBy("column")
+    placed = counts.withColumns(
         {
-            "column": F.lit(c),
-            **{n: F.get(F.col(c), F.lit(i)) for i, n in enumerate(QUANTILES)},
+            "up_to": F.sum("count").over(by.orderBy("value")),
+            "all": F.sum("count").over(by),
         }
-        for c in present
+    )
+    reached = [
+        F.min(F.when(F.col("up_to") >= F.ceil(F.col("all") * p), F.col("value"))).alias(n)
+        for n, p in QUANTILES.items()
     ]
-    return long_form(sketches, rows)
+    found = placed.groupBy("column").agg(*reached)
+    names = df.sparkSession.createDataFrame([(c,) for c in present], "column string")
+    return names.join(found, "column", "left")
 
 
 def delay_conditions() -> dict[str, Column]:

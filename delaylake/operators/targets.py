@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from delaylake.functions import values
 from delaylake.functions.paths import coalesce_paths, first_path
+from delaylake.operators.dimensions import keep_smallest
 
 # Thresholds, ratio bound and seeds of the published datasets.
 THRESHOLDS = (15, 30, 45, 60, 90)
@@ -27,7 +28,7 @@ WEATHER_DELAY = ("F.weather_delay", "weather_delay")
 NAS_DELAY = ("F.nas_delay", "nas_delay")
 NAS_WEATHER = ("F.nas_weather_delay", "nas_weather_delay")
 ALPHA = ("F.alpha_nas", "alpha_nas")
-KEY = ("F.flight_key", "flight_key")
+KEY = ("F.trip_key", "trip_key")
 DEFAULT_ALPHA = 0.58
 
 MEASURES = [
@@ -44,7 +45,7 @@ MEASURES = [
 def key_column(df: DataFrame) -> Column:
     path = first_path(df, KEY)
     if path is None:
-        raise ValueError("no flight_key in the frame, neither nested nor flat")
+        raise ValueError("no trip_key in the frame, neither nested nor flat")
     return F.col(path)
 
 
@@ -61,13 +62,17 @@ def delay_measures(
     share; otherwise only a missing column is derived.
     """
 
+    for candidates in (ARRIVAL_DELAY, WEATHER_DELAY, NAS_DELAY):
+        if first_path(df, candidates) is None:
+            raise ValueError(f"no column {candidates[-1]} in the frame, neither nested nor flat")
+
     def clamped(candidates):
         return F.greatest(coalesce_paths(df, candidates, F.lit(0.0)), F.lit(0.0))
 
     given = first_path(df, NAS_WEATHER)
-    extra = [c for c in also_keep if c not in ("flight_key", *MEASURES)]
+    extra = [c for c in also_keep if c not in ("trip_key", *MEASURES)]
     flat = df.select(
-        key_column(df).alias("flight_key"),
+        key_column(df).alias("trip_key"),
         *extra,
         clamped(ARRIVAL_DELAY).alias("ARR_DELAY_NEW"),
         clamped(WEATHER_DELAY).alias("WEATHER_DELAY"),
@@ -89,7 +94,7 @@ def delay_measures(
     other_nas = F.col("NAS_DELAY") - F.col("NAS_WEATHER_DELAY")
     adjusted = F.greatest(F.col("ARR_DELAY_NEW") - other_nas, F.lit(0.0))
     return with_share.select(
-        "flight_key",
+        "trip_key",
         *extra,
         "ARR_DELAY_NEW",
         "WEATHER_DELAY",
@@ -160,16 +165,22 @@ def expand_targets(measures: DataFrame, grid: Column, tau: float, seed: int) ->
     """One row per trip and dataset it belongs to, with ``ds, th, is_pos``.
 
     ``grid`` is the scalar subquery of :func:`dataset_grid`, a few entries. Each
-    trip meets every entry inside one generated loop and only members leave it;
-    nothing is shuffled. One hash per trip decides all draws, so the negatives
-    of a smaller dataset are also negatives of a larger one.
+    trip keeps the entries it belongs to and only those become rows; nothing is
+    shuffled. One hash per trip decides all draws, so the negatives of a smaller
+    dataset are also negatives of a larger one.
     """
-    drawn = measures.withColumn("_draw", values.unit_hash(F.col("flight_key"), seed))
-    met = drawn.select("*", F.inline(grid.getField("cells")))
-    tests = [f"(ds = '{d}' and {rule})" for d, rule in positive_rules("th", tau).items()]
-    tests.append(f"(not {late('th')} and _draw < share)")
-    members = met.filter(" or ".join(tests))
-    return members.withColumn("is_pos", F.expr(f"if({late('th')}, 1, 0)")).drop("_draw", "share")
+    drawn = measures.withColumns(
+        {
+            "_draw": values.unit_hash(F.col("trip_key"), seed),
+            "_cells": grid.getField("cells"),
+        }
+    )
+    tests = [f"(c.ds = '{d}' and {rule})" for d, rule in positive_rules("c.th", tau).items()]
+    tests.append(f"(not {late('c.th')} and _draw < c.share)")
+    members = drawn.selectExpr("*", f"inline(filter(_cells, c -> {' or '.join(tests)}))")
+    return members.withColumn("is_pos", F.expr(f"if({late('th')}, 1, 0)")).drop(
+        "_draw", "_cells", "share"
+    )
 
 
 def balanced_keys(
@@ -178,24 +189,32 @@ def balanced_keys(
     tau: float = TAU,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
-    """``(flight_key, ds, th, is_pos, C)`` for all datasets and thresholds.
+    """``(trip_key, ds, th, is_pos, C)`` for all datasets and thresholds.
 
-    Two scans of the narrow measures in all, one to count and one to draw, for
-    any number of thresholds.
+    Copies of a trip count once, as in the targets. Two scans of the narrow
+    measures in all, one to count and one to draw, for any number of thresholds.
     """
-    keys = expand_targets(delay_measures(df), target_grid(df, thresholds, tau), tau, seed)
-    return keys.selectExpr("flight_key", "ds", "th", "is_pos", f"if({late('th')}, 1, 0) as C")
+    measures = unique_measures(df)
+    grid = dataset_grid(class_counts(measures, thresholds, tau)).scalar()
+    keys = expand_targets(measures, grid, tau, seed)
+    return keys.selectExpr("trip_key", "ds", "th", "is_pos", f"if({late('th')}, 1, 0) as C")
+
+
+def unique_measures(df: DataFrame, **options) -> DataFrame:
+    """:func:`delay_measures` with one row per trip: the smallest of its copies."""
+    return keep_smallest(delay_measures(df, **options), ["trip_key"])
 
 
 def attach_keys(joined: DataFrame, keys: DataFrame, with_class: bool = True) -> DataFrame:
-    """Joined trips of a key table, by ``flight_key``.
+    """Joined trips of a key table, by ``trip_key``.
 
     The join type is left to Spark, since the key table grows with the trips.
+    A key listed twice attaches its trip once.
     """
-    names = ["flight_key", "ds", "th"] + (["is_pos"] if with_class else [])
+    names = ["trip_key", "ds", "th"] + (["is_pos"] if with_class else [])
     wanted = [c for c in names if c in keys.columns]
-    keyed = joined.withColumn("flight_key", key_column(joined))
-    return keyed.join(keys.select(*wanted), "flight_key", "inner")
+    keyed = joined.withColumn("trip_key", key_column(joined))
+    return keyed.join(keys.select(*wanted).distinct(), "trip_key", "inner")
 
 
 TARGET_COLUMNS = [
@@ -203,7 +222,7 @@ TARGET_COLUMNS = [
     "Wo",
     "Wd",
     "C",
-    "flight_key",
+    "trip_key",
     "year",
     "month",
     "ds",
@@ -219,7 +238,7 @@ def target_columns(attached: DataFrame) -> DataFrame:
 def target_grid(
     trips: DataFrame, thresholds: Sequence[int] = THRESHOLDS, tau: float = TAU
 ) -> Column:
-    """Scalar subquery of :func:`dataset_grid` over all trips, joined or flat."""
+    """Scalar subquery of :func:`dataset_grid` over all trips, joined or flat, one row each."""
     return dataset_grid(class_counts(delay_measures(trips), thresholds, tau)).scalar()
 
 
@@ -270,7 +289,7 @@ def slice_sample(targets: DataFrame, ds: str = "D2", th: int = 60, n: int = 20)
     """The first ``n`` rows of a slice by key, for inspection."""
     return (
         target_slice(targets, ds, th)
-        .orderBy("flight_key")
+        .orderBy("trip_key")
         .limit(n)
         .select("F.carrier", "F.flnum", "F.date", "C", "is_pos")
     )

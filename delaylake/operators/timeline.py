@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from delaylake.functions import clock
 from delaylake.functions.paths import column_or_null
-from delaylake.operators import skew
 from delaylake.operators.trips import unique_trips
 
 LOOKBACK_HOURS = 12
@@ -64,11 +63,11 @@ def observation_point(df: DataFrame, prefix: str, time_column: str = "obs_utc")
 
 def hour_number(ts: str) -> str:
     """SQL: hours since the epoch, the same for any session time zone."""
-    return f"(unix_timestamp({ts}) div {clock.HOUR_SECONDS})"
+    return f"cast(floor(unix_timestamp({ts}) / {clock.HOUR_SECONDS}) as bigint)"
 
 
 def day_number(ts: str) -> str:
-    return f"({hour_number(ts)} div {DAY_HOURS})"
+    return f"cast(floor({hour_number(ts)} / {DAY_HOURS}) as bigint)"
 
 
 def complete_trips(trips: DataFrame) -> DataFrame:
@@ -106,27 +105,28 @@ def within_trip_times(observations: DataFrame, trips: DataFrame) -> DataFrame:
 
 
 def hourly_observations(
-    observations: DataFrame, tolerance_min: int = DEFAULT_TOLERANCE_MIN
+    observations: DataFrame, tolerance_min: int = DEFAULT_TOLERANCE_MIN, mode: str = "floor"
 ) -> DataFrame:
-    """One observation per airport and hour: the first within the tolerance.
-
-    The hour is the one the observation falls in, so a reading late in the hour
-    is out of tolerance and dropped before the shuffle. The choice is a ``min``
-    over a struct: partial aggregation leaves one row per airport, hour and map
-    task, and ties fall to station and measures, not to arrival order.
+    """One observation per airport and hour: the closest within the tolerance.
+
+    ``mode="floor"`` gives a reading to the hour it falls in, so one late in the
+    hour is out of tolerance; ``mode="nearest"`` gives it to the nearest full
+    hour, so one at minute 53 counts for the next. Readings out of tolerance go
+    before the shuffle. The choice is a ``min`` over a struct: partial
+    aggregation leaves one row per airport, hour and map task, and ties fall to
+    station and measures, not to arrival order.
     """
-    payload = [
-        column_or_null(observations, source, dtype).cast(dtype).alias(name)
-        for name, (source, dtype) in POINT_FIELDS.items()
-    ]
-    timed = observations.withColumns(
-        {
-            "hour": F.expr(hour_number("obs_utc")),
-            "late_sec": F.expr(f"unix_timestamp(obs_utc) % {clock.HOUR_SECONDS}"),
-        }
+    if mode not in ("floor", "nearest"):
+        raise ValueError(f"mode is floor or nearest, not {mode}")
+    point = observation_point(observations, "p")
+    shift = clock.HOUR_SECONDS // 2 if mode == "nearest" else 0
+    hour = f"cast(floor((unix_timestamp(obs_utc) + {shift}) / {clock.HOUR_SECONDS}) as bigint)"
+    timed = observations.withColumns({"hour": F.expr(hour), "_point": point}).withColumn(
+        "off_sec", F.abs(F.unix_timestamp("obs_utc") - F.col("hour") * clock.HOUR_SECONDS)
     )
-    near = timed.filter(F.col("late_sec") <= tolerance_min * 60).select(
-        "airport_id", "hour", F.struct("late_sec", "WBAN", "obs_utc", *payload).alias("reading")
+    payload = [F.col(f"_point.p_{name}").alias(name) for name in POINT_FIELDS]
+    near = timed.filter(F.col("off_sec") <= tolerance_min * 60).select(
+        "airport_id", "hour", F.struct("off_sec", "obs_utc", "WBAN", *payload).alias("reading")
     )
     best = near.groupBy("airport_id", "hour").agg(F.min("reading").alias("r"))
     return best.select(
@@ -146,12 +146,11 @@ def weather_strips(hourly: DataFrame) -> DataFrame:
     own day and, as lookback, to the next one. At most 36 rows meet in a group
     because the input is unique per airport and hour.
     """
-    own = f"struct(hour div {DAY_HOURS} as day, hour % {DAY_HOURS} + {LOOKBACK_HOURS} as slot)"
-    next_day = (
-        f"struct(hour div {DAY_HOURS} + 1 as day, hour % {DAY_HOURS} - {LOOKBACK_HOURS} as slot)"
-    )
+    day, in_day = f"cast(floor(hour / {DAY_HOURS}) as bigint)", f"pmod(hour, {DAY_HOURS})"
+    own = f"struct({day} as day, {in_day} + {LOOKBACK_HOURS} as slot)"
+    next_day = f"struct({day} + 1 as day, {in_day} - {LOOKBACK_HOURS} as slot)"
     days = (
-        f"if(hour % {DAY_HOURS} >= {DAY_HOURS - LOOKBACK_HOURS}, "
+        f"if({in_day} >= {DAY_HOURS - LOOKBACK_HOURS}, "
         f"array({own}, {next_day}), array({own}))"
     )
     placed = hourly.selectExpr(
@@ -170,30 +169,18 @@ def weather_strips(hourly: DataFrame) -> DataFrame:
     return by_slot.selectExpr("airport_id", "day", f"{dense} as strip")
 
 
-def busy_strips(
-    trips: DataFrame, rows_per_salt: int = skew.ROWS_PER_SALT
-) -> DataFrame | None:
-    """``(airport_id, day)`` pairs that very many trips look up, from one scan."""
-    ends = ", ".join(
-        f"struct({airport} as airport_id, {day_number(ts)} as day)"
-        for airport, ts in TRIP_ENDS.values()
-    )
-    lookups = complete_trips(trips).selectExpr(f"inline(array({ends}))")
-    return skew.pinned(skew.hot_keys(lookups, ["airport_id", "day"], rows_per_salt))
-
-
 TRIP_ENDS = {
     "o": ("origin_airport_id", "dep_ts_utc"),
     "d": ("dest_airport_id", "arr_ts_utc"),
 }
 
 
-def attach_timeline(
-    trips: DataFrame, strips: DataFrame, prefix: str, hot: DataFrame | None = None
-) -> DataFrame:
+def attach_timeline(trips: DataFrame, strips: DataFrame, prefix: str) -> DataFrame:
     """Add the 13 points up to the hour of departure (``o``) or arrival (``d``).
 
-    Newest first. An hour without observation is a point with only its time.
+    Newest first. An hour without observation is a point with only its time. A
+    plain left join: the strips have one row per key, and adaptive execution
+    splits the trips of a key that outgrows the others.
     """
     airport, ts = TRIP_ENDS[prefix]
     columns = trips.columns
@@ -203,8 +190,8 @@ def attach_timeline(
         f"{day_number(ts)} as day",
         f"{hour_number(ts)} as _hour",
     )
-    found = skew.lookup_join(keyed, strips, ["airport_id", "day"], hot, "flight_key")
-    cut = f"reverse(slice(strip, cast(_hour % {DAY_HOURS} + 1 as int), {POINTS}))"
+    found = keyed.join(strips, ["airport_id", "day"], "left")
+    cut = f"reverse(slice(strip, cast(pmod(_hour, {DAY_HOURS}) + 1 as int), {POINTS}))"
     empty = f"transform(sequence(0, {LOOKBACK_HOURS}), back -> {empty_point('_hour - back')})"
     named = f"array<{point_type(prefix + '_')}>"
     return found.selectExpr(
@@ -225,7 +212,7 @@ JT_TRIP_COLUMNS = [
     "FL_NUM",
     "FL_DATE",
     "CRS_DEP_TIME",
-    "flight_key",
+    "trip_key",
     "year",
     "month",
 ]
@@ -236,26 +223,24 @@ def join_weather(
     observations: DataFrame,
     tolerance_min: int = DEFAULT_TOLERANCE_MIN,
     deduplicate: bool = True,
-    rows_per_salt: int = skew.ROWS_PER_SALT,
     all_trips: DataFrame | None = None,
 ) -> DataFrame:
     """Trips with both timelines, ``Wo`` and ``Wd``.
 
     The strips and their shuffle are the same for both ends, so Spark computes
     them once. ``deduplicate=False`` saves a shuffle
-    when ``flight_key`` is known to be unique.
+    when ``trip_key`` is known to be unique.
 
     ``all_trips`` is the stored table ``trips`` was selected from, if any. The
-    time bounds and the busy keys then come from narrow scans of that table;
-    both may cover more than ``trips`` without changing the result.
+    time bounds then come from a narrow scan of that table; they may cover more
+    than ``trips`` without changing the result.
     """
     profiled = trips if all_trips is None else all_trips
     needed = complete_trips(trips).select(*JT_TRIP_COLUMNS)
     base = unique_trips(needed) if deduplicate else needed
     hourly = hourly_observations(within_trip_times(observations, profiled), tolerance_min)
-    hot = busy_strips(profiled, rows_per_salt)
     strips = weather_strips(hourly)
-    return attach_timeline(attach_timeline(base, strips, "o", hot), strips, "d", hot)
+    return attach_timeline(attach_timeline(base, strips, "o"), strips, "d")
 
 
 def label_trips(joined: DataFrame, threshold_min: int) -> DataFrame:
@@ -277,7 +262,7 @@ def label_trips(joined: DataFrame, threshold_min: int) -> DataFrame:
         F.col("WEATHER_DELAY").alias("weather_delay"),
         F.col("NAS_DELAY").alias("nas_delay"),
         F.col("NAS_WEATHER_DELAY").alias("nas_weather_delay"),
-        "flight_key",
+        "trip_key",
     )
     return joined.select(packed.alias("F"), "Wo", "Wd", late.alias("C"), "year", "month")
 

@@ -150,7 +150,7 @@ def served_airports(trips: DataFrame) -> DataFrame:
 
 def with_trip_key(trips: DataFrame) -> DataFrame:
     return trips.withColumn(
-        "flight_key",
+        "trip_key",
         values.trip_key(
             F.col("OP_CARRIER_AIRLINE_ID"),
             F.col("FL_NUM"),
@@ -162,5 +162,5 @@ def with_trip_key(trips: DataFrame) -> DataFrame:
 
 
 def unique_trips(trips: DataFrame) -> DataFrame:
-    """One row per ``flight_key``; copies collapse on the map side."""
-    return keep_smallest(trips, ["flight_key"])
+    """One row per ``trip_key``; copies collapse on the map side."""
+    return keep_smallest(trips, ["trip_key"])

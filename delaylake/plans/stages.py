@@ -8,10 +8,15 @@ scans columns and partitions instead of recomputing.
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delaylake.operators import diagnostics, quality, ratios, targets
 from delaylake.operators.dimensions import airport_offsets, station_offsets
@@ -38,6 +43,7 @@ from delaylake.operators.trips import (
     with_trip_key,
 )
 from delaylake.sources import files
+from delaylake.sources.schemas import OBSERVATION_COLUMNS, TRIP_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -49,6 +55,9 @@ class RawInputs:
     mapping_file: str
     months: Sequence[str]
 
+    def only(self, month: str) -> RawInputs:
+        return replace(self, months=[month])
+
     @property
     def trip_files(self) -> list[str]:
         return files.monthly_paths(self.trips_folder, self.months, ".csv")
@@ -74,36 +83,51 @@ SILVER_TRIPS = "silver/trips"
 SILVER_OBSERVATIONS = "silver/observations"
 GOLD_JOINED = "gold/joined"
 GOLD_TARGETS = "gold/targets"
+GOLD_MANIFEST = "gold/manifest"
 
 MONTHS = ("year", "month")
 SLICES = ("ds", "th", "year", "month")
+# The label C of joined trips means this threshold in every run.
+LABEL_TH = targets.THRESHOLDS[0]
 
 
-def _stored(
-    spark: SparkSession,
-    lake: Lake,
-    name: str,
-    df: DataFrame,
-    partition_by: Sequence[str],
-    replace_only_written: bool = False,
-) -> DataFrame:
-    """Write a stage table and read it back with its own types."""
-    files.reject_duplicate_columns(df)
-    files.write_table(df, lake.path(name), partition_by, replace_only_written)
-    return files.read_table(spark, lake.path(name), df.schema)
+def input_part(month: str) -> str:
+    """The folder of what one input month gave: it is written and replaced as a whole."""
+    return f"input={month}"
+
+
+def _write_month(
+    lake: Lake, names: Sequence[str], frames: Sequence[DataFrame], month: str
+) -> None:
+    for name, df in zip(names, frames):
+        files.reject_duplicate_columns(df)
+        files.write_table(df, f"{lake.path(name)}/{input_part(month)}", MONTHS)
 
 
-def read_or_build(
+def _by_month(
     spark: SparkSession,
+    raw: RawInputs,
     lake: Lake,
     names: Sequence[str],
-    schemas: Sequence,
-    build: Callable[[], Sequence[DataFrame]],
-) -> Sequence[DataFrame]:
-    """Read the tables when all exist, else build them."""
-    if all(files.table_exists(spark, lake.path(n)) for n in names):
-        return [files.read_table(spark, lake.path(n), s) for n, s in zip(names, schemas)]
-    return build()
+    shapes: Sequence[DataFrame],
+    build: Callable[[RawInputs], Sequence[DataFrame]],
+    refresh: Sequence[str],
+) -> list[DataFrame]:
+    """The tables of the requested months: stored ones are read, missing ones built and stored.
+
+    Months outside the request stay as they are. ``refresh`` names months to
+    build again although they are stored.
+    """
+    for month in raw.months:
+        done = all(
+            files.table_exists(spark, f"{lake.path(n)}/{input_part(month)}") for n in names
+        )
+        if not done or month in refresh:
+            _write_month(lake, names, build(raw.only(month)), month)
+    parts = [input_part(m) for m in raw.months]
+    return [
+        files.read_table(spark, lake.path(n), df.schema, parts) for n, df in zip(names, shapes)
+    ]
 
 
 def bronze(
@@ -121,12 +145,10 @@ def silver(
     return clean_trips(trips), silver_observations(observations, station_offsets(mapping))
 
 
-def gold_joined(
-    trips: DataFrame, observations: DataFrame, thresholds: Sequence[int] = targets.THRESHOLDS
-) -> DataFrame:
-    """Joined trips, labeled at the first threshold."""
+def gold_joined(trips: DataFrame, observations: DataFrame) -> DataFrame:
+    """Joined trips, labeled at ``LABEL_TH``."""
     keyed = with_trip_key(trips)
-    return label_trips(join_weather(keyed, observations, all_trips=trips), thresholds[0])
+    return label_trips(join_weather(keyed, observations, all_trips=trips), LABEL_TH)
 
 
 def gold_targets(
@@ -160,65 +182,119 @@ def gold_targets_direct(
     grid = targets.target_grid(timed, thresholds, tau)
     chosen = targets.trips_in_targets(timed, grid, thresholds, seed)
     joined = join_weather(chosen, observations, deduplicate=False, all_trips=trips)
-    return targets.build_targets(label_trips(joined, thresholds[0]), grid, tau, seed)
+    return targets.build_targets(label_trips(joined, LABEL_TH), grid, tau, seed)
+
+
+MAPPING_COLUMNS = ["WBAN", "AirportID", "TimeZone"]
 
 
 def raw_mapping(spark: SparkSession, raw: RawInputs) -> DataFrame:
-    return files.read_delimited(spark, [raw.mapping_file])
+    return files.read_delimited(spark, [raw.mapping_file], columns=MAPPING_COLUMNS)
 
 
 def bronze_frames(spark: SparkSession, raw: RawInputs) -> tuple[DataFrame, DataFrame]:
     """Bronze frames of the raw files, nothing stored."""
     return bronze(
-        files.read_delimited(spark, raw.trip_files),
-        files.read_delimited(spark, raw.observation_files),
+        files.read_delimited(spark, raw.trip_files, columns=TRIP_COLUMNS),
+        files.read_delimited(spark, raw.observation_files, columns=OBSERVATION_COLUMNS),
         raw_mapping(spark, raw),
     )
 
 
+def _no_rows(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+
+
+def shapes(spark: SparkSession) -> dict[str, DataFrame]:
+    """Empty frames with the columns of the stage tables; no input is touched."""
+    mapping = _no_rows(spark, MAPPING_COLUMNS)
+    b = bronze(_no_rows(spark, TRIP_COLUMNS), _no_rows(spark, OBSERVATION_COLUMNS), mapping)
+    s = silver(*b, mapping)
+    joined = gold_joined(*s)
+    return {
+        BRONZE_TRIPS: b[0],
+        BRONZE_OBSERVATIONS: b[1],
+        SILVER_TRIPS: s[0],
+        SILVER_OBSERVATIONS: s[1],
+        GOLD_JOINED: joined,
+        GOLD_TARGETS: gold_targets(joined),
+    }
+
+
 def run_bronze(
-    spark: SparkSession, raw: RawInputs, lake: Lake, store: bool = True
+    spark: SparkSession,
+    raw: RawInputs,
+    lake: Lake,
+    store: bool = True,
+    refresh: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    trips, observations = bronze_frames(spark, raw)
     if not store:
-        return trips, observations
-    return (
-        _stored(spark, lake, BRONZE_TRIPS, trips, MONTHS),
-        _stored(spark, lake, BRONZE_OBSERVATIONS, observations, MONTHS),
+        return bronze_frames(spark, raw)
+    names, shape = [BRONZE_TRIPS, BRONZE_OBSERVATIONS], shapes(spark)
+    build = lambda part: bronze_frames(spark, part)
+    return tuple(
+        _by_month(spark, raw, lake, names, [shape[n] for n in names], build, refresh)
     )
 
 
 def run_silver(
-    spark: SparkSession, raw: RawInputs, lake: Lake, store: bool = True
+    spark: SparkSession,
+    raw: RawInputs,
+    lake: Lake,
+    store: bool = True,
+    refresh: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    shapes = bronze_frames(spark, raw)
-    trips, observations = read_or_build(
-        spark,
-        lake,
-        [BRONZE_TRIPS, BRONZE_OBSERVATIONS],
-        [s.schema for s in shapes],
-        lambda: run_bronze(spark, raw, lake, store),
-    )
-    trips, observations = silver(trips, observations, raw_mapping(spark, raw))
+    """Silver tables; a station join that loses too many readings raises a warning."""
+
+    def build(part: RawInputs) -> tuple[DataFrame, DataFrame]:
+        again = [m for m in part.months if m in refresh]
+        trips, observations = run_bronze(spark, part, lake, store, again)
+        loss = join_loss(spark, part, observations).first()
+        if loss["alarm"]:
+            warnings.warn(
+                f"months {', '.join(part.months)}: {loss['loss_pct']:.1f} % of the observations "
+                "are at stations without an airport",
+                stacklevel=2,
+            )
+        return silver(trips, observations, raw_mapping(spark, raw))
+
     if not store:
-        return trips, observations
-    return (
-        _stored(spark, lake, SILVER_TRIPS, trips, MONTHS),
-        _stored(spark, lake, SILVER_OBSERVATIONS, observations, MONTHS),
+        return build(raw)
+    names, shape = [SILVER_TRIPS, SILVER_OBSERVATIONS], shapes(spark)
+    return tuple(
+        _by_month(spark, raw, lake, names, [shape[n] for n in names], build, refresh)
     )
 
 
-def _silver_tables(
-    spark: SparkSession, raw: RawInputs, lake: Lake, store: bool
-) -> Sequence[DataFrame]:
-    shapes = silver(*bronze_frames(spark, raw), raw_mapping(spark, raw))
-    return read_or_build(
-        spark,
-        lake,
-        [SILVER_TRIPS, SILVER_OBSERVATIONS],
-        [s.schema for s in shapes],
-        lambda: run_silver(spark, raw, lake, store),
-    )
+MANIFEST = "th int, months string, version string"
+
+
+def manifest(spark: SparkSession, lake: Lake) -> dict[int, tuple[str, str]]:
+    """Input months and version of each stored threshold: a few rows."""
+    path = lake.path(GOLD_MANIFEST)
+    if not files.table_exists(spark, path):
+        return {}
+    rows = files.read_table(spark, path, StructType.fromDDL(MANIFEST)).collect()
+    return {r["th"]: (r["months"], r["version"]) for r in rows}
+
+
+def read_targets(
+    spark: SparkSession, lake: Lake, thresholds: Sequence[int] | None = None
+) -> DataFrame:
+    """The current targets of some or all stored thresholds."""
+    stored = manifest(spark, lake)
+    wanted = sorted(stored) if thresholds is None else list(thresholds)
+    schema = shapes(spark)[GOLD_TARGETS].schema
+    by_version: dict[str, list[int]] = {}
+    for th in wanted:
+        by_version.setdefault(stored[th][1], []).append(th)
+    parts = [
+        files.read_table(spark, f"{lake.path(GOLD_TARGETS)}/{v}", schema).filter(
+            F.col("th").isin(ths)
+        )
+        for v, ths in by_version.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_gold(
@@ -227,22 +303,34 @@ def run_gold(
     lake: Lake,
     thresholds: Sequence[int] = targets.THRESHOLDS,
     store: bool = True,
+    refresh: Sequence[str] = (),
 ) -> DataFrame:
-    """Targets of all thresholds. A run for some thresholds replaces only theirs."""
-    trips, observations = _silver_tables(spark, raw, lake, store)
+    """Targets of the thresholds over the requested months.
+
+    Each run writes a version of its own, and the manifest then points the
+    thresholds of the run to it: they are replaced as a whole, others keep
+    theirs, and a reader sees the old or the new version.
+    """
+    trips, observations = run_silver(spark, raw, lake, store, refresh)
     if not store:
         return gold_targets_direct(trips, observations, thresholds)
-    joined = _stored(
-        spark, lake, GOLD_JOINED, gold_joined(trips, observations, thresholds), MONTHS
-    )
-    return _stored(
-        spark,
-        lake,
-        GOLD_TARGETS,
-        gold_targets(joined, thresholds),
-        SLICES,
-        replace_only_written=True,
+    shape = shapes(spark)[GOLD_JOINED].schema
+    joined = gold_joined(trips, observations)
+    files.reject_duplicate_columns(joined)
+    files.write_table(joined, lake.path(GOLD_JOINED), MONTHS)
+    joined = files.read_table(spark, lake.path(GOLD_JOINED), shape)
+    version = f"version-{uuid.uuid4().hex}"
+    files.write_table(
+        gold_targets(joined, thresholds), f"{lake.path(GOLD_TARGETS)}/{version}", SLICES
     )
+    entries = manifest(spark, lake) | {th: (_months(raw), version) for th in thresholds}
+    rows = [(th, months, v) for th, (months, v) in sorted(entries.items())]
+    files.write_table(spark.createDataFrame(rows, MANIFEST), lake.path(GOLD_MANIFEST))
+    return read_targets(spark, lake, thresholds)
+
+
+def _months(raw: RawInputs) -> str:
+    return ",".join(sorted(raw.months))
 
 
 def targets_table(
@@ -252,26 +340,21 @@ def targets_table(
     thresholds: Sequence[int] = targets.THRESHOLDS,
     store: bool = True,
 ) -> DataFrame:
-    """The stored targets, or a gold run when there are none."""
-    trips, observations = silver(*bronze_frames(spark, raw), raw_mapping(spark, raw))
-    shape = gold_targets(gold_joined(trips, observations, thresholds), thresholds).schema
-    return read_or_build(
-        spark,
-        lake,
-        [GOLD_TARGETS],
-        [shape],
-        lambda: [run_gold(spark, raw, lake, thresholds, store)],
-    )[0]
+    """The stored targets, or a gold run unless they cover the months and thresholds."""
+    stored = manifest(spark, lake)
+    if all(stored.get(th, ("", ""))[0] == _months(raw) for th in thresholds):
+        return read_targets(spark, lake, thresholds)
+    return run_gold(spark, raw, lake, thresholds, store)
 
 
 def bronze_reports(trips: DataFrame, observations: DataFrame) -> dict[str, DataFrame]:
     shown = [c for c in quality.OBSERVATION_REPORT if c in observations.columns]
     readings = observations.select(*shown) if shown else observations
     return {
-        "flights_nulls": quality.missing_counts(trips),
-        "flights_uniques": quality.distinct_counts(trips, quality.BRONZE_TRIP_KEYS),
-        "weather_nulls": quality.missing_counts(readings),
-        "weather_uniques": quality.distinct_counts(readings, quality.OBSERVATION_KEYS),
+        "trips_nulls": quality.missing_counts(trips),
+        "trips_uniques": quality.distinct_counts(trips, quality.BRONZE_TRIP_KEYS),
+        "readings_nulls": quality.missing_counts(readings),
+        "readings_uniques": quality.distinct_counts(readings, quality.OBSERVATION_KEYS),
     }
 
 
@@ -336,17 +419,11 @@ def run_diagnostics(
     spark: SparkSession, raw: RawInputs, lake: Lake, **slice_of
 ) -> dict[str, DataFrame]:
     """Diagnostics of the stored tables, building what is missing."""
-    trips, observations = _silver_tables(spark, raw, lake, True)
-    shapes = bronze_frames(spark, raw)
-    _, bronze_obs = read_or_build(
-        spark,
-        lake,
-        [BRONZE_TRIPS, BRONZE_OBSERVATIONS],
-        [s.schema for s in shapes],
-        lambda: run_bronze(spark, raw, lake),
-    )
+    _, bronze_obs = run_bronze(spark, raw, lake)
+    trips, observations = run_silver(spark, raw, lake)
     table = targets_table(spark, raw, lake)
-    return diagnostic_reports(table, trips, observations, bronze_obs, **slice_of)
+    reports = diagnostic_reports(table, trips, observations, bronze_obs, **slice_of)
+    return {**reports, "station_join_loss": join_loss(spark, raw, bronze_obs)}
 
 
 def join_loss(spark: SparkSession, raw: RawInputs, bronze_obs: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ data, and dirty numbers are handled by ``try_cast`` in the bronze projections.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +25,19 @@ def read_delimited(
     paths: Sequence[str],
     sep: str = ",",
     header: bool = True,
-    infer: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Text files as strings.
+
+    With ``columns`` each path is read by its own header and the named columns
+    are picked, so paths may order their columns differently; a missing one is
+    an error. Without, all paths must have the header of the first.
+    """
     reader = spark.read.option("sep", sep).option("header", header)
-    return reader.option("inferSchema", infer).csv(list(paths))
+    if columns is None:
+        return reader.csv(list(paths))
+    parts = [require_columns(reader.csv(p), columns).select(*columns) for p in paths]
+    return reduce(DataFrame.union, parts)
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -49,27 +58,40 @@ def reject_duplicate_columns(df: DataFrame) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Is there a readable table at the path (or under the catalog name)?"""
-    if "/" not in path and spark.catalog.tableExists(path):
-        return True
+    """Was a table written to the path to its end?
+
+    The marker of a finished write is asked for, so a folder that a broken job
+    left behind is no table. Only the path is looked up; no job runs.
+    """
     try:
-        spark.read.parquet(path)
+        spark.read.text(f"{path.rstrip('/')}/_SUCCESS")
     except AnalysisException:
         return False
     return True
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    parts: Sequence[str] | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
-    """Read a stage table.
+    """Read a stage table, or some of its part folders.
 
     Give the schema to keep ``month`` as text (``'01'``) and the column order;
     partition columns would otherwise be typed by their values and come last.
+    ``fmt`` is any format that the session has a reader for.
     """
-    if schema is None:
-        return spark.read.parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    if parts is None:
+        df = reader.load(path)
+    else:
+        base = path.rstrip("/")
+        df = reader.option("basePath", base).load([f"{base}/{p}" for p in parts])
+    return df if schema is None else df.select(*schema.names)
 
 
 def write_table(
@@ -78,16 +100,19 @@ def write_table(
     partition_by: Sequence[str] = (),
     replace_only_written: bool = False,
     max_records_per_file: int = 5_000_000,
+    fmt: str = "parquet",
 ) -> None:
     """Overwrite a partitioned table.
 
     Rows are rebalanced on the partition columns: few files per partition, and
     adaptive execution splits a partition that holds far more than the others.
-    ``replace_only_written`` keeps partitions that this frame does not touch.
+    ``replace_only_written`` keeps partitions that this frame does not touch,
+    also those that it would have replaced by nothing.
     """
     laid_out = df.hint("rebalance", *partition_by) if partition_by else df
     writer = (
-        laid_out.write.mode("overwrite")
+        laid_out.write.format(fmt)
+        .mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .option(
             "partitionOverwriteMode", "dynamic" if replace_only_written else "static"
@@ -95,7 +120,7 @@ def write_table(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.save(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
@@ -104,13 +129,11 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one all executors share (``spark.checkpoint.dir``).
-
-    Only a session without that setting, as in tests, gets a local folder.
-    """
+    """A new folder below the one all executors share (``spark.checkpoint.dir``)."""
     base = (
         spark.conf.get("spark.checkpoint.dir", None)
         or spark.sparkContext.getCheckpointDir()
-        or tempfile.mkdtemp(prefix="delaylake-")
     )
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -19,7 +19,7 @@ def point_type(p):
 
 def with_timelines(spark, wo, wd="[]"):
     return spark.sql(
-        f"""select 'k' as flight_key, from_json('{wo}', 'array<{point_type("o")}>') as Wo,
+        f"""select 'k' as trip_key, from_json('{wo}', 'array<{point_type("o")}>') as Wo,
                    from_json('{wd}', 'array<{point_type("d")}>') as Wd"""
     )
 
@@ -59,14 +59,14 @@ def targets_frame(spark, n=600):
         data.append((f"k{i}", "D2", 60, pos, i % 5, i % 7, i % 6, i, hhmm, 2012, f"{1 + i % 12:02d}", vis))
     df = spark.createDataFrame(
         data,
-        "flight_key string, ds string, th int, is_pos int, carrier int, o int, d int, n int, "
+        "trip_key string, ds string, th int, is_pos int, carrier int, o int, d int, n int, "
         "hhmm int, year int, month string, vis double",
     )
     nulls = ", ".join(f"cast(null as double) as {{p}}_{v}" for v in VARS[1:])
     return df.selectExpr(
-        "flight_key", "ds", "th", "is_pos", "is_pos as C", "year", "month",
+        "trip_key", "ds", "th", "is_pos", "is_pos as C", "year", "month",
         "struct(carrier, n as flnum, o as origin_airport_id, d as dest_airport_id, "
-        "hhmm as crs_dep_scheduled_hhmm, flight_key) as F",
+        "hhmm as crs_dep_scheduled_hhmm, trip_key) as F",
         f"array(struct(cast(null as string) as o_wxType, vis as o_vis, {nulls.format(p='o')})) as Wo",
         f"array(struct(cast(null as string) as d_wxType, vis as d_vis, {nulls.format(p='d')})) as Wd",
     )
@@ -75,7 +75,7 @@ def targets_frame(spark, n=600):
 def test_flat_features_drop_incomplete_rows(spark):
     flat = features.flat_features(targets_frame(spark, 20))
     assert flat.count() == 19
-    r = flat.filter("flight_key = 'k3'").first()
+    r = flat.filter("trip_key = 'k3'").first()
     assert r["month"] == 4 and r["label"] == 1.0
     assert r["dep_minutes"] == r["crs_dep_time"] // 100 * 60 + r["crs_dep_time"] % 100
 
@@ -83,11 +83,11 @@ def test_flat_features_drop_incomplete_rows(spark):
 def test_split_is_a_partition(spark):
     table = targets_frame(spark)
     train, test, names = features.prepare_dataset(table, "D2", 60, origin_hours=1, dest_hours=1)
-    a = {r[0] for r in train.select("flight_key").collect()}
-    b = {r[0] for r in test.select("flight_key").collect()}
+    a = {r[0] for r in train.select("trip_key").collect()}
+    b = {r[0] for r in test.select("trip_key").collect()}
     assert not a & b and len(a | b) == 599 and 0.12 < len(b) / 599 < 0.28
     again, _, _ = features.prepare_dataset(table.repartition(5), "D2", 60)
-    assert {r[0] for r in again.select("flight_key").collect()} == a
+    assert {r[0] for r in again.select("trip_key").collect()} == a
     assert names == features.weather_feature_names(1, 1)
 
 

@@ -39,7 +39,7 @@ def stored(spark, raw, tmp_path_factory):
     return lake, stages.run_gold(spark, raw, lake)
 
 
-COLUMNS = ["flight_key", "ds", "th", "is_pos", "C", "year", "month"]
+COLUMNS = ["trip_key", "ds", "th", "is_pos", "C", "year", "month"]
 
 
 def test_paths_of_months(raw):
@@ -60,7 +60,7 @@ def test_stored_and_direct_targets_agree(spark, raw, stored, tmp_path):
     _, table = stored
     direct = stages.run_gold(spark, raw, stages.Lake(str(tmp_path)), store=False)
     shown = [*COLUMNS, "Wo.o_vis", "Wd.d_tempC"]
-    keys = ["flight_key", "ds", "th"]
+    keys = ["trip_key", "ds", "th"]
     assert rows(direct.select(*shown), *keys) == rows(table.select(*shown), *keys)
     assert not os.listdir(tmp_path)
 

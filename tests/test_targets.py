@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from delaylake.operators import ratios, targets
 
 FLAT = (
-    "flight_key string, ARR_DELAY_NEW double, WEATHER_DELAY double, NAS_DELAY double, "
+    "trip_key string, ARR_DELAY_NEW double, WEATHER_DELAY double, NAS_DELAY double, "
     "NAS_WEATHER_DELAY double"
 )
 
@@ -23,7 +23,7 @@ def test_measures_edges(spark):
         ("clamp", 10.0, 0.0, 40.0, 20.0),
         ("small", 0.5, 0.5, 0.0, 0.0),
     ]
-    got = {r["flight_key"]: r for r in targets.delay_measures(flat(spark, data)).collect()}
+    got = {r["trip_key"]: r for r in targets.delay_measures(flat(spark, data)).collect()}
     assert got["null"]["ARR_DELAY_NEW"] == 0 and not got["null"]["has_meteo"]
     assert got["neg"]["ARR_DELAY_NEW"] == 0
     assert got["clamp"]["ARR_NASW"] == 0 and got["clamp"]["ratio_adj"] == 20
@@ -52,7 +52,7 @@ def test_rules_on_both_sides(spark):
     ]
     m = targets.delay_measures(flat(spark, data))
     found = {
-        ds: {r[0] for r in m.filter(rule).select("flight_key").collect()}
+        ds: {r[0] for r in m.filter(rule).select("trip_key").collect()}
         for ds, rule in targets.positive_rules(th).items()
     }
     assert found["D1"] == {"d1_in"}
@@ -80,7 +80,7 @@ def test_keys_do_not_depend_on_partitioning(spark):
     data = [(f"k{i}", float(i * 37 % 140), float(i % 3), float(i % 5), float(i % 5) / 2) for i in range(2000)]
     one = targets.balanced_keys(flat(spark, data).coalesce(1))
     many = targets.balanced_keys(flat(spark, data).repartition(9))
-    order = ["flight_key", "ds", "th"]
+    order = ["trip_key", "ds", "th"]
     assert rows(one, *order) == rows(many, *order)
     # Nested: D1, D2 within D3 within D4, for positives and negatives.
     member = {}
@@ -99,7 +99,7 @@ def joined(spark, data):
         F.lit(1).alias("carrier"), F.lit(2).alias("flnum"), F.lit(None).cast("date").alias("date"),
         F.col("ARR_DELAY_NEW").alias("arr_delay_new"), F.col("WEATHER_DELAY").alias("weather_delay"),
         F.col("NAS_DELAY").alias("nas_delay"), F.col("NAS_WEATHER_DELAY").alias("nas_weather_delay"),
-        "flight_key",
+        "trip_key",
     )
     none = F.array().cast("array<struct<x: int>>")
     return df.select(
@@ -114,14 +114,14 @@ def test_direct_targets_equal_joined_keys(spark):
     jt = joined(spark, data)
     direct = targets.build_targets(jt, targets.target_grid(jt))
     by_join = targets.target_columns(targets.attach_keys(jt, targets.balanced_keys(jt)))
-    cols = ["flight_key", "ds", "th", "is_pos", "C"]
+    cols = ["trip_key", "ds", "th", "is_pos", "C"]
     assert rows(direct.select(*cols), *cols) == rows(by_join.select(*cols), *cols)
     assert direct.columns == by_join.columns == targets.TARGET_COLUMNS
 
     grid = targets.target_grid(flat(spark, data))
     chosen = targets.trips_in_targets(flat(spark, data), grid)
-    assert rows(chosen.select("flight_key"), "flight_key") == rows(
-        direct.select("flight_key").distinct(), "flight_key"
+    assert rows(chosen.select("trip_key"), "trip_key") == rows(
+        direct.select("trip_key").distinct(), "trip_key"
     )
 
 

@@ -14,7 +14,7 @@ OBS = (
     "WeatherType string, Visibility double"
 )
 TRIP = (
-    "flight_key string, origin_airport_id int, dest_airport_id int, dep_ts_utc timestamp, "
+    "trip_key string, origin_airport_id int, dest_airport_id int, dep_ts_utc timestamp, "
     "arr_ts_utc timestamp, ARR_DELAY_NEW double, WEATHER_DELAY double, NAS_DELAY double, "
     "NAS_WEATHER_DELAY double, OP_CARRIER_AIRLINE_ID int, FL_NUM int, FL_DATE date, "
     "CRS_DEP_TIME int, year int, month string"
@@ -95,7 +95,7 @@ def test_join_matches_brute_force(spark, world, rows_per_salt):
         steps = [hour - timedelta(hours=i) for i in range(13)]
         return [(s, best[airport, s][2] if (airport, s) in best else None) for s in steps]
 
-    out = got.select("flight_key", "Wo.o_ts", "Wo.o_vis", "Wd.d_ts", "Wd.d_vis").collect()
+    out = got.select("trip_key", "Wo.o_ts", "Wo.o_vis", "Wd.d_ts", "Wd.d_vis").collect()
     assert len(out) == len(flown) - 1
     by_key = {t[0]: t for t in flown}
     for key, ots, ovis, dts, dvis in out:
@@ -116,7 +116,7 @@ def test_copies_of_a_trip_collapse(spark, world):
     trips = spark.createDataFrame(flown + flown[:50] + [flown[0]] * 30, TRIP)
     got = timeline.join_weather(trips, spark.createDataFrame(obs, OBS))
     assert got.count() == len(flown) - 1
-    assert got.select("flight_key").distinct().count() == len(flown) - 1
+    assert got.select("trip_key").distinct().count() == len(flown) - 1
 
 
 def test_prune_keeps_what_trips_need(spark, world):
@@ -145,8 +145,8 @@ def test_label(spark, world):
     obs, _ = world
     flown = [trip(str(i), 1, 2, T0, T0, d) for i, d in enumerate((59.9, 60.0, None))]
     base = timeline.join_weather(spark.createDataFrame(flown, TRIP), spark.createDataFrame(obs, OBS))
-    got = timeline.label_trips(base, 60).select("F.flight_key", "C")
-    assert rows(got, "flight_key") == [("0", 0), ("1", 1), ("2", 0)]
+    got = timeline.label_trips(base, 60).select("F.trip_key", "C")
+    assert rows(got, "trip_key") == [("0", 0), ("1", 1), ("2", 0)]
 
 
 def test_observation_point_fills_missing_columns(spark):
