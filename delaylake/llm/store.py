@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,17 +14,17 @@ SETTING = "spark.checkpoint.dir"
 def folder(spark: SparkSession) -> str:
     """A new path below ``spark.checkpoint.dir``.
 
-    Only a session in one local process, as in tests, may lack the setting; it
-    then gets a temporary folder. A cluster without it is an error, since the
-    executors would write to disks of their own.
+    Only a session in one local process, as in tests, may lack the setting; its
+    context then gets a temporary folder. A cluster without it is an error, since
+    the executors would write to disks of their own.
     """
-    base = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    context = spark.sparkContext
+    base = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set(SETTING, base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
