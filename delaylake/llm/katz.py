@@ -1,14 +1,15 @@
 """Katz backoff language model over words, Good-Turing discounts, exactly normalised.
 
-Two exchanges, and no row per token in either. A map task turns some million
-tokens into distinct (word, history) pairs with the documents they stand in, and
-sends each bucket of words one packed table. A bucket then holds all there is
-about its words: counts of words and pairs, hence the base score and, for seen
-pairs, the model's terms. Logarithms split, so the count of the history is
-subtracted where the history itself is a word. Only unseen pairs of held-out
-texts need the history's backoff weight: they are sent to the bucket of their
-history in the second exchange, together with the sums over its followers from
-which the weight is normalised exactly.
+Two exchanges of packed tables, and no row per token in either. A map task turns
+some million tokens into distinct (word, history) pairs with the documents they
+stand in, and sends each bucket of words one table. A bucket then holds all
+there is about its words, and sends the counts of word and pair of each token
+back to its document: they give the base score and, for seen pairs, the model's
+terms. Logarithms split, so the count of the history is subtracted where the
+history itself is a word. Only unseen pairs of held-out texts need the history's
+backoff weight: they go to the bucket of their history in the second exchange,
+together with the sums over its followers from which the weight is normalised
+exactly.
 
     P(w|h) = r d(r) / c(h)          for pairs seen r times
            = alpha(h) P(w)          for others
@@ -47,7 +48,8 @@ from delaylake.llm.store import stored
 K = 5
 KEPT_BACK = 0.1
 HOT = 4000
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 END, START = np.uint64(1), np.uint64(2)
 _MASK = np.uint64((1 << 56) - 1)
 
@@ -112,8 +114,8 @@ def _tokens(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple]:
         yield joined()
 
 
-def _common(texts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the words with more than 1/HOT of all tokens, and their training counts."""
+def _common(texts: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """All tokens; sorted hashes of the words with more than 1/HOT of them, and their training counts."""
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, words, _, _, _ in _tokens(batches, most):
@@ -143,7 +145,7 @@ def _common(texts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.zeros(len(hot), np.int64)
     for i, n in texts.mapInArrow(exact, "i long, n long").groupBy("i").agg(F.sum("n")).collect():
         count[i] = n
-    return hot, count
+    return total, hot, count
 
 
 ROW = "place long, flush long, blob binary"
@@ -240,7 +242,6 @@ def _counted(rows: DataFrame, hot: np.ndarray, hot_count: np.ndarray, buckets: i
 
 def _bucket(tables, hot, hot_count, buckets) -> Iterator[pa.RecordBatch]:
     pw, ph, ps, pt, docs, sizes = [], [], [], [], [], []
-    flags = []
     for _, blob in tables:
         dw, pairs, h, count, doc, bits, n = unpack(blob)
         train = np.unpackbits(bits, count=int(n[0])).astype(bool)
@@ -251,7 +252,6 @@ def _bucket(tables, hot, hot_count, buckets) -> Iterator[pa.RecordBatch]:
         pt.append(np.add.reduceat(train[doc].astype(np.int64), start))
         docs.append(doc)
         sizes.append(len(h))
-        flags.append(train)
     w, h, n, t = (np.concatenate(x) for x in (pw, ph, ps, pt))
     order = np.lexsort((h, w))
     sw, sh, st = w[order], h[order], t[order]
@@ -276,23 +276,13 @@ def _bucket(tables, hot, hot_count, buckets) -> Iterator[pa.RecordBatch]:
     # Terms of the documents of each table.
     at = 0
     asked = []
-    for (flush, _), doc, m, train in zip(tables, docs, sizes, flags, strict=True):
+    for (flush, _), doc, m in zip(tables, docs, sizes, strict=True):
         own = slice(at, at + m)
         at += m
-        rr, cc = np.repeat(r[own], n[own]), np.repeat(c[own], n[own])
-        ww, hh = np.repeat(w[own], n[own]), np.repeat(h[own], n[own])
-        size = len(train)
-        base = np.bincount(doc, np.log10(cc + 0.1), size)
-        known = np.bincount(doc, cc > 0, size).astype(np.uint32)
-        few = [np.bincount(doc[rr == i], minlength=size).astype(np.uint32) for i in range(1, K + 1)]
-        large = rr > K
-        sums = np.bincount(doc[large], np.log10(rr[large] - KEPT_BACK), size)
-        past = (ww != END) & (cc > 0)
-        sums -= np.bincount(doc[past], np.log10(cc[past]), size)
-        some = np.unique(doc)
-        yield _rows(
-            [(-1 - flush, flush, b"T" + pack(some.astype(np.uint32), base[some], known[some], sums[some], *(x[some] for x in few)))]
-        )
+        rr, cc, hh = (np.repeat(x[own], n[own]) for x in (r, c, h))
+        by = np.argsort(doc, kind="stable")
+        blob = pack(_narrow(np.diff(doc[by].astype(np.int64), prepend=0)), _narrow(cc[by]), _narrow(rr[by]))
+        yield _rows([(-1 - flush, flush, b"T" + blob)])
         new = np.flatnonzero(rr == 0)
         if len(new):
             asked.append((hh[new], np.full(len(new), flush), doc[new], cc[new]))
@@ -389,11 +379,18 @@ def _gathered(rows: DataFrame) -> DataFrame:
                 ids, known, train, tokens = next(unpack(b[1:]) for _, b in tables if b[:1] == b"D")
                 n = len(ids)
                 base, sums, seen, few = np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros((n, K), np.int64)
-                for some, b, k, s, *x in (unpack(b[1:]) for _, b in tables if b[:1] == b"T"):
-                    base[some] += b
-                    sums[some] += s
-                    seen[some] += k
-                    few[some] += np.stack(x, axis=1).astype(np.int64)
+                for step, c, r in (unpack(b[1:]) for _, b in tables if b[:1] == b"T"):
+                    doc = np.cumsum(step, dtype=np.int64)
+                    c, r = c.astype(np.int64), r.astype(np.int64)
+                    base += np.bincount(doc, np.log10(c + 0.1), n)
+                    seen += np.bincount(doc[c > 0], minlength=n)
+                    # Each word is the history of the next token. The end token stands for the start
+                    # of the text here: both occur once a document.
+                    sums -= np.bincount(doc[c > 0], np.log10(c[c > 0]), n)
+                    large = r > K
+                    sums += np.bincount(doc[large], np.log10(r[large] - KEPT_BACK), n)
+                    for i in range(1, K + 1):
+                        few[:, i - 1] += np.bincount(doc[r == i], minlength=n)
                 yield batch(
                     n,
                     kind=pa.array(["document"] * n),
@@ -443,9 +440,9 @@ def katz_counts(numbers: list[int]) -> np.ndarray:
 class Model:
     """Discounted counts, known once the numbers of counts are."""
 
-    def __init__(self, pairs: list[int], words: list[int], tokens: int, texts: int):
+    def __init__(self, pairs: list[int], words: list[int], tokens: int):
         self.pair, self.word = katz_counts(pairs), katz_counts(words)
-        self.tokens, self.texts, self.vocabulary = tokens, texts, words[-1]
+        self.tokens, self.vocabulary = tokens, words[-1]
         known = float(self.word @ np.array(words[:K])) + words[K + 2] - KEPT_BACK * words[K + 1]
         self.unknown = 1 - known / tokens if tokens else 1.0
 
@@ -468,20 +465,24 @@ class Model:
         return np.log10(np.maximum(1 - seen, 1e-12)) - np.log10(np.maximum(1 - lower, 1e-12))
 
 
-def score(docs: DataFrame, train: Column, buckets: int | None = None, flush_tokens: int = FLUSH_TOKENS) -> DataFrame:
+def score(
+    docs: DataFrame,
+    train: Column,
+    bucket_tokens: int = BUCKET_TOKENS,
+    flush_tokens: int = FLUSH_TOKENS,
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
-    ``train`` tells the training texts. ``buckets`` defaults to twice the
-    session's shuffle partitions; a bucket must fit into a task's memory.
+    ``train`` tells the training texts. There are as many buckets as keep each
+    near ``bucket_tokens`` tokens, which bounds the memory of a task.
     """
-    spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(train, F.lit(False)).alias("train"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    hot, hot_count = _common(texts, flush_tokens)
+    total, hot, hot_count = _common(texts, flush_tokens)
+    buckets = max(1, -(-total // bucket_tokens))
     sent = _by_place(_sent(texts, hot, buckets, flush_tokens), buckets)
     counted = _by_place(_counted(sent, hot, hot_count, buckets), buckets)
     found = stored(_gathered(counted))
@@ -497,26 +498,30 @@ def score(docs: DataFrame, train: Column, buckets: int | None = None, flush_toke
                     more = model.log_alpha(columns) + np.log10(columns[0])
                     value += np.where(index >= 0, more[np.maximum(index, 0)], 0.0)
                 key = np.lexsort((doc, flush))
-                cut = _runs(flush[key], doc[key])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(flush[key][cut]),
-                        pa.array(doc[key][cut].astype(np.int32)),
-                        pa.array(np.add.reduceat(value[key], cut)),
-                    ],
-                    names=["flush", "doc", "more"],
-                )
+                flush, doc, value = flush[key], doc[key], value[key]
+                cut = _runs(flush, doc)
+                flush, doc, value = flush[cut], doc[cut], np.add.reduceat(value, cut)
+                cut = _runs(flush)
+                ends = np.append(cut[1:], len(flush))
+                yield _rows([(int(flush[a]), 0, pack(doc[a:b], value[a:b])) for a, b in zip(cut, ends)])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for flush, tables in _grouped(batches):
+            doc, value = (np.concatenate(x) for x in zip(*(unpack(b) for _, b in tables), strict=True))
+            key, own = np.unique(doc, return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(key), flush)),
+                    pa.array(key.astype(np.int32)),
+                    pa.array(np.bincount(own, value, len(key))),
+                ],
+                names=["flush", "doc", "more"],
+            )
 
-    more = (
-        found.where("kind = 'unseen'")
-        .select("blob")
-        .mapInArrow(weighed, "flush long, doc int, more double")
-        .groupBy("flush", "doc")
-        .agg(F.sum("more").alias("more"))
-    )
+    parts = found.where("kind = 'unseen'").select("blob").mapInArrow(weighed, ROW)
+    more = _by_place(parts, buckets).mapInArrow(summed, "flush long, doc int, more double")
     few = sum(F.get("few", F.lit(i)) * float(np.log10(v)) for i, v in enumerate(model.pair))
     scale = float(np.log10(model.tokens + 0.1 * (model.vocabulary + 1)))
-    start = float(np.log10(model.texts)) if model.texts else 0.0
     return (
         found.where("kind = 'document'")
         .join(more, ["flush", "doc"], "left")
@@ -527,7 +532,7 @@ def score(docs: DataFrame, train: Column, buckets: int | None = None, flush_toke
             "n_known",
             F.lit(model.tokens).cast("long").alias("train_tokens"),
             (F.col("base") - F.col("n_tokens") * F.lit(scale)).alias("base_score"),
-            (F.col("sums") + few - F.lit(start) + F.coalesce("more", F.lit(0.0))).alias("score"),
+            (F.col("sums") + few + F.coalesce("more", F.lit(0.0))).alias("score"),
         )
     )
 
@@ -537,8 +542,8 @@ def _model(found: DataFrame, hot_count: np.ndarray) -> Model:
     numbers = found.where("kind = 'numbers'").agg(*(F.sum(F.get("numbers", F.lit(i))) for i in range(2 * width))).first()
     values = np.array([x or 0 for x in numbers], np.int64)
     words = values[width:] + _numbers(hot_count)
-    size = found.where("kind = 'document' and not held_out").agg(F.sum("n_tokens"), F.count(F.lit(1))).first()
-    return Model(values[:width].tolist(), words.tolist(), size[0] or 0, size[1])
+    size = found.where("kind = 'document' and not held_out").agg(F.sum("n_tokens")).first()
+    return Model(values[:width].tolist(), words.tolist(), size[0] or 0)
 
 
 def training(doc_id: str = "doc_id") -> Column:
