@@ -105,12 +105,12 @@ def shard(
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """All rows with size, text_crc32, law, shard and slot (gapless from 0 in each shard)."""
-    added = ("size", "text_crc32", "law", "shard", "slot", "digest", "piece", "row")
-    kept = [c for c in docs.columns if c not in added and c != text]
+    added = ("size", "text_crc32", "law", "shard", "slot", text)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = stored(
         docs.select(
-            *kept,
+            F.struct(*kept).alias("kept"),
             (F.octet_length(body) + F.lit(ROW_BYTES)).cast("long").alias("size"),
             F.crc32(body).alias("text_crc32"),
             F.unhex(F.sha2(body, 256)).alias("digest"),
@@ -120,7 +120,7 @@ def shard(
     units, rows = _placed(keyed, shards, block_units)
     placed = rows.join(units, ["digest", "piece"]).drop("digest", "piece")
     return _numbered(placed, keyed.count(), cell_rows).select(
-        *kept, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot"
+        "kept.*", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot"
     )
 
 

@@ -343,8 +343,8 @@ def _wide_key(fps: np.ndarray, number: int) -> np.ndarray:
     return (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
-    """The rows of ``docs``, and ``keep``: true for one row of each class of near-duplicates.
+def without_near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
+    """One row of ``docs`` for each class of near-duplicates.
 
     Wide fingerprints are dealt by 28 keys of 32 bits each; in a group, tries
     over the keys give the candidates, which the whole fingerprint confirms.
@@ -402,5 +402,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET
     )
     order = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), "id")
     owned = prints.join(named, "fp").select("id", "root").join(rows.select("id", order.alias("o")), "id")
-    kept = stored(owned.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.id").alias("id"), F.lit(True).alias("keep")))
-    return rows.join(kept, "id", "left").select("doc.*", F.coalesce("keep", F.lit(False)).alias("keep"))
+    kept = stored(owned.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.id").alias("id")))
+    return rows.join(kept, "id", "left_semi").select("doc.*")
