@@ -4,6 +4,7 @@ import check
 import pytest
 
 import __spark_entry__ as spark_entry
+from delaylake.catalogue import oracle, queries
 
 SF = "/root/testdata/sf0.001"
 QUERIES = spark_entry.queries()
@@ -17,10 +18,10 @@ def duck():
 
 def test_every_check_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"uniques_approx", "ml_rf", "ml_grid"}
+    assert set(queries.QUERIES) == set(oracle.ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE_SQL))
 def test_query_matches_sql(spark, duck, name):
     ours = QUERIES[name](spark, SF).toArrow()
     theirs = check.arrow(duck.sql(ORACLES[name]))
@@ -28,9 +29,20 @@ def test_query_matches_sql(spark, duck, name):
     assert ours.num_rows > 0
 
 
-@pytest.mark.parametrize("name", ["uniques_approx", "ml_rf"])
-def test_query_without_sql_returns_rows(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
+@pytest.mark.parametrize("name", ["obs_airport_semi", "obs_utc_iana"])
+def test_readings_are_not_shuffled_for_their_airport(spark, name):
+    """Also where no table is small enough to be broadcast by its size."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    given = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        physical = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, given)
+    assert "strategy=broadcast" in plan
+    readings = [b for b in physical.split("Exchange hashpartitioning(airport_id") if "event_id" in b]
+    assert len(readings) <= 2 and "SortMergeJoin [airport_id" not in physical.split("event_id")[0][-4000:]
 
 
 def test_entry(spark):

@@ -29,10 +29,10 @@ def test_normalize_date(spark):
 
 
 def test_text_timestamp_of_any_form(spark):
-    data = [("20120115", "5"), ("01/15/2012", "930"), ("bad", "930"), ("2012/01/15", "2400"), (None, "1")]
+    data = [("20120115", "12345"), ("20120115", "5"), ("01/15/2012", "930"), ("bad", "930"), ("2012/01/15", "2400"), (None, "1")]
     df = spark.createDataFrame(data, "d string, t string")
     got = [r[0] for r in df.select(clock.text_timestamp(F.col("d"), F.col("t"))).collect()]
-    assert got == [datetime(2012, 1, 15, 0, 5), datetime(2012, 1, 15, 9, 30), None, None, None]
+    assert got == [None, datetime(2012, 1, 15, 0, 5), datetime(2012, 1, 15, 9, 30), None, None, None]
 
 
 @pytest.mark.parametrize("dtype", ["int", "string"])
@@ -48,6 +48,12 @@ def test_local_timestamp(spark, dtype):
     ]
 
 
+def test_midnight_at_the_end_of_the_day(spark):
+    rolled = lambda v: clock.local_timestamp(F.lit(date(2012, 1, 31)), v, roll_2400=True)
+    got = apply(spark, "int", [2400, 2359, 12400, None], rolled)
+    assert got == [datetime(2012, 2, 1), datetime(2012, 1, 31, 23, 59), None, None]
+
+
 def test_numbers(spark):
     given = ["1.5", "M", "", " ", "0.00", None]
     assert apply(spark, "string", given, values.real_number) == [1.5, None, None, None, 0.0, None]
@@ -81,7 +87,7 @@ def test_trip_key(spark):
     data = [(1, 12, date(2012, 1, 2), 10, 20), (None, 12345, date(2012, 1, 2), 10, 20)]
     df = spark.createDataFrame(data, "c int, n int, d date, o int, e int")
     got = [r[0] for r in df.select(values.trip_key(*(F.col(c) for c in "cndoe"))).collect()]
-    assert got == ["1-0012-2012-01-02-10-20", "1234-2012-01-02-10-20"]
+    assert got == ["1-0012-2012-01-02-10-20", "12345-2012-01-02-10-20"]
 
 
 def test_celsius(spark):

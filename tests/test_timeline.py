@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from delaylake.operators import skew, timeline
+from delaylake.operators import timeline
 
 OBS = (
     "airport_id int, WBAN string, obs_utc timestamp, SkyCondition string, "
@@ -80,14 +80,17 @@ def test_hourly_matches_brute_force(spark, world):
         assert {(r[0], r[1]): (r[2], r[3]) for r in got} == want
 
 
-@pytest.mark.parametrize("rows_per_salt", [skew.ROWS_PER_SALT, 15])
-def test_join_matches_brute_force(spark, world, rows_per_salt):
-    """Small ``rows_per_salt`` makes most (airport, day) pairs hot."""
-    obs, flown = world
+@pytest.mark.parametrize("shift_days", [0, -16_000])
+def test_join_matches_brute_force(spark, world, shift_days):
+    """Shifted, the days lie before 1970 and hours count below zero."""
+    shift = timedelta(days=shift_days)
+    obs = [(a, w, at + shift, *rest) for a, w, at, *rest in world[0]]
+    flown = [
+        (k, o, d, dep and dep + shift, arr and arr + shift, *rest)
+        for k, o, d, dep, arr, *rest in world[1]
+    ]
     trips = spark.createDataFrame(flown, TRIP)
-    hot = timeline.busy_strips(trips, rows_per_salt)
-    assert (hot is None) == (rows_per_salt > 15)
-    got = timeline.join_weather(trips, spark.createDataFrame(obs, OBS), rows_per_salt=rows_per_salt)
+    got = timeline.join_weather(trips, spark.createDataFrame(obs, OBS))
     best = expected_hourly(obs)
 
     def points(airport, ts):
@@ -129,16 +132,18 @@ def test_prune_keeps_what_trips_need(spark, world):
     assert timeline.within_trip_times(spark.createDataFrame(obs, OBS), none).count() == len(obs)
 
 
-def test_lookup_join_spreads_null_and_hot_keys(spark):
-    big = spark.createDataFrame(
-        [(i, None if i % 3 == 0 else i % 3) for i in range(300)], "id int, k int"
-    )
-    lookup = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    hot = skew.pinned(skew.hot_keys(big, ["k"], 40))
-    got = skew.lookup_join(big, lookup, ["k"], hot, "id")
-    assert rows(got.select("id", "v"), "id") == [
-        (i, {0: None, 1: "a", 2: "b"}[i % 3]) for i in range(300)
+def test_nearest_hour_takes_readings_from_both_sides(spark):
+    minutes = {0: 53, 1: 39, 3: 40, 5: 31, 6: 10}
+    obs = [observation(1, "a", T0 + timedelta(hours=k, minutes=m), float(k)) for k, m in minutes.items()]
+    df = spark.createDataFrame(obs, OBS)
+    got = timeline.hourly_observations(df, mode="nearest")
+    assert rows(got.select("obs_hour", "vis"), "obs_hour") == [
+        (T0 + timedelta(hours=1), 0.0),
+        (T0 + timedelta(hours=4), 3.0),
+        (T0 + timedelta(hours=6), 6.0),
     ]
+    with pytest.raises(ValueError):
+        timeline.hourly_observations(df, mode="last")
 
 
 def test_label(spark, world):
