@@ -396,7 +396,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, gro
     marks = stored(anchor_rows(texts, length, gram))
     place = F.xxhash64("doc_id", "th", F.col("a") + F.col("off"))
     keys = marks.groupBy("key").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("key")
-    met = marks.join(keys, "key")
+    # Written, so both sides of the join are plain exchanges and a frequent key can be split.
+    met = marks.join(stored(keys), "key")
     lists = met.groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "m", "off")).alias("marks"))
     held = stored(
         texts.alias("t")
