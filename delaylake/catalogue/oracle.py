@@ -808,6 +808,36 @@ oracle(
        order by obs_count desc, airport_id limit 20""",
 )
 
+_BUCKETS = ORACLE_SQL["ratio_hist"].rsplit("select case", 1)[1]
+oracle(
+    "report_sets",
+    f"""select 'trips_nulls' as report, 1::bigint as n
+        union all select unnest(['trips_uniques', 'readings_nulls', 'readings_uniques', 'tau_one']), 1
+        union all select 'nulls_report', 17
+        union all select 'uniques_report', 5
+        union all select 'quantiles_report', 4
+        union all select 'delay_rules', 5
+        union all select 'delay_rules_violations_sample',
+          (select least(50, count(*)) from silver_trips where {_NO_CAUSE} and arr >= 15)
+          + (select least(50, count(*)) from silver_trips where {_CAUSE} and arr < 15)
+        union all select 'counts_by_tau', 7
+        union all select 'hist_ratio_adj', count(*) from (select case{_BUCKETS})""",
+)
+oracle(
+    "diagnostic_set",
+    f"""select report, cast(n as bigint) as n from (values ('array_population', 2), ('struct_nulls', 26),
+          ('observation_check', 14), ('coverage', 1), ('temporal_coverage', 2),
+          ('variance_extremes', 40), ('variance_counts', 1), ('feature_statistics', 8)) fixed(report, n)
+        union all select unnest(['newest_origin_points', 'newest_dest_points']),
+          (select least(5, count(*)) from targets where ds = 'D2' and th = 60)
+        union all select 'array_sizes', (select count(distinct o_points) + count(distinct d_points)
+          from targets where ds = 'D2' and th = 60)
+        union all select 'observation_sample', (select least(10, count(*)) from bronze_obs)
+        union all select 'missing_airports', (select count(*) from ({_SERVED} except {_WEATHER}))
+        union all select 'per_airport', (select least(20, count(*)) from {_WEATHER})
+        union all select 'feature_sample', (select least(10, count(*)) from flat)""",
+)
+
 # ---- features and models -------------------------------------------------
 
 oracle("flat_features", "select * from flat")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -770,6 +771,40 @@ def obs_per_station(spark, sf):
     return diagnostics.observations_per_airport(silver_observations(spark, sf))
 
 
+def _row_counts(reports):
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
+        for name, df in reports.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def report_sets(spark, sf):
+    """Rows of every report of the bronze, silver and calibration sets."""
+    reports = {
+        **stages.bronze_reports(bronze_trips(spark, sf), bronze_observations(spark, sf)),
+        **stages.silver_reports(silver_trips(spark, sf)),
+        **stages.ratio_reports(unique_timed_trips(spark, sf)),
+    }
+    return _row_counts(reports)
+
+
+@query
+def diagnostic_set(spark, sf):
+    """Rows of every report of the diagnostics of one slice."""
+    return _row_counts(
+        stages.diagnostic_reports(
+            stored_targets(spark, sf),
+            silver_trips(spark, sf),
+            silver_observations(spark, sf),
+            bronze_observations(spark, sf),
+            origin_hours=3,
+            dest_hours=2,
+        )
+    )
+
+
 # ---- features and models -------------------------------------------------
 
 
