@@ -48,7 +48,7 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return substrings.deduplicated(_table(spark, sf, "documents")).drop("th", "kept_text")
+    return substrings.deduplicated(_table(spark, sf, "documents"))
 
 
 def op8_warc(spark: SparkSession, sf: str) -> DataFrame:

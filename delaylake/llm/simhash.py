@@ -401,6 +401,8 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WID
         "fp", F.coalesce("root", "first").alias("root")
     )
     order = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), "id")
-    owned = prints.join(named, "fp").select("id", "root").join(rows.select("id", order.alias("o")), "id")
-    kept = stored(owned.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.id").alias("id")))
-    return rows.join(kept, "id", "left_semi").select("doc.*")
+    owned = stored(prints.join(named, "fp").select("id", "root").join(rows.select("id", order.alias("o")), "id"))
+    kept = owned.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.id").alias("id"))
+    # Those that go are fewer than those that stay.
+    gone = stored(owned.select("id").join(kept, "id", "left_anti"))
+    return rows.join(gone, "id", "left_anti").select("doc.*")

@@ -487,13 +487,13 @@ def _cut(held: DataFrame, keep_text: bool) -> DataFrame:
     return held.select("doc_id", "th", "text", "spans").mapInArrow(run, RESULT)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, keep_text: bool = False) -> DataFrame:
-    """doc_id, th (hash of the text), n_bytes, n_removed, n_spans, kept_sha256 and kept_text of every row.
-
-    ``kept_text`` is null unless asked for and something was removed.
-    """
+def _keyed(docs: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("th"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("th"))
+
+
+def removed(base: DataFrame, length: int, keep_text: bool) -> DataFrame:
+    """n_removed, n_spans, kept_sha256 and kept_text of the keyed texts that have repeats, per row."""
     spans, held = repeated_spans(base, length)
     lists = spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     joined = (
@@ -501,26 +501,28 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, keep_text: bool = False)
         .join(lists.alias("l"), F.expr("h.doc_id <=> l.doc_id and h.th = l.th"))
         .select("h.doc_id", "h.th", "h.text", "l.spans")
     )
-    # Repeated rows bring equal spans; the row is cut once.
-    cut = _cut(joined, keep_text).groupBy("doc_id", "th").agg(
-        *(F.first(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256", "kept_text"))
-    )
+    return _cut(joined, keep_text)
+
+
+def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
+    base = _keyed(docs)
+    # Repeated rows bring equal results.
+    cut = removed(base, length, keep_text=False).drop("kept_text").distinct()
     rows = base.select(
         "doc_id", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")
     )
     times = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"))
     known = times.alias("t").join(cut.alias("c"), F.expr("t.doc_id <=> c.doc_id and t.th = c.th"), "left").select(
-        "t.*", "c.n_removed", "c.n_spans", "c.kept_sha256", "c.kept_text"
+        "t.*", "c.n_removed", "c.n_spans", "c.kept_sha256"
     )
     gone = (F.col("k.times") > 1) & (F.col("r.n_bytes") >= length)
     return rows.alias("r").join(known.alias("k"), F.expr("r.doc_id <=> k.doc_id and r.th = k.th")).select(
         "r.doc_id",
-        "r.th",
         "r.n_bytes",
         F.when(gone, F.col("r.n_bytes")).otherwise(F.coalesce("k.n_removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("k.n_spans", F.lit(0).cast("long"))).alias("n_spans"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("k.kept_sha256", "r.sha")).alias("kept_sha256"),
-        F.when(gone, F.lit("").cast("binary")).otherwise(F.col("k.kept_text")).alias("kept_text"),
     )
 
 
@@ -529,8 +531,13 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Bytes of a character that was cut in two go as well.
     """
-    changed = deduplicated(docs, length, keep_text=True).where("kept_text is not null")
-    changed = changed.select("doc_id", "th", F.col("kept_text").alias("left")).dropDuplicates(["doc_id", "th"])
+    base = _keyed(docs)
+    copies = base.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("size"))
+    # Of repeated rows everything goes; no other row comes twice below.
+    copies = stored(copies.where((F.col("n") > 1) & (F.col("size") >= length)).select("doc_id", "th"))
+    cut = removed(base, length, keep_text=True).select("doc_id", "th", F.col("kept_text").alias("left")).alias("c")
+    cut = cut.join(copies.alias("k"), F.expr("c.doc_id <=> k.doc_id and c.th = k.th"), "left_anti")
+    changed = stored(cut.unionByName(copies.withColumn("left", F.lit("").cast("binary"))))
     body = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     rows = docs.select(F.struct("*").alias("doc"), body.alias("th")).alias("d")
     on = F.expr("cast(d.doc.doc_id as long) <=> c.doc_id and d.th = c.th")
