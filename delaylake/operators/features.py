@@ -38,6 +38,7 @@ SUMMARIES = [
 WEATHER_CODES = {"has_ts": "TS", "has_sn": "SN", "has_fg": "FG"}
 HEAVY_PRECIP = 2.0
 LOW_VISIBILITY = 1.0
+# Columns that a training row must have.
 REQUIRED = [
     "label",
     "carrier_id",

@@ -99,6 +99,28 @@ TRIP_ORDER = [
 ]
 
 
+# Columns of the silver trips, in order.
+SILVER_COLUMNS = [
+    "OP_CARRIER_AIRLINE_ID",
+    "CRS_DEP_TIME",
+    "ARR_DELAY_NEW",
+    "origin_airport_id",
+    "dest_airport_id",
+    "FL_DATE",
+    "FL_NUM",
+    "dep_ts_utc",
+    "arr_ts_utc",
+    "year",
+    "month",
+    "WEATHER_DELAY",
+    "NAS_DELAY",
+    "NAS_WEATHER_DELAY",
+    "alpha_nas",
+    "total_weather_delay",
+    "ARR_DELAY_NASW",
+]
+
+
 def clean_trips(bronze: DataFrame) -> DataFrame:
     """Drop cancelled and diverted trips and split NAS delay by its weather share."""
     shares = F.create_map(
@@ -118,28 +140,15 @@ def clean_trips(bronze: DataFrame) -> DataFrame:
             "alpha_nas": alpha,
         }
     )
-    nas_weather = F.col("alpha_nas") * F.col("NAS_DELAY")
-    return filled.select(
-        "OP_CARRIER_AIRLINE_ID",
-        "CRS_DEP_TIME",
-        "ARR_DELAY_NEW",
-        "origin_airport_id",
-        "dest_airport_id",
-        "FL_DATE",
-        "FL_NUM",
-        "dep_ts_utc",
-        "arr_ts_utc",
-        "year",
-        "month",
-        "WEATHER_DELAY",
-        "NAS_DELAY",
-        nas_weather.alias("NAS_WEATHER_DELAY"),
-        "alpha_nas",
-        (F.col("WEATHER_DELAY") + nas_weather).alias("total_weather_delay"),
-        (
-            F.col("ARR_DELAY_NEW") - (F.lit(1.0) - F.col("alpha_nas")) * F.col("NAS_DELAY")
-        ).alias("ARR_DELAY_NASW"),
-    )
+    weather_part = F.col("alpha_nas") * F.col("NAS_DELAY")
+    other_part = (F.lit(1.0) - F.col("alpha_nas")) * F.col("NAS_DELAY")
+    return filled.withColumns(
+        {
+            "NAS_WEATHER_DELAY": weather_part,
+            "total_weather_delay": F.col("WEATHER_DELAY") + weather_part,
+            "ARR_DELAY_NASW": F.col("ARR_DELAY_NEW") - other_part,
+        }
+    ).select(*SILVER_COLUMNS)
 
 
 def served_airports(trips: DataFrame) -> DataFrame:
