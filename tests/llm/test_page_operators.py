@@ -5,7 +5,7 @@ from collections import Counter
 
 import check
 import pytest
-from conftest import SF
+from llm_world import SF, docs, document_list, no_docs  # noqa: F401
 
 import corpus_pipeline
 from delaylake.llm import catalogue, urls, warc

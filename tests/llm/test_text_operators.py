@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
-from conftest import SF, lowered, words
+from llm_world import SF, docs, document_list, lowered, no_docs, words  # noqa: F401
 
 from delaylake.llm import decontamination, katz, licenses, pieces, quality, sharding, simhash, substrings
 from delaylake.llm import text as tx
