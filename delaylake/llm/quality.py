@@ -180,7 +180,13 @@ def _start(fit: DataFrame) -> DataFrame:
 
 
 def _middle(counts: DataFrame) -> DataFrame:
-    """The lower median of each (g, axis) from (v, count)."""
+    """The lower median of each (g, axis) from (v, count).
+
+    The counts are written first: otherwise one exchange by group would serve
+    counting and cumulating, and bring a large group's counts of every map task
+    to one place.
+    """
+    counts = stored(counts)
     by = Window.partitionBy("g", "axis")
     return (
         counts.withColumn("up_to", F.sum("count").over(by.orderBy("v")))
@@ -222,7 +228,7 @@ def _concentrated(fit: DataFrame, model: DataFrame) -> DataFrame:
     """
     d = len(STATS)
     far = _distance(fit, model).where("d2 is not null").withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS))
-    bins = far.groupBy("g", "n", "bin").count()
+    bins = stored(far.groupBy("g", "n", "bin").count())
     limit = (
         bins.withColumn("up_to", F.sum("count").over(Window.partitionBy("g").orderBy("bin")))
         .where(F.col("up_to") >= F.ceil(F.col("n") * H))
