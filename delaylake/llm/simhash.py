@@ -284,21 +284,67 @@ WIDE = 7
 KEY = 32
 KEY_ERRORS = 3
 PREFIX = 8
+#: Groups are dealt in parts from this size on, if they are also above twice the mean.
+LEAST_PART = 1000
 #: Of 448 bits. Pairs with a similarity of 0.8 differ in 68 on average, with a deviation of 7.6.
 WIDE_BUDGET = 84
 
 
-def _wide_edges(group: int, ids: np.ndarray, fps: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links in one group: fingerprints with an equal prefix of one key."""
+def _crossed(a: np.ndarray, b: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a member of run ``a`` with one of run ``b`` (once, if they are the same run), in portions."""
+    width = size[a] * size[b]
+    wide = width > FRONTIER
+    for x, y in zip(a[wide].tolist(), b[wide].tolist(), strict=True):
+        step = max(1, FRONTIER // int(size[y]))
+        for at in range(0, int(size[x]), step):
+            n = min(step, int(size[x]) - at)
+            i = np.repeat(first[x] + at + np.arange(n), size[y])
+            j = np.tile(first[y] + np.arange(size[y]), n)
+            yield (i[i < j], j[i < j]) if x == y else (i, j)
+    a, b, width = a[~wide], b[~wide], width[~wide]
+    up_to = np.cumsum(width)
+    at = 0
+    while at < len(a):
+        past = max(at + 1, int(np.searchsorted(up_to, (up_to[at - 1] if at else 0) + FRONTIER, "right")))
+        cut = slice(at, past)
+        pair = np.repeat(np.arange(at, past), width[cut])
+        k = tx.within(np.zeros(past - at, np.int64), width[cut])
+        other = size[b[pair]]
+        i, j = first[a[pair]] + k // other, first[b[pair]] + k % other
+        ok = (i < j) | (a[pair] != b[pair])
+        yield i[ok], j[ok]
+        at = past
+
+
+def _candidates(key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of sorted keys with an equal prefix and at most ``KEY_ERRORS`` different bits, in portions."""
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(first, len(key)))
+    many = np.flatnonzero(size > 1)
+    yield from _crossed(many, many, first, size)
+    for i, j in trie_pairs(key[first].astype(np.uint64) << np.uint64(BITS - KEY), KEY_ERRORS, PREFIX):
+        yield from _crossed(i, j, first, size)
+
+
+def _wide_edges(
+    group: int, ids: np.ndarray, fps: np.ndarray, budget: int, side: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links in one group: fingerprints with an equal prefix of one key.
+
+    With ``side``, only links between its two values count. A pair is passed
+    over only when links found before join it already.
+    """
     key = _wide_key(fps, group >> PREFIX)
     order = np.argsort(key, kind="stable")
     key, ids, fps = key[order], ids[order], fps[order]
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    side = None if side is None else side[order]
     label = np.arange(len(ids))
 
     def join(i: np.ndarray, j: np.ndarray) -> None:
         nonlocal label
         apart = label[i] != label[j]
+        if side is not None:
+            apart &= side[i] != side[j]
         i, j = i[apart], j[apart]
         near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= budget
         pairs = np.unique(np.stack([label[i[near]], label[j[near]]], axis=1), axis=0)
@@ -321,13 +367,8 @@ def _wide_edges(group: int, ids: np.ndarray, fps: np.ndarray, budget: int) -> tu
             table[x] = find(x)
         label = table[label]
 
-    # Equal keys: each with the first and with the one before.
-    rest = np.setdiff1d(np.arange(len(ids)), head)
-    first = np.repeat(head, np.diff(np.append(head, len(ids))))
-    join(first[rest], rest)
-    join(rest - 1, rest)
-    for i, j in trie_pairs(key[head].astype(np.uint64) << np.uint64(BITS - KEY), KEY_ERRORS, PREFIX):
-        join(head[i], head[j])
+    for i, j in _candidates(key):
+        join(i, j)
     member = np.flatnonzero(label != np.arange(len(ids)))
     return ids[label[member]], ids[member]
 
@@ -343,60 +384,106 @@ def _wide_key(fps: np.ndarray, number: int) -> np.ndarray:
     return (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def without_near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
-    """One row of ``docs`` for each class of near-duplicates.
+def _groups(raw: pa.Array) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+    """The fingerprints of a column and, key by key, the group of each."""
+    fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(-1, WIDE)
+    return fps, ((n << PREFIX) + (_wide_key(fps, n) >> np.uint32(KEY - PREFIX)).astype(np.int64) for n in range(4 * WIDE))
 
-    Wide fingerprints are dealt by 28 keys of 32 bits each; in a group, tries
-    over the keys give the candidates, which the whole fingerprint confirms.
-    A group hands on a spanning forest of its links, so large classes stay
-    linear. The row with the least doc_id stays; null ids come last.
-    """
-    rows = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("id")))
 
-    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hot_groups(distinct: DataFrame) -> dict[int, int]:
+    """The parts of each group that is much larger than the mean, at most one entry a group."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4 * WIDE << PREFIX, np.int64)
         for batch in batches:
-            parts = [fingerprint_slice(d, o, shingle, WIDE) for _, _, d, o in tx.slices(batch.column(1))]
-            fps = np.concatenate(parts) if parts else np.zeros((0, WIDE), np.uint64)
-            raw = [fp.tobytes() for fp in fps]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "fp"])
+            for group in _groups(batch.column(0))[1]:
+                total += np.bincount(group, minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["group", "n"])
 
-    prints = stored(rows.select("id", "doc.text").mapInArrow(wide, "id long, fp binary"))
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")))
+    sizes = distinct.select("fp").mapInArrow(counted, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
+    most = {r["group"]: r["n"] for r in sizes.collect()}
+    part = max(LEAST_PART, 2 * sum(most.values()) // (4 * WIDE << PREFIX))
+    return {g: -(-n // part) for g, n in most.items() if n > part}
+
+
+def _wide_links(distinct: DataFrame, budget: int) -> DataFrame:
+    """(a, b): links of distinct wide fingerprints (fp, first) that span the same classes as all links found.
+
+    A hot group is dealt as pairs of its parts, so that every two members meet
+    in some task and none has the whole group.
+    """
+    hot = _hot_groups(distinct)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = np.ones(4 * WIDE << PREFIX, np.int64)
+        for g, n in hot.items():
+            parts[g] = n
         for batch in batches:
-            raw = batch.column(0)
-            fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(-1, WIDE)
-            for number in range(4 * WIDE):
-                group = (number << PREFIX) + (_wide_key(fps, number) >> np.uint32(KEY - PREFIX)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(group), batch.column(1), raw], names=["group", "first", "fp"])
+            raw, first = batch.column(0), batch.column(1).to_numpy()
+            for group in _groups(raw)[1]:
+                times = parts[group]
+                row = np.repeat(np.arange(len(group)), times)
+                own = (tx.mix(first.view(np.uint64)) % times.astype(np.uint64)).astype(np.int64)[row]
+                other = tx.within(np.zeros(len(group), np.int64), times)
+                cell = (group[row] << 40) | (np.minimum(own, other) << 20) | np.maximum(own, other)
+                for at in range(0, len(row), BUFFER):
+                    cut = slice(at, at + BUFFER)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell[cut]), pa.array(own[cut] < other[cut]), pa.array(first[row[cut]]), raw.take(pa.array(row[cut]))],
+                        names=["cell", "side", "first", "fp"],
+                    )
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, fps = None, [], []
+        now, held = None, []
 
         def flush() -> pa.RecordBatch:
-            a, b = _wide_edges(now, np.array(ids), np.frombuffer(b"".join(fps), np.uint64).reshape(-1, WIDE), budget)
+            side, ids, fps = zip(*held, strict=True)
+            one = (now >> 20 & 0xFFFFF) == (now & 0xFFFFF)
+            whole = np.frombuffer(b"".join(fps), np.uint64).reshape(-1, WIDE)
+            a, b = _wide_edges(now >> 40, np.array(ids), whole, budget, None if one else np.array(side))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for group, first, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group != now:
-                    if len(ids) > 1:
+            for cell, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if cell != now:
+                    if len(held) > 1:
                         yield flush()
-                    now, ids, fps = group, [], []
-                ids.append(first)
-                fps.append(fp)
-        if len(ids) > 1:
+                    now, held = cell, []
+                held.append(row)
+        if len(held) > 1:
             yield flush()
 
-    edges = (
+    return (
         distinct.select("fp", "first")
-        .mapInArrow(dealt, "group long, first long, fp binary")
-        .repartition("group")
-        .sortWithinPartitions("group")
+        .mapInArrow(dealt, "cell long, side boolean, first long, fp binary")
+        .repartition("cell")
+        .sortWithinPartitions("cell")
         .mapInArrow(linked, "a long, b long")
     )
-    roots = components(edges)
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
+    """One row of ``docs`` for each class of near-duplicates.
+
+    Wide fingerprints are dealt by 28 keys of 32 bits each; in a group, tries
+    over the keys give the candidates, which the whole fingerprint confirms.
+    A group hands on a spanning forest of its links, so large classes stay
+    linear. The row with the least doc_id stays; null ids come last.
+    """
+    rows = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("id")))
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [fingerprint_slice(d, o, shingle, WIDE) for _, _, d, o in tx.slices(batch.column(1))]
+            fps = np.concatenate(parts) if parts else np.zeros((0, WIDE), np.uint64)
+            raw = [fp.tobytes() for fp in fps]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "fp"])
+
+    prints = stored(rows.select("id", "doc.text").mapInArrow(wide, "id long, fp binary"))
+    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")))
+
+    roots = components(_wide_links(distinct.select("fp", "first"), budget))
     named = distinct.join(roots, F.col("first") == F.col("node"), "left").select(
         "fp", F.coalesce("root", "first").alias("root")
     )

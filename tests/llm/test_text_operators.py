@@ -322,6 +322,40 @@ def test_near_duplicates_of_five_word_shingles(spark, docs, document_list, no_do
     assert simhash.without_near_duplicates(no_docs).count() == 0
 
 
+def test_all_members_of_a_key_are_compared(spark, monkeypatch):
+    """Clusters with one key in turn: a link must not depend on the neighbours in arrival order."""
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 2**64, (40, simhash.WIDE), dtype=np.uint64)
+    fps = np.concatenate([centre] * 3)
+    for row in fps:
+        row[rng.integers(1, simhash.WIDE)] ^= np.uint64(rng.integers(1, 2**20))
+    fps[:, 0] = np.uint64(7 | 9 << 32)
+    fps[80:, 0] ^= np.uint64(1)
+    group = int(simhash._wide_key(fps[:1], 0)[0]) >> (simhash.KEY - simhash.PREFIX)
+    want = {frozenset((i, i + 40, i + 80)) for i in range(40)}
+
+    def named(edges):
+        out = defaultdict(set)
+        table = components_of(edges, 120)
+        for i, root in enumerate(table):
+            out[root].add(i)
+        return set(map(frozenset, out.values()))
+
+    a, b = simhash._wide_edges(group, np.arange(120), fps, simhash.WIDE_BUDGET)
+    assert named(zip(a.tolist(), b.tolist())) == want
+    monkeypatch.setattr(simhash, "LEAST_PART", 16)
+    frame = spark.createDataFrame([(bytes(fp), i) for i, fp in enumerate(fps)], "fp binary, first long")
+    assert named((r["a"], r["b"]) for r in simhash._wide_links(frame, simhash.WIDE_BUDGET).collect()) == want
+
+
+def components_of(edges, n):
+    root = list(range(n))
+    for a, b in edges:
+        old, new = root[a], root[b]
+        root = [new if r == old else r for r in root]
+    return root
+
+
 # ---- 7: repeated strings ---------------------------------------------------
 
 
