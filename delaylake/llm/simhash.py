@@ -34,16 +34,12 @@ FRONTIER = 1 << 18
 BUFFER = 1 << 16
 
 
-def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, words64: int = 1) -> np.ndarray:
-    """Fingerprints of each text of a slice: a column of 64 bits for each of ``words64`` hash functions.
-
-    The first hash is the XXH64 of a shingle, further ones are bijections of it.
-    """
+def shingles(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of the shingles of a slice, text by text, and their number in each text."""
     low = tx.LOWER[data]
     starts, ends, first = tx.spans(low, offsets, tx.NOT_SPACE)
-    rows = len(offsets) - 1
     if not len(starts):
-        return np.zeros((rows, words64), np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     lengths = ends - starts
     at = tx.within(starts, lengths + 1)
     joined = low[np.minimum(at, len(low) - 1)]
@@ -61,6 +57,30 @@ def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, words
         np.uint64,
         len(head),
     )
+    return h, count
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of each text in order of their hashes, and their number."""
+    h, count = shingles(data, offsets, shingle)
+    owner = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    return h[new], np.bincount(owner[new], minlength=len(count))
+
+
+def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
+    """Fingerprints of each text of a slice, from all its shingles."""
+    return _majority(*shingles(data, offsets, shingle), 1)
+
+
+def _majority(h: np.ndarray, count: np.ndarray, words64: int) -> np.ndarray:
+    """A column of 64 bits for each of ``words64`` hash functions; further ones are bijections of the first."""
+    rows = len(count)
+    if not len(h):
+        return np.zeros((rows, words64), np.uint64)
     owner = np.repeat(np.arange(rows), count)
     out = np.empty((rows, words64), np.uint64)
     for k in range(words64):
@@ -288,6 +308,8 @@ PREFIX = 8
 LEAST_PART = 1000
 #: Of 448 bits. Pairs with a similarity of 0.8 differ in 68 on average, with a deviation of 7.6.
 WIDE_BUDGET = 84
+#: Least similarity of two sets of shingles, as a fraction.
+SIMILAR = (4, 5)
 
 
 def _crossed(a: np.ndarray, b: np.ndarray, first: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -326,23 +348,47 @@ def _candidates(key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield from _crossed(i, j, first, size)
 
 
+def _sizes_fit(sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sets of these sizes can be similar enough."""
+    return SIMILAR[1] * np.minimum(sizes[i], sizes[j]) >= SIMILAR[0] * np.maximum(sizes[i], sizes[j])
+
+
+def _wide_pairs(
+    group: int, ids: np.ndarray, fps: np.ndarray, budget: int, side: np.ndarray | None, sizes: np.ndarray, named: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All links in one group between different values of ``named``, in portions."""
+    key = _wide_key(fps, group >> PREFIX)
+    order = np.argsort(key, kind="stable")
+    key, ids, fps, sizes, named = key[order], ids[order], fps[order], sizes[order], named[order]
+    side = None if side is None else side[order]
+    for i, j in _candidates(key):
+        ok = (named[i] != named[j]) & _sizes_fit(sizes, i, j)
+        if side is not None:
+            ok &= side[i] != side[j]
+        i, j = i[ok], j[ok]
+        near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= budget
+        yield ids[i[near]], ids[j[near]]
+
+
 def _wide_edges(
-    group: int, ids: np.ndarray, fps: np.ndarray, budget: int, side: np.ndarray | None = None
+    group: int, ids: np.ndarray, fps: np.ndarray, budget: int, side: np.ndarray | None = None, sizes: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links in one group: fingerprints with an equal prefix of one key.
 
-    With ``side``, only links between its two values count. A pair is passed
-    over only when links found before join it already.
+    With ``side``, only links between its two values count; with ``sizes``, only
+    those whose sets can be similar enough. A pair is passed over only when
+    links found before join it already.
     """
     key = _wide_key(fps, group >> PREFIX)
     order = np.argsort(key, kind="stable")
     key, ids, fps = key[order], ids[order], fps[order]
     side = None if side is None else side[order]
+    sizes = np.ones(len(ids), np.int64) if sizes is None else sizes[order]
     label = np.arange(len(ids))
 
     def join(i: np.ndarray, j: np.ndarray) -> None:
         nonlocal label
-        apart = label[i] != label[j]
+        apart = (label[i] != label[j]) & _sizes_fit(sizes, i, j)
         if side is not None:
             apart &= side[i] != side[j]
         i, j = i[apart], j[apart]
@@ -407,8 +453,11 @@ def _hot_groups(distinct: DataFrame) -> dict[int, int]:
     return {g: -(-n // part) for g, n in most.items() if n > part}
 
 
-def _wide_links(distinct: DataFrame, budget: int) -> DataFrame:
-    """(a, b): links of distinct wide fingerprints (fp, first) that span the same classes as all links found.
+def _wide_links(distinct: DataFrame, budget: int, every: bool = False) -> DataFrame:
+    """(a, b): links of distinct wide fingerprints (fp, first, size, named).
+
+    With ``every``, all links between different values of ``named``; else enough
+    to span the same classes as all links.
 
     A hot group is dealt as pairs of its parts, so that every two members meet
     in some task and none has the whole group.
@@ -421,6 +470,7 @@ def _wide_links(distinct: DataFrame, budget: int) -> DataFrame:
             parts[g] = n
         for batch in batches:
             raw, first = batch.column(0), batch.column(1).to_numpy()
+            size, named = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             for group in _groups(raw)[1]:
                 times = parts[group]
                 row = np.repeat(np.arange(len(group)), times)
@@ -430,65 +480,133 @@ def _wide_links(distinct: DataFrame, budget: int) -> DataFrame:
                 for at in range(0, len(row), BUFFER):
                     cut = slice(at, at + BUFFER)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell[cut]), pa.array(own[cut] < other[cut]), pa.array(first[row[cut]]), raw.take(pa.array(row[cut]))],
-                        names=["cell", "side", "first", "fp"],
+                        [
+                            pa.array(cell[cut]),
+                            pa.array(own[cut] < other[cut]),
+                            pa.array(first[row[cut]]),
+                            raw.take(pa.array(row[cut])),
+                            pa.array(size[row[cut]]),
+                            pa.array(named[row[cut]]),
+                        ],
+                        names=["cell", "side", "first", "fp", "size", "named"],
                     )
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
 
-        def flush() -> pa.RecordBatch:
-            side, ids, fps = zip(*held, strict=True)
+        def flush() -> Iterator[pa.RecordBatch]:
+            side, ids, fps, sizes, named = zip(*held, strict=True)
             one = (now >> 20 & 0xFFFFF) == (now & 0xFFFFF)
             whole = np.frombuffer(b"".join(fps), np.uint64).reshape(-1, WIDE)
-            a, b = _wide_edges(now >> 40, np.array(ids), whole, budget, None if one else np.array(side))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            given = (now >> 40, np.array(ids), whole, budget, None if one else np.array(side), np.array(sizes))
+            for a, b in _wide_pairs(*given, np.array(named)) if every else [_wide_edges(*given)]:
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
             for cell, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if cell != now:
                     if len(held) > 1:
-                        yield flush()
+                        yield from flush()
                     now, held = cell, []
                 held.append(row)
         if len(held) > 1:
-            yield flush()
+            yield from flush()
 
     return (
-        distinct.select("fp", "first")
-        .mapInArrow(dealt, "cell long, side boolean, first long, fp binary")
+        distinct.select("fp", "first", "size", "named")
+        .mapInArrow(dealt, "cell long, side boolean, first long, fp binary, size long, named long")
         .repartition("cell")
         .sortWithinPartitions("cell")
         .mapInArrow(linked, "a long, b long")
     )
 
 
+def _compared(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) with whether the exact similarity of their sets of shingles reaches ``SIMILAR``; written."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in tx.slices(batch.column(1)):
+                h, count = shingle_sets(data, offsets, shingle)
+                raw = [x.tobytes() for x in np.split(h, np.cumsum(count)[:-1])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(raw, pa.binary())], names=["id", "shingles"])
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.zeros(batch.num_rows, bool)
+            for row in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[row].as_buffer(), np.uint64) for c in (2, 3))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok[row] = SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok)], names=["a", "b", "ok"])
+
+    sets = stored(texts.join(ends, "id", "left_semi").select("id", "text").mapInArrow(gathered, "id long, shingles binary"))
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    asked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return stored(asked.mapInArrow(similar, "a long, b long, ok boolean"))
+
+
+def _similar_roots(distinct: DataFrame, texts: DataFrame, shingle: int, budget: int) -> DataFrame:
+    """(node, root) of the classes that links of similar sets form.
+
+    First come links that span the classes of near fingerprints. Where one of
+    them is not confirmed, all near pairs that confirmed links do not join yet
+    are compared as well.
+    """
+    first = _compared(_wide_links(distinct.withColumn("named", F.col("first")), budget), texts, shingle)
+    sure = first.where("ok").select("a", "b")
+    roots = stored(components(sure))
+    refused = first.where("not ok").select("a", "b")
+    if refused.isEmpty():
+        return roots
+    near = stored(components(first.select("a", "b")))
+    open_ = refused.join(near, F.col("a") == F.col("node")).select("root").distinct()
+    large = near.join(open_, "root").groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    again = near.join(large, "root").select(F.col("node").alias("first"))
+    left = distinct.join(again, "first").join(roots.withColumnRenamed("node", "first"), "first", "left").select(
+        "fp", "first", "size", F.coalesce("root", "first").alias("named")
+    )
+    links_ = _wide_links(stored(left), budget, every=True)
+    links_ = links_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = _compared(links_.join(refused, ["a", "b"], "left_anti"), texts, shingle)
+    return components(sure.unionByName(second.where("ok").select("a", "b")))
+
+
 def without_near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
     """One row of ``docs`` for each class of near-duplicates.
 
-    Wide fingerprints are dealt by 28 keys of 32 bits each; in a group, tries
-    over the keys give the candidates, which the whole fingerprint confirms.
-    A group hands on a spanning forest of its links, so large classes stay
-    linear. The row with the least doc_id stays; null ids come last.
+    Wide fingerprints of the sets of shingles are dealt by 28 keys of 32 bits
+    each; in a group, tries over the keys and the whole fingerprint give the
+    candidates. A link needs ``SIMILAR`` sets of shingles, compared exactly (as
+    64-bit hashes); a class is all that links join. The row with the least doc_id stays; null ids come last.
     """
     rows = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("id")))
 
     def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [fingerprint_slice(d, o, shingle, WIDE) for _, _, d, o in tx.slices(batch.column(1))]
-            fps = np.concatenate(parts) if parts else np.zeros((0, WIDE), np.uint64)
-            raw = [fp.tobytes() for fp in fps]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "fp"])
-
-    prints = stored(rows.select("id", "doc.text").mapInArrow(wide, "id long, fp binary"))
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first")))
-
-    roots = components(_wide_links(distinct.select("fp", "first"), budget))
+            for a, b, data, offsets in tx.slices(batch.column(1)):
+                h, count = shingle_sets(data, offsets, shingle)
+                raw = [fp.tobytes() for fp in _majority(h, count, WIDE)]
+                own = [xxhash.xxh3_128_digest(x.tobytes()) for x in np.split(h, np.cumsum(count)[:-1])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(raw, pa.binary()), pa.array(own, pa.binary()), pa.array(count.astype(np.int64))],
+                    names=["id", "fp", "own", "size"],
+                )
+
+    texts = rows.select("id", "doc.text")
+    prints = stored(texts.mapInArrow(wide, "id long, fp binary, own binary, size long"))
+    distinct = stored(prints.groupBy("own").agg(F.min("id").alias("first"), F.first("fp").alias("fp"), F.first("size").alias("size")))
+
+    roots = _similar_roots(distinct, texts, shingle, budget)
     named = distinct.join(roots, F.col("first") == F.col("node"), "left").select(
-        "fp", F.coalesce("root", "first").alias("root")
+        "own", F.coalesce("root", "first").alias("root")
     )
     order = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), "id")
-    owned = stored(prints.join(named, "fp").select("id", "root").join(rows.select("id", order.alias("o")), "id"))
+    owned = stored(prints.join(named, "own").select("id", "root").join(rows.select("id", order.alias("o")), "id"))
     kept = owned.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.id").alias("id"))
     # Those that go are fewer than those that stay.
     gone = stored(owned.select("id").join(kept, "id", "left_anti"))

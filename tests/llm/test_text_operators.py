@@ -344,7 +344,8 @@ def test_all_members_of_a_key_are_compared(spark, monkeypatch):
     a, b = simhash._wide_edges(group, np.arange(120), fps, simhash.WIDE_BUDGET)
     assert named(zip(a.tolist(), b.tolist())) == want
     monkeypatch.setattr(simhash, "LEAST_PART", 16)
-    frame = spark.createDataFrame([(bytes(fp), i) for i, fp in enumerate(fps)], "fp binary, first long")
+    rows = [(bytes(fp), i, 1, i) for i, fp in enumerate(fps)]
+    frame = spark.createDataFrame(rows, "fp binary, first long, size long, named long")
     assert named((r["a"], r["b"]) for r in simhash._wide_links(frame, simhash.WIDE_BUDGET).collect()) == want
 
 
@@ -356,6 +357,31 @@ def components_of(edges, n):
     return root
 
 
+def test_only_similar_texts_go(spark):
+    """Against all pairs: similarities from 0.6 to 0.9, chains of them, and one text with a line many times."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for g in range(12):
+        own = [f"w{rng.integers(10**6)}" for _ in range(200)]
+        for c in (0, 3, 5, 8, 9, 10):
+            changed = list(own)
+            for at in rng.choice(200, c, replace=False):
+                changed[at] = f"z{rng.integers(10**6)}"
+            texts.append(" ".join(changed))
+    texts += [" ".join(["one line that is said again"] * 40 + [f"own{i}x{k}" for k in range(30)]) for i in range(3)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    edges = [
+        (i, j)
+        for i in range(len(texts))
+        for j in range(i)
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    ]
+    root = components_of(edges, len(texts))
+    want = {min(i for i in range(len(texts)) if root[i] == r) for r in root}
+    kept = simhash.without_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == want
+
+
 # ---- 7: repeated strings ---------------------------------------------------
 
 
