@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from delaylake.llm import decontamination, pieces, quality, simhash, substrings
 from delaylake.llm.store import stored
 
+#: Fixed value: repeats of more than 50 words go. They take 6.3 bytes a word with its space in documents
+#: and seldom less than five; the 400 bytes of op7 are the length of that query only.
+PASSAGE_BYTES = 250
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.clean(docs)
@@ -24,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return substrings.clean(docs)
+    return substrings.clean(docs, PASSAGE_BYTES)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import sentencepiece
 import xxhash
 from llm_world import SF, docs, document_list, lowered, no_docs, words  # noqa: F401
 
+import corpus_pipeline
 from delaylake.llm import decontamination, katz, licenses, pieces, quality, sharding, simhash, substrings
 from delaylake.llm import text as tx
 
@@ -412,6 +413,19 @@ def test_repeated_strings_go(docs, document_list, no_docs):
     assert clean.columns == docs.columns and clean.count() == len(document_list)
 
 
+def test_the_pipeline_removes_passages_of_fifty_words(spark):
+    rng = np.random.default_rng(12)
+    noise = lambda n: " ".join(f"{'abcdefgh'[rng.integers(8)]}{rng.integers(10**5)}" for _ in range(n))
+    passage = " ".join(f"{'klmnop'[rng.integers(6)]}{rng.integers(1000, 9999)}" for _ in range(51))
+    assert 250 < len(passage) < 400
+    texts = [f"{noise(80)} {passage} {noise(80)}" for _ in range(2)] + [noise(100)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_strings(spark, frame, SF).collect()}
+    assert left[2] == texts[2]
+    for i in (0, 1):
+        assert passage not in left[i] and len(left[i]) <= len(texts[i]) - len(passage)
+
+
 @pytest.mark.parametrize("group", [1, substrings.GROUP])
 def test_large_groups_are_dealt_on(spark, group):
     """Passages with other words around, for ranges down to single windows."""
