@@ -3,6 +3,9 @@
 Numbers, names and units become typed placeholders in texts and in benchmark
 items, so a question asked again with other values keeps its windows. Windows
 with too few literal words are no evidence and are left out of the item side.
+Windows of the lower-cased words as they are stand beside them, all of an item's,
+so a copy of an item made of numbers, names and units is found as well. Votes
+are measured against the windows with placeholders that an item has.
 Diagonal voting (see ``diagonals``) finds candidate spans; their texts are read
 again, aligned word by word, and a leak needs ``MIN_SHARE`` of the item in order
 and slots that are filled consistently: equal values of the item by equal values
@@ -12,7 +15,8 @@ Names are capitalised words inside a sentence; a word that starts a sentence is
 lower-cased instead. Words that start with a digit are numbers.
 
 Defined results: null or empty texts and items leak nothing; items with fewer
-words than a window use one window of their own length; repeated rows of one
+words than a window use one window of their own length, also if it is a single
+word or number; repeated rows of one
 text and id give one leak; empty tables give no rows; other columns are ignored.
 """
 
@@ -108,6 +112,11 @@ def canon(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return words, first
 
 
+def literal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own, _, _, first = canonical(data, offsets)
+    return own, first
+
+
 def _literal_enough(k: int):
     """At least three words in five of a window are no placeholders."""
 
@@ -152,20 +161,22 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: float, con
     items = stored(
         diagonals.keyed(benchmark.select(F.col("item_id").alias("doc_id"), "text")).where("doc_id is not null").distinct()
     )
-    sized = stored(_sizes(items))
+    sized = stored(_sizes(items, window))
     wanted = None
     for row in sized.select(F.least("size", F.lit(window)).alias("k")).where("k > 0").distinct().collect():
         k = row["k"]
         same = sized.where(F.least("size", F.lit(window)) == k)
-        table = diagonals.template_windows(
-            items.join(same.select("doc_id", "th"), ["doc_id", "th"]), canon, k, _literal_enough(k)
-        )
-        spans = diagonals.voted(diagonals.windows(texts, canon, k), table, k)
+        own = items.join(same.select("doc_id", "th"), ["doc_id", "th"])
+        shaped = diagonals.template_windows(own, canon, k, _literal_enough(k))
+        table = stored(shaped.unionByName(diagonals.template_windows(own, literal, k)))
+        both = diagonals.windows(texts, canon, k).unionByName(diagonals.windows(texts, literal, k))
+        spans = diagonals.voted(both, table, k)
         wanted = spans if wanted is None else wanted.unionByName(spans)
     if wanted is None:
         return docs.sparkSession.createDataFrame([], LEAK)
-    likely = wanted.join(sized.select(F.col("doc_id").alias("item"), "size").distinct(), "item").where(
-        F.col("votes") + window - 1 >= F.ceil(F.lit(least / 2) * F.col("size"))
+    reach = F.least("size", F.col("shaped") + window - 1)
+    likely = wanted.join(sized.select(F.col("doc_id").alias("item"), "size", "shaped").distinct(), "item").where(
+        F.col("votes") + window - 1 >= F.ceil(F.lit(least / 2) * reach)
     )
     asked = likely.join(items.select(F.col("doc_id").alias("item"), F.col("text").alias("asked")), "item")
     found = stored(
@@ -175,17 +186,31 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, least: float, con
     return again.select("d.doc_id", "d.th", "d.text", "w.spans").mapInArrow(_aligned(least, consistent), LEAK)
 
 
-def _sizes(items: DataFrame) -> DataFrame:
+def _sizes(items: DataFrame, window: int) -> DataFrame:
+    """The words of each item, and how many of its windows with placeholders say enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in tx.slices(batch.column(2)):
-                _, first = canon(data, offsets)
+                words, first = canon(data, offsets)
+                size = np.diff(first)
+                shaped = np.zeros(b - a, np.int64)
+                for k in np.unique(np.minimum(size, window)).tolist():
+                    if k:
+                        _, at = tx.grams(words, first, k)
+                        n = np.diff(tx.per_text(at[_literal_enough(k)(words, at)], first))
+                        shaped = np.where(np.minimum(size, window) == k, n, shaped)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(first).astype(np.int32))],
-                    names=["doc_id", "th", "size"],
+                    [
+                        batch.column(0).slice(a, b - a),
+                        batch.column(1).slice(a, b - a),
+                        pa.array(size.astype(np.int32)),
+                        pa.array(shaped.astype(np.int32)),
+                    ],
+                    names=["doc_id", "th", "size", "shaped"],
                 )
 
-    return items.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, size int")
+    return items.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, size int, shaped int")
 
 
 def _one(body: str) -> tuple[list[int], list[int], list[int]]:
@@ -225,24 +250,26 @@ def _aligned(least: float, consistent: float):
 
 
 def _compared(item, text, start: int, stop: int, least: float, consistent: float) -> dict | None:
-    """The leak that a candidate span is, or None."""
+    """The leak that a candidate span is, or None: by placeholders, or else all words as they are."""
     size = len(item[0])
     begin, end = max(0, start - size), min(len(text[0]), stop + size)
-    blocks = SequenceMatcher(None, item[2], text[2][begin:end], False).get_matching_blocks()
-    blocks = [b for b in blocks if b.size]
-    pairs = [(b.a + i, begin + b.b + i) for b in blocks for i in range(b.size)]
-    if not pairs or len(pairs) / size < least or pairs[-1][1] - pairs[0][1] >= 2 * size:
-        return None
-    slots = [(item[1][i], item[0][i], text[0][j]) for i, j in pairs if item[1][i] != LITERAL]
-    if slots and min(_steady(slots, 1), _steady(slots, 2)) < consistent:
-        return None
-    same = all(item[0][i] == text[0][j] for i, j in pairs)
-    return {
-        "start_word": pairs[0][1],
-        "stop_word": pairs[-1][1] + 1,
-        "share": len(pairs) / size,
-        "kind": "verbatim" if same else "changed",
-    }
+    for part, share in ((2, least), (0, 1)):
+        blocks = SequenceMatcher(None, item[part], text[part][begin:end], False).get_matching_blocks()
+        blocks = [b for b in blocks if b.size]
+        pairs = [(b.a + i, begin + b.b + i) for b in blocks for i in range(b.size)]
+        if not pairs or len(pairs) / size < share or pairs[-1][1] - pairs[0][1] >= 2 * size:
+            continue
+        slots = [(item[1][i], item[0][i], text[0][j]) for i, j in pairs if item[1][i] != LITERAL]
+        if slots and min(_steady(slots, 1), _steady(slots, 2)) < consistent:
+            continue
+        same = all(item[0][i] == text[0][j] for i, j in pairs)
+        return {
+            "start_word": pairs[0][1],
+            "stop_word": pairs[-1][1] + 1,
+            "share": len(pairs) / size,
+            "kind": "verbatim" if same else "changed",
+        }
+    return None
 
 
 def _steady(slots: list[tuple[int, int, int]], key: int) -> float:

@@ -491,6 +491,21 @@ def test_leaks_are_found_again(spark, docs, no_docs):
     assert decontamination.clean(docs, empty).count() == docs.count()
 
 
+def test_items_of_numbers_names_and_units_are_found(spark):
+    sum_ = "What is 12 + 7 * 3 - 5?"
+    heavy = "List: 3 kg 14 cm 15 min 92 km 65 mg and 35 ml, 89 kg or 79 cm for Anna Berta Carl Dora"
+    rows = [
+        (1, "Some words before it. " + sum_ + " And some behind."),
+        (2, "Some words before it. What was 3 + 4 * 9 - 1? And some behind."),
+        (3, "Words in front, then " + heavy + " and some behind."),
+        (4, "in front of it what is 12 7 3 5 and some behind"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(10, sum_), (11, heavy)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in decontamination.leaks(frame, bench).collect()}
+    assert got == {(1, 10): "verbatim", (3, 11): "verbatim", (4, 10): "verbatim"}
+
+
 def test_slots_must_be_filled_consistently():
     item = decontamination._one("the teacher Anna gave Berta the key and Anna told Berta to lock the blue door")
     good = decontamination._one("the teacher Carl gave Dora the key and Carl told Dora to lock the blue door")
