@@ -2,9 +2,11 @@
 
 Words are lower-cased runs of digits, letters and non-ASCII characters. Phrases
 count wherever their words stand consecutively. Notices are templates: their
-4-word windows vote for diagonals (see ``diagonals``), merged spans that reach
-``MIN_SHARE`` of a template are read again and verified word by word; a span's
-share is the part of the template's words found in it in order.
+4-word and 2-word windows vote for diagonals (see ``diagonals``). A merged span is
+read again and verified word by word if it has a vote of four words, or as many
+of two words as are left when all words that ``MIN_SHARE`` spares are changed: a
+changed word takes two of them, an inserted one takes one. A span's share is the
+part of the template's words found in it in order.
 
 Defined results: null and empty texts have no words, no labels and score 0;
 repeated rows get equal results; an empty table gives no rows; null doc_ids are
@@ -65,7 +67,7 @@ NOTICES = [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     ),
 ]
-WINDOW = 4
+WINDOWS = (4, 2)
 MIN_SHARE = 0.7
 
 
@@ -142,14 +144,17 @@ def notices(docs: DataFrame, templates: list[tuple[str, str]], least: float = MI
     frame = spark.createDataFrame(
         [(i, body) for i, (_, body) in enumerate(templates)], "doc_id long, text string"
     )
-    table = diagonals.template_windows(diagonals.keyed(frame), canon, WINDOW)
     sizes = spark.createDataFrame(
         [(i, len(_words(body))) for i, (_, body) in enumerate(templates)], "item long, size int"
     )
-    spans = diagonals.voted(diagonals.windows(docs, canon, WINDOW), table, WINDOW)
-    likely = spans.join(sizes, "item").where(
-        F.col("votes") + WINDOW - 1 >= F.ceil(least * F.col("size"))
-    )
+    likely = None
+    for k in WINDOWS:
+        table = diagonals.template_windows(diagonals.keyed(frame), canon, k)
+        spared = F.col("size") - F.ceil(least * F.col("size"))
+        votes = F.greatest(F.lit(1), F.col("size") - k + 1 - k * spared)
+        spans = diagonals.voted(diagonals.windows(docs, canon, k), table, k).join(sizes, "item").where(F.col("votes") >= votes)
+        spans = spans.select("doc_id", "th", "item", "start", "stop", "size")
+        likely = spans if likely is None else likely.unionByName(spans)
     wanted = stored(
         likely.groupBy("doc_id", "th").agg(F.collect_list(F.struct("item", "start", "stop", "size")).alias("spans"))
     )

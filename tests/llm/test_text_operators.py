@@ -104,6 +104,22 @@ def test_license_scan(docs, document_list, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_edited_short_notices_are_found(spark):
+    rows = [
+        (1, "Words before. Licensed under the Apache Software License, Version 2.0 and words behind."),
+        (2, "Words before. Licensed under a Creative Commons Attribution 3.0 International License and more."),
+        (3, "Here this work is licensed under the GNU Universal Public License, version 3 as it stands."),
+        (4, "Words before. Licensed under any Apache License, Edition 2.0 and words behind."),
+        (5, "The apache tribe was licensed under the crown to trade in furs."),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "apache-2.0" in got[1]["labels"].split(",") and got[1]["score"] == 1.0
+    assert "cc-by" in got[2]["labels"].split(",") and got[2]["score"] == pytest.approx(0.9)
+    assert "gpl-3" in got[3]["labels"].split(",")
+    assert "apache-2.0" in got[4]["labels"].split(",") and got[4]["score"] == 0.75
+    assert got[5]["labels"] == "" and got[5]["score"] == 0
+
+
 def test_notices_with_changes_are_found(spark):
     mit = licenses.NOTICES[7][1]
     changed = mit.replace("free of charge, ", "").replace("any person", "each person")
