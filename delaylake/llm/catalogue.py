@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaylake.llm import decontamination, katz, licenses, pieces, quality, sharding, simhash, substrings, urls, warc
+from delaylake.llm import (
+    conversations,
+    decontamination,
+    katz,
+    licenses,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    urls,
+    warc,
+)
 
 #: The rules of the URL query.
 URL_RULES = [
@@ -64,6 +76,10 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(docs, SHARDS).selectExpr("*", "cast(null as int) as grown_shard")
 
 
+def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.audit_of_damage(_table(spark, sf, "conversations"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scan": op2_license_scan,
@@ -75,6 +91,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_conversations": op11_conversations,
 }
 
 ORACLE_SQL = {
