@@ -131,5 +131,91 @@ select page_id, payload_bytes, payload_digest,
   case when keeper = page_id then 'response' else 'revisit' end as record_type,
   case when keeper = page_id then null else keeper end as refers_to
 from kept
+""",
+    "op11_conversations": r"""
+with recursive
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as code
+  from conversations),
+fated as (
+  select *, xor(list_reduce(
+      list_transform(string_split(code, ''), lambda c: cast(ascii(c) as bigint)),
+      lambda crc, b: list_reduce(range(8), lambda v, k: xor(v >> 1, (v & 1) * 3988292384), xor(crc, b)),
+      4294967295), 4294967295) % 20 as fate
+  from given),
+damaged as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+    case fate when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when fate = 3 then [1, 2] else [1] end) as copy
+  from fated where fate <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    substr(role, 1, 1) as initial
+  from damaged),
+numbered as (select *, row_number() over (partition by conv_id, role, text order by i) as seen from placed),
+judged as (
+  select *, case
+      when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when seen > 1 then 'duplicate'
+      when regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) not in ('.', '!', '?') then 'truncated' end as fault,
+    lag(initial) over (partition by conv_id order by i) || initial as pair
+  from numbered),
+priced as (
+  select conv_id, i, role, text, initial,
+    case when fault in ('blank', 'duplicate') then 1000000 else 0 end + case when fault = 'truncated' then 1 else 0 end as stay
+  from judged),
+counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id),
+back(conv_id, i, b) as (
+  select conv_id, n + 1, [0, 4, 2, 0] from counts
+  union all
+  select conv_id, i, [least(base[1], 2 + base[3], 4 + base[4]), least(base[2], 2 + base[3], 4 + base[4]),
+    least(base[3], 2 + base[4]), least(base[4], 2 + base[3])]
+  from (
+    select p.conv_id, p.i, [
+      least(3 + b[1], stay + case when initial = 'u' then 0 else 2 end + b[3], stay + case when initial = 's' then 0 else 1000000 end + b[2]),
+      least(3 + b[2], stay + case when initial = 'u' then 0 else 2 end + b[3]),
+      least(3 + b[3], stay + case when initial = 'a' then 0 else 2 end + b[4]),
+      least(3 + b[4], stay + case when initial = 'u' then 0 else 2 end + b[3])] as base
+    from back join priced p on p.conv_id is not distinct from back.conv_id and p.i = back.i - 1) as step),
+tight as (
+  select a.conv_id, a.i, a.b, n.b as nb, p.role, p.text, p.initial, p.stay
+  from back a
+  left join back n on n.conv_id is not distinct from a.conv_id and n.i = a.i + 1
+  left join priced p on p.conv_id is not distinct from a.conv_id and p.i = a.i),
+walk(conv_id, i, state, audit, lines, open) as (
+  select conv_id, cast(1 as bigint), 1, '', cast([] as varchar[]), true from counts
+  union all
+  select conv_id, case when move in ('I', '') then i else i + 1 end,
+    case when move in ('D', '') then state when move = 'K' and initial = 's' then 2
+      when state = 3 then 4 else 3 end,
+    audit || move,
+    case move when 'I' then list_append(lines, free || ':') when 'R' then list_append(lines, free || ':' || text)
+      when 'K' then list_append(lines, role || ':' || text) else lines end,
+    move <> ''
+  from (
+    select w.*, t.role, t.text, t.initial, case when state = 3 then 'assistant' else 'user' end as free,
+      case when t.b[state] = 3 + t.nb[state] then 'D'
+        when t.nb is null and state in (1, 4) then ''
+        when t.b[state] = 2 + t.b[case when state = 3 then 4 else 3 end] then 'I'
+        when initial = 's' and state = 1 and t.b[state] = stay + t.nb[2] then 'K'
+        when initial = case when state = 3 then 'a' else 'u' end
+          and t.b[state] = stay + t.nb[case when state = 3 then 4 else 3 end] then 'K'
+        else 'R' end as move
+    from walk w join tight t on t.conv_id is not distinct from w.conv_id and t.i = w.i
+    where w.open) as step),
+ids as (select distinct conv_id from conversations)
+select ids.conv_id, coalesce(c.gaps, 0) as gaps, coalesce(c.blank, 0) as blank, coalesce(c.duplicate, 0) as duplicate,
+  coalesce(c.truncated, 0) as truncated, coalesce(c.illegal, 0) as illegal, coalesce(cast(back.b[1] as bigint), 0) as cost,
+  coalesce(w.audit, '') as audit, sha256(coalesce(array_to_string(w.lines, chr(10)), '')) as repaired_sha256
+from ids
+left join counts c on c.conv_id is not distinct from ids.conv_id
+left join back on back.conv_id is not distinct from ids.conv_id and back.i = 1
+left join walk w on w.conv_id is not distinct from ids.conv_id and not w.open
 """,
 }
