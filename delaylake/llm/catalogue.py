@@ -8,6 +8,7 @@ from delaylake.llm import (
     conversations,
     decontamination,
     katz,
+    lexical,
     licenses,
     pieces,
     quality,
@@ -80,6 +81,10 @@ def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return conversations.audit_of_damage(_table(spark, sf, "conversations"))
 
 
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scan": op2_license_scan,
@@ -92,6 +97,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
     "op11_conversations": op11_conversations,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -217,5 +223,37 @@ from ids
 left join counts c on c.conv_id is not distinct from ids.conv_id
 left join back on back.conv_id is not distinct from ids.conv_id and back.i = 1
 left join walk w on w.conv_id is not distinct from ids.conv_id and not w.open
+""",
+    "op12_lexical_search": r"""
+with found as (
+  select doc_id, row_number() over () as row_no, text from documents),
+terms as (
+  select doc_id, row_no, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from found),
+tfs as (select doc_id, row_no, term, count(*) as tf from terms group by all),
+lengths as (select row_no, cast(sum(tf) as bigint) as n from tfs group by row_no),
+totals as (select count(*) as documents, cast(sum(n) as bigint) as total from lengths),
+weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) as bigint) as w
+  from tfs, totals group by term),
+queries as (
+  select item_id, row_number() over () as query_no, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+parts as (
+  select q.item_id, q.query_no, t.doc_id, t.row_no,
+    w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (25 + (75 * l.n * s.documents) // s.total))) as part
+  from queries q join tfs t using (term) join weights w using (term) join lengths l on l.row_no = t.row_no, totals s),
+scores as (
+  select item_id, query_no, doc_id, cast(sum(part) as bigint) as score
+  from parts group by item_id, query_no, doc_id, row_no)
+select item_id, cast(place as integer) as rank, doc_id, score
+from (
+  select *, row_number() over (partition by query_no order by score desc, doc_id nulls first) as place
+  from scores where score > 0)
+where place <= 10
 """,
 }
