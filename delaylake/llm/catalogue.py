@@ -10,6 +10,7 @@ from delaylake.llm import (
     katz,
     lexical,
     licenses,
+    personal,
     pieces,
     quality,
     sharding,
@@ -85,6 +86,10 @@ def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.ranked(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal.digest(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scan": op2_license_scan,
@@ -98,6 +103,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_conversations": op11_conversations,
     "op12_lexical_search": op12_lexical_search,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE_SQL = {
@@ -256,4 +262,5 @@ from (
   from scores where score > 0)
 where place <= 10
 """,
+    "op13_personal_data": personal.sql(),
 }
