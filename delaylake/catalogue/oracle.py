@@ -894,3 +894,9 @@ oracle(
        round(avg((arr_c >= 60)::integer) filter (where arr_nasw >= 50), 6) as "precision"
        from measures""",
 )
+oracle(
+    "gold_incremental",
+    """select ds, th, y as year, m as month, count(*) as n, sum(is_pos)::bigint as positives,
+       sum(o_vis_seen)::bigint as o_vis_seen, y = 2014 as joined_last
+       from targets where th = 60 group by ds, th, y, m""",
+)

@@ -122,10 +122,19 @@ def positive_rules(threshold: int | str, tau: float = TAU) -> dict[str, str]:
     }
 
 
+COUNTS = [f"cnt_{ds.lower()}" for ds in DATASETS] + ["cnt_neg"]
+
+
 def class_counts(
-    measures: DataFrame, thresholds: Sequence[int] = THRESHOLDS, tau: float = TAU
+    measures: DataFrame,
+    thresholds: Sequence[int] = THRESHOLDS,
+    tau: float = TAU,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """``(th, cnt_d1 .. cnt_d4, cnt_neg)``, all thresholds from one scan."""
+    """``(th, cnt_d1 .. cnt_d4, cnt_neg)``, all thresholds from one scan, per group of ``by``.
+
+    Counts of groups add up, so those of a part can be kept and merged.
+    """
     sums, rows = [], []
     for th in thresholds:
         named = {
@@ -134,7 +143,7 @@ def class_counts(
         }
         sums += [F.expr(f"count_if({rule}) as {n}_{th}") for n, rule in named.items()]
         rows.append(f"struct({th} as th, {', '.join(f'{n}_{th} as {n}' for n in named)})")
-    return measures.agg(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
+    return measures.groupBy(*by).agg(*sums).selectExpr(*by, f"inline(array({', '.join(rows)}))")
 
 
 def dataset_grid(counts: DataFrame) -> DataFrame:
@@ -161,6 +170,30 @@ def dataset_grid(counts: DataFrame) -> DataFrame:
     )
 
 
+def kept_shares(counts: Sequence[int]) -> dict[str, float]:
+    """The shares of :func:`dataset_grid` from summed counts in the order of ``COUNTS``."""
+    negatives = max(counts[-1], 1)
+    return {
+        ds: min(1.0, n / negatives) if n > 0 else 0.0 for ds, n in zip(DATASETS, counts)
+    }
+
+
+def literal_cells(shares: dict[tuple[str, int], float]) -> Column:
+    """The grid of :func:`dataset_grid` from known shares per dataset and threshold."""
+    cells = [
+        f"named_struct('ds', '{ds}', 'th', {th}, 'share', {share!r}D)"
+        for (ds, th), share in sorted(shares.items())
+    ]
+    return F.expr(f"named_struct('cells', array({', '.join(cells)}))")
+
+
+def drawn_rows(rows: DataFrame, shares: dict[tuple[str, int], float], seed: int) -> DataFrame:
+    """Targets with all positives, and the negatives that the shares leave."""
+    pairs = ", ".join(f"'{ds}-{th}', {share!r}D" for (ds, th), share in sorted(shares.items()))
+    share = F.expr(f"try_element_at(map({pairs}), concat(ds, '-', th))")
+    return rows.filter((F.col("is_pos") == 1) | (values.unit_hash(F.col("trip_key"), seed) < share))
+
+
 def expand_targets(measures: DataFrame, grid: Column, tau: float, seed: int) -> DataFrame:
     """One row per trip and dataset it belongs to, with ``ds, th, is_pos``.
 

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,6 +32,7 @@ from delaylake.operators.observations import (
 )
 from delaylake.operators.timeline import (
     JT_TRIP_COLUMNS,
+    LOOKBACK_HOURS,
     complete_trips,
     join_weather,
     label_trips,
@@ -42,6 +43,7 @@ from delaylake.operators.trips import (
     unique_trips,
     with_trip_key,
 )
+from delaylake.plans import versions
 from delaylake.sources import files
 from delaylake.sources.schemas import OBSERVATION_COLUMNS, TRIP_COLUMNS
 
@@ -81,6 +83,7 @@ BRONZE_TRIPS = "bronze/trips"
 BRONZE_OBSERVATIONS = "bronze/observations"
 SILVER_TRIPS = "silver/trips"
 SILVER_OBSERVATIONS = "silver/observations"
+SILVER_EXTENTS = "silver/extents"
 GOLD_JOINED = "gold/joined"
 GOLD_TARGETS = "gold/targets"
 GOLD_MANIFEST = "gold/manifest"
@@ -112,17 +115,19 @@ def _by_month(
     shapes: Sequence[DataFrame],
     build: Callable[[RawInputs], Sequence[DataFrame]],
     refresh: Sequence[str],
+    before: Callable[[str], None] = lambda month: None,
 ) -> list[DataFrame]:
     """The tables of the requested months: stored ones are read, missing ones built and stored.
 
     Months outside the request stay as they are. ``refresh`` names months to
-    build again although they are stored.
+    build again although they are stored. ``before`` is called before a month is written.
     """
     for month in raw.months:
         done = all(
             files.table_exists(spark, f"{lake.path(n)}/{input_part(month)}") for n in names
         )
         if not done or month in refresh:
+            before(month)
             _write_month(lake, names, build(raw.only(month)), month)
     parts = [input_part(m) for m in raw.months]
     return [
@@ -261,40 +266,202 @@ def run_silver(
     if not store:
         return build(raw)
     names, shape = [SILVER_TRIPS, SILVER_OBSERVATIONS], shapes(spark)
+    forget = lambda month: files.remove_folder(spark, _extent_path(lake, month))
     return tuple(
-        _by_month(spark, raw, lake, names, [shape[n] for n in names], build, refresh)
+        _by_month(spark, raw, lake, names, [shape[n] for n in names], build, refresh, forget)
     )
 
 
-MANIFEST = "th int, months string, version string"
+# ---- gold, part by part ---------------------------------------------------
+#
+# The joined trips and the targets are kept per part: a year and month of trips. A part depends on the
+# input months whose trips fall into it and on those whose readings its trips can look back to. Only parts
+# whose inputs changed are joined again. Class counts are kept per part and add up. Each part stores somewhat
+# more negatives than are drawn (RESERVE), so new totals seldom touch the targets of old parts; a reader
+# keeps exactly those that the current totals draw.
+
+RESERVE = 1.25
+COUNT_COLUMNS = targets.COUNTS
+KEPT_COLUMNS = [f"kept_{ds.lower()}" for ds in targets.DATASETS]
+EXTENT = "source string, year int, month string, low timestamp, high timestamp, build string"
+MANIFEST = (
+    "year int, month string, th int, months string, inputs string, joined string, targets string, "
+    + ", ".join(f"{c} bigint" for c in COUNT_COLUMNS)
+    + ", "
+    + ", ".join(f"{c} double" for c in KEPT_COLUMNS)
+)
+
+
+@dataclass(frozen=True, order=True)
+class Part:
+    """A month of trips."""
+
+    year: int
+    month: str
+
+
+@dataclass(frozen=True)
+class Entry:
+    """What the manifest knows of one part at one threshold."""
+
+    part: Part
+    th: int
+    months: str
+    inputs: str
+    joined: str
+    targets: str
+    counts: tuple[int, ...]
+    kept: tuple[float, ...]
+
+    @staticmethod
+    def of(row) -> Entry:
+        return Entry(
+            Part(row["year"], row["month"]),
+            *(row[n] for n in ("th", "months", "inputs", "joined", "targets")),
+            tuple(row[c] for c in COUNT_COLUMNS),
+            tuple(row[c] for c in KEPT_COLUMNS),
+        )
+
+    def row(self) -> tuple:
+        fixed = (self.part.year, self.part.month, self.th, self.months, self.inputs)
+        return (*fixed, self.joined, self.targets, *self.counts, *self.kept)
+
+
+def _extent_path(lake: Lake, month: str) -> str:
+    return f"{lake.path(SILVER_EXTENTS)}/{input_part(month)}"
+
+
+def _write_extent(spark: SparkSession, lake: Lake, month: str) -> None:
+    """The months that an input's trips and readings fall into, and the times its trips look at.
+
+    A narrow scan of the input just stored; ``build`` tells one build of the input from the next.
+    """
+    shape, parts = shapes(spark), [input_part(month)]
+    trips, readings = (
+        files.read_table(spark, lake.path(n), shape[n].schema, parts)
+        for n in (SILVER_TRIPS, SILVER_OBSERVATIONS)
+    )
+    back = F.expr(f"interval {LOOKBACK_HOURS + 1} hours")
+    flown = complete_trips(trips).select("year", "month", "dep_ts_utc", "arr_ts_utc")
+    reach = flown.groupBy("year", "month").agg(
+        (F.min(F.least("dep_ts_utc", "arr_ts_utc")) - back).alias("low"),
+        F.max(F.greatest("dep_ts_utc", "arr_ts_utc")).alias("high"),
+    )
+    seen = readings.filter("obs_utc is not null").groupBy("year", "month")
+    times = seen.agg(F.min("obs_utc").alias("low"), F.max("obs_utc").alias("high"))
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(EXTENT)]
+    build = F.lit(uuid.uuid4().hex[:12]).alias("build")
+    rows = [df.select(F.lit(s).alias("source"), "*", build).select(*columns) for s, df in (("trips", reach), ("readings", times))]
+    files.write_table(rows[0].unionByName(rows[1]).coalesce(1), _extent_path(lake, month))
+
+
+def _month_number(year: int, month: int | str) -> int:
+    return year * 12 + int(month) - 1
+
 
+@dataclass
+class _Reach:
+    """The inputs of a part and the months of readings that its trips look at."""
 
-def manifest(spark: SparkSession, lake: Lake) -> dict[int, tuple[str, str]]:
-    """Input months and version of each stored threshold: a few rows."""
-    path = lake.path(GOLD_MANIFEST)
-    if not files.table_exists(spark, path):
-        return {}
-    rows = files.read_table(spark, path, StructType.fromDDL(MANIFEST)).collect()
-    return {r["th"]: (r["months"], r["version"]) for r in rows}
+    inputs: str
+    readings: set[int]
+
+
+def gold_parts(spark: SparkSession, raw: RawInputs, lake: Lake) -> dict[Part, _Reach]:
+    """The parts that the requested input months make up, from a few rows per input month."""
+    extents: dict[str, list] = {}
+    for month in raw.months:
+        if not files.table_exists(spark, _extent_path(lake, month)):
+            _write_extent(spark, lake, month)
+        found = files.read_table(spark, _extent_path(lake, month), StructType.fromDDL(EXTENT)).select(
+            "source", "year", "month", "build",
+            *(F.year(c).alias(f"{c}_year") for c in ("low", "high")),
+            *(F.month(c).alias(f"{c}_month") for c in ("low", "high")),
+        ).collect()
+        extents[month] = found
+    readings: dict[str, set[int]] = {
+        m: {_month_number(r["year"], r["month"]) for r in rows if r["source"] == "readings"}
+        for m, rows in extents.items()
+    }
+    looked: dict[Part, set[int]] = {}
+    givers: dict[Part, set[str]] = {}
+    for input_month, rows in extents.items():
+        for r in rows:
+            if r["source"] == "trips":
+                part = Part(r["year"], r["month"])
+                low = _month_number(r["low_year"], r["low_month"])
+                high = _month_number(r["high_year"], r["high_month"])
+                looked.setdefault(part, set()).update(range(low, high + 1))
+                givers.setdefault(part, set()).add(input_month)
+    builds = {m: rows[0]["build"] for m, rows in extents.items() if rows}
+    parts = {}
+    for part, months in looked.items():
+        used = givers[part] | {m for m, seen in readings.items() if seen & months}
+        parts[part] = _Reach(",".join(f"{m}:{builds[m]}" for m in sorted(used)), months)
+    return parts
+
+
+def manifest(spark: SparkSession, lake: Lake) -> list[Entry]:
+    """The current state of gold: one entry per part and threshold."""
+    return [Entry.of(r) for r in versions.current(spark, lake.path(GOLD_MANIFEST), StructType.fromDDL(MANIFEST))]
+
+
+def _in_parts(parts: Sequence[Part]) -> Column:
+    """Rows of some parts; prunes the folders of tables split by year and month."""
+    months: dict[int, list[str]] = {}
+    for part in sorted(parts):
+        months.setdefault(part.year, []).append(part.month)
+    tests = [(F.col("year") == y) & F.col("month").isin(ms) for y, ms in months.items()]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _read_joined(spark: SparkSession, lake: Lake, places: dict[Part, str]) -> DataFrame:
+    """The stored joined trips of some parts; no other part is listed or read."""
+    schema = shapes(spark)[GOLD_JOINED].schema
+    folders: dict[str, list[str]] = {}
+    for part, version in sorted(places.items()):
+        folders.setdefault(version, []).append(f"year={part.year}/month={part.month}")
+    return reduce(
+        DataFrame.unionByName,
+        [files.read_table(spark, f"{lake.path(GOLD_JOINED)}/{v}", schema, parts) for v, parts in folders.items()],
+    )
+
+
+def _total_shares(entries: Sequence[Entry]) -> dict[tuple[str, int], float]:
+    """The share of negatives to draw per dataset and threshold, from the counts of all parts."""
+    sums: dict[int, list[int]] = {}
+    for e in entries:
+        old = sums.get(e.th, [0] * len(COUNT_COLUMNS))
+        sums[e.th] = [a + b for a, b in zip(old, e.counts)]
+    return {(ds, th): s for th, n in sums.items() for ds, s in targets.kept_shares(n).items()}
 
 
 def read_targets(
     spark: SparkSession, lake: Lake, thresholds: Sequence[int] | None = None
 ) -> DataFrame:
-    """The current targets of some or all stored thresholds."""
-    stored = manifest(spark, lake)
-    wanted = sorted(stored) if thresholds is None else list(thresholds)
+    """The current targets of some or all stored thresholds; asking for one not stored is an error."""
+    entries = manifest(spark, lake)
+    stored = {e.th for e in entries}
+    wanted = stored if thresholds is None else set(thresholds)
+    if not entries or not wanted <= stored:
+        missing = f"thresholds {sorted(wanted - stored)}" if entries else "targets"
+        raise ValueError(f"no {missing} stored in {lake.path(GOLD_TARGETS)}")
+    chosen = [e for e in entries if e.th in wanted]
     schema = shapes(spark)[GOLD_TARGETS].schema
-    by_version: dict[str, list[int]] = {}
-    for th in wanted:
-        by_version.setdefault(stored[th][1], []).append(th)
-    parts = [
-        files.read_table(spark, f"{lake.path(GOLD_TARGETS)}/{v}", schema).filter(
-            F.col("th").isin(ths)
-        )
-        for v, ths in by_version.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    places: dict[str, dict[int, list[Part]]] = {}
+    for e in chosen:
+        places.setdefault(e.targets, {}).setdefault(e.th, []).append(e.part)
+    frames = []
+    for version, by_threshold in places.items():
+        alike: dict[tuple[Part, ...], list[int]] = {}
+        for th, parts in by_threshold.items():
+            alike.setdefault(tuple(sorted(parts)), []).append(th)
+        tests = [F.col("th").isin(ths) & _in_parts(parts) for parts, ths in alike.items()]
+        table = files.read_table(spark, f"{lake.path(GOLD_TARGETS)}/{version}", schema)
+        frames.append(table.filter(reduce(lambda a, b: a | b, tests)))
+    return targets.drawn_rows(
+        reduce(DataFrame.unionByName, frames), _total_shares(chosen), targets.GOLD_SEED
+    )
 
 
 def run_gold(
@@ -307,28 +474,114 @@ def run_gold(
 ) -> DataFrame:
     """Targets of the thresholds over the requested months.
 
-    Each run writes a version of its own, and the manifest then points the
-    thresholds of the run to it: they are replaced as a whole, others keep
-    theirs, and a reader sees the old or the new version.
+    Parts whose inputs are as they were keep their joined trips, and their
+    targets too unless a share has outgrown what they store. New folders are
+    written first; one manifest then makes them the state of the thresholds of
+    the run. Other thresholds keep theirs. A broken run leaves the former state.
     """
     trips, observations = run_silver(spark, raw, lake, store, refresh)
     if not store:
         return gold_targets_direct(trips, observations, thresholds)
-    shape = shapes(spark)[GOLD_JOINED].schema
-    joined = gold_joined(trips, observations)
-    files.reject_duplicate_columns(joined)
-    files.write_table(joined, lake.path(GOLD_JOINED), MONTHS)
-    joined = files.read_table(spark, lake.path(GOLD_JOINED), shape)
-    version = f"version-{uuid.uuid4().hex}"
-    files.write_table(
-        gold_targets(joined, thresholds), f"{lake.path(GOLD_TARGETS)}/{version}", SLICES
-    )
-    entries = manifest(spark, lake) | {th: (_months(raw), version) for th in thresholds}
-    rows = [(th, months, v) for th, (months, v) in sorted(entries.items())]
-    files.write_table(spark.createDataFrame(rows, MANIFEST), lake.path(GOLD_MANIFEST))
+    parts = gold_parts(spark, raw, lake)
+    if not parts:
+        raise ValueError("no trip with both times in the requested months")
+    former = manifest(spark, lake)
+    fresh = {(e.part, e.th): e for e in former if e.part in parts and parts[e.part].inputs == e.inputs}
+    places = _joined_places(spark, lake, parts, fresh, trips, observations)
+    counts = _part_counts(spark, lake, places, fresh, thresholds)
+    entries = [
+        Entry(p, th, _months(raw), r.inputs, places[p], "", counts[p, th], ())
+        for p, r in sorted(parts.items())
+        for th in thresholds
+    ]
+    others = [e for e in former if e.th not in thresholds]
+    stored = _store_targets(spark, lake, entries, fresh)
+    versions.commit(spark, lake.path(GOLD_MANIFEST), [e.row() for e in others + stored], StructType.fromDDL(MANIFEST))
     return read_targets(spark, lake, thresholds)
 
 
+def _joined_places(
+    spark: SparkSession,
+    lake: Lake,
+    parts: dict[Part, _Reach],
+    fresh: dict[tuple[Part, int], Entry],
+    trips: DataFrame,
+    observations: DataFrame,
+) -> dict[Part, str]:
+    """The version that holds each part's joined trips; those of changed parts are joined and written."""
+    places = {part: e.joined for (part, _), e in fresh.items()}
+    changed = [p for p in parts if p not in places]
+    if changed:
+        months = sorted(set().union(*(parts[p].readings for p in changed)))
+        near = [Part(n // 12, f"{n % 12 + 1:02d}") for n in months]
+        joined = gold_joined(trips.filter(_in_parts(changed)), observations.filter(_in_parts(near)))
+        files.reject_duplicate_columns(joined)
+        version = versions.new_version()
+        files.write_table(joined, f"{lake.path(GOLD_JOINED)}/{version}", MONTHS)
+        places.update(dict.fromkeys(changed, version))
+    return places
+
+
+def _part_counts(
+    spark: SparkSession,
+    lake: Lake,
+    places: dict[Part, str],
+    fresh: dict[tuple[Part, int], Entry],
+    thresholds: Sequence[int],
+) -> dict[tuple[Part, int], tuple[int, ...]]:
+    """Class counts per part and threshold: known ones, and one scan of the parts that lack some."""
+    counts = {key: e.counts for key, e in fresh.items()}
+    missing = {p for p in places for th in thresholds if (p, th) not in counts}
+    if missing:
+        joined = _read_joined(spark, lake, {p: places[p] for p in missing})
+        measures = targets.delay_measures(joined, also_keep=MONTHS)
+        for r in targets.class_counts(measures, thresholds, by=MONTHS).collect():
+            counts[Part(r["year"], r["month"]), r["th"]] = tuple(r[c] for c in COUNT_COLUMNS)
+    return counts
+
+
+def _store_targets(
+    spark: SparkSession, lake: Lake, entries: list[Entry], fresh: dict[tuple[Part, int], Entry]
+) -> list[Entry]:
+    """The entries with the place of their targets, written where none hold what the shares ask for."""
+    shares = _total_shares(entries)
+    version, stored, due = versions.new_version(), [], []
+    for e in entries:
+        old = fresh.get((e.part, e.th))
+        asked = tuple(shares[ds, e.th] for ds in targets.DATASETS)
+        if old and all(kept >= share for kept, share in zip(old.kept, asked)):
+            stored.append(replace(e, targets=old.targets, kept=old.kept))
+        else:
+            kept = tuple(min(1.0, RESERVE * share) for share in asked)
+            stored.append(replace(e, targets=version, kept=kept))
+            due.append(stored[-1])
+    by_parts: dict[tuple[Part, ...], list[int]] = {}
+    for th in sorted({e.th for e in due}):
+        by_parts.setdefault(tuple(sorted(e.part for e in due if e.th == th)), []).append(th)
+    frames = []
+    for parts, ths in by_parts.items():
+        places = {e.part: e.joined for e in due if e.part in parts}
+        cells = {(ds, e.th): k for e in due if e.th in ths for ds, k in zip(targets.DATASETS, e.kept)}
+        joined = _read_joined(spark, lake, places)
+        frames.append(targets.build_targets(joined, targets.literal_cells(cells), seed=targets.GOLD_SEED))
+    if frames:
+        rows = reduce(DataFrame.unionByName, frames)
+        files.write_table(rows, f"{lake.path(GOLD_TARGETS)}/{version}", SLICES)
+    return stored
+
+
+def vacuum(spark: SparkSession, lake: Lake) -> list[str]:
+    """Delete versions that the current manifest does not name, and former manifests.
+
+    For times without readers of a former state and without a running gold job.
+    """
+    entries = manifest(spark, lake)
+    gone = versions.remove_unused(spark, lake.path(GOLD_JOINED), {e.joined for e in entries})
+    gone += versions.remove_unused(spark, lake.path(GOLD_TARGETS), {e.targets for e in entries})
+    versions.remove_former(spark, lake.path(GOLD_MANIFEST))
+    return gone
+
+
 def _months(raw: RawInputs) -> str:
     return ",".join(sorted(raw.months))
 
@@ -341,8 +594,8 @@ def targets_table(
     store: bool = True,
 ) -> DataFrame:
     """The stored targets, or a gold run unless they cover the months and thresholds."""
-    stored = manifest(spark, lake)
-    if all(stored.get(th, ("", ""))[0] == _months(raw) for th in thresholds):
+    covered = {e.th for e in manifest(spark, lake) if e.months == _months(raw)}
+    if covered.issuperset(thresholds):
         return read_targets(spark, lake, thresholds)
     return run_gold(spark, raw, lake, thresholds, store)
 

@@ -137,3 +137,23 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path in its own type: for names only, never for data."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none where it does not exist."""
+    system, location = _hadoop_path(spark, path)
+    if not system.exists(location):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(location) if s.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; none there is no error."""
+    system, location = _hadoop_path(spark, path)
+    system.delete(location, True)

@@ -52,7 +52,9 @@ def test_gold_builds_missing_stages(spark, raw, stored):
     for name in (stages.BRONZE_TRIPS, stages.SILVER_OBSERVATIONS):
         for month in raw.months:
             assert files.table_exists(spark, f"{lake.path(name)}/{stages.input_part(month)}")
-    assert files.table_exists(spark, lake.path(stages.GOLD_JOINED))
+    for e in stages.manifest(spark, lake):
+        assert files.table_exists(spark, f"{lake.path(stages.GOLD_JOINED)}/{e.joined}")
+        assert files.table_exists(spark, f"{lake.path(stages.GOLD_TARGETS)}/{e.targets}")
     assert not files.table_exists(spark, lake.path("none"))
     assert table.columns == targets.TARGET_COLUMNS and table.count() > 0
     assert {r[0] for r in table.select("month").distinct().collect()} == {"01"}
