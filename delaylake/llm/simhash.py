@@ -308,6 +308,10 @@ PREFIX = 8
 LEAST_PART = 1000
 #: Of 448 bits. Pairs with a similarity of 0.8 differ in 68 on average, with a deviation of 7.6.
 WIDE_BUDGET = 84
+#: Keys whose links come before those of the others.
+FIRST_KEYS = 4
+#: Shingles are ordered by how often these bits of their hash occur: at most 2^18 counts.
+ORDER_BITS = 18
 #: Least similarity of two sets of shingles, as a fraction.
 SIMILAR = (4, 5)
 
@@ -353,31 +357,20 @@ def _sizes_fit(sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return SIMILAR[1] * np.minimum(sizes[i], sizes[j]) >= SIMILAR[0] * np.maximum(sizes[i], sizes[j])
 
 
-def _wide_pairs(
-    group: int, ids: np.ndarray, fps: np.ndarray, budget: int, side: np.ndarray | None, sizes: np.ndarray, named: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All links in one group between different values of ``named``, in portions."""
-    key = _wide_key(fps, group >> PREFIX)
-    order = np.argsort(key, kind="stable")
-    key, ids, fps, sizes, named = key[order], ids[order], fps[order], sizes[order], named[order]
-    side = None if side is None else side[order]
-    for i, j in _candidates(key):
-        ok = (named[i] != named[j]) & _sizes_fit(sizes, i, j)
-        if side is not None:
-            ok &= side[i] != side[j]
-        i, j = i[ok], j[ok]
-        near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= budget
-        yield ids[i[near]], ids[j[near]]
-
-
 def _wide_edges(
-    group: int, ids: np.ndarray, fps: np.ndarray, budget: int, side: np.ndarray | None = None, sizes: np.ndarray | None = None
+    group: int,
+    ids: np.ndarray,
+    fps: np.ndarray,
+    budget: int,
+    side: np.ndarray | None = None,
+    sizes: np.ndarray | None = None,
+    named: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links in one group: fingerprints with an equal prefix of one key.
 
     With ``side``, only links between its two values count; with ``sizes``, only
-    those whose sets can be similar enough. A pair is passed over only when
-    links found before join it already.
+    those whose sets can be similar enough; with ``named``, equal names count as
+    joined. A pair is passed over only when links found before join it already.
     """
     key = _wide_key(fps, group >> PREFIX)
     order = np.argsort(key, kind="stable")
@@ -385,6 +378,10 @@ def _wide_edges(
     side = None if side is None else side[order]
     sizes = np.ones(len(ids), np.int64) if sizes is None else sizes[order]
     label = np.arange(len(ids))
+    if named is not None:
+        _, first, back = np.unique(named[order], return_index=True, return_inverse=True)
+        label = first[back]
+    start = label
 
     def join(i: np.ndarray, j: np.ndarray) -> None:
         nonlocal label
@@ -415,7 +412,8 @@ def _wide_edges(
 
     for i, j in _candidates(key):
         join(i, j)
-    member = np.flatnonzero(label != np.arange(len(ids)))
+    # One edge for every name that was joined to another one.
+    member = np.flatnonzero((label != start) & (start == np.arange(len(ids))))
     return ids[label[member]], ids[member]
 
 
@@ -430,39 +428,38 @@ def _wide_key(fps: np.ndarray, number: int) -> np.ndarray:
     return (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _groups(raw: pa.Array) -> tuple[np.ndarray, Iterator[np.ndarray]]:
-    """The fingerprints of a column and, key by key, the group of each."""
+def _groups(raw: pa.Array, keys: range) -> Iterator[np.ndarray]:
+    """Key by key, the group of each fingerprint of a column."""
     fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(-1, WIDE)
-    return fps, ((n << PREFIX) + (_wide_key(fps, n) >> np.uint32(KEY - PREFIX)).astype(np.int64) for n in range(4 * WIDE))
+    return ((n << PREFIX) + (_wide_key(fps, n) >> np.uint32(KEY - PREFIX)).astype(np.int64) for n in keys)
 
 
-def _hot_groups(distinct: DataFrame) -> dict[int, int]:
+def _hot_groups(distinct: DataFrame, keys: range) -> dict[int, int]:
     """The parts of each group that is much larger than the mean, at most one entry a group."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(4 * WIDE << PREFIX, np.int64)
         for batch in batches:
-            for group in _groups(batch.column(0))[1]:
+            for group in _groups(batch.column(0), keys):
                 total += np.bincount(group, minlength=len(total))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["group", "n"])
 
     sizes = distinct.select("fp").mapInArrow(counted, "group long, n long").groupBy("group").agg(F.sum("n").alias("n"))
     most = {r["group"]: r["n"] for r in sizes.collect()}
-    part = max(LEAST_PART, 2 * sum(most.values()) // (4 * WIDE << PREFIX))
+    part = max(LEAST_PART, 2 * sum(most.values()) // (len(keys) << PREFIX))
     return {g: -(-n // part) for g, n in most.items() if n > part}
 
 
-def _wide_links(distinct: DataFrame, budget: int, every: bool = False) -> DataFrame:
-    """(a, b): links of distinct wide fingerprints (fp, first, size, named).
+def _wide_links(distinct: DataFrame, budget: int, keys: range = range(4 * WIDE)) -> DataFrame:
+    """(a, b): links of distinct wide fingerprints (fp, first, size, named) in the groups of some keys.
 
-    With ``every``, all links between different values of ``named``; else enough
-    to span the same classes as all links.
+    They span, together with equal names, the same classes as all links of these groups.
 
     A hot group is dealt as pairs of its parts, so that every two members meet
     in some task and none has the whole group.
     """
-    hot = _hot_groups(distinct)
+    hot = _hot_groups(distinct, keys)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = np.ones(4 * WIDE << PREFIX, np.int64)
@@ -471,7 +468,7 @@ def _wide_links(distinct: DataFrame, budget: int, every: bool = False) -> DataFr
         for batch in batches:
             raw, first = batch.column(0), batch.column(1).to_numpy()
             size, named = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            for group in _groups(raw)[1]:
+            for group in _groups(raw, keys):
                 times = parts[group]
                 row = np.repeat(np.arange(len(group)), times)
                 own = (tx.mix(first.view(np.uint64)) % times.astype(np.uint64)).astype(np.int64)[row]
@@ -498,10 +495,9 @@ def _wide_links(distinct: DataFrame, budget: int, every: bool = False) -> DataFr
             side, ids, fps, sizes, named = zip(*held, strict=True)
             one = (now >> 20 & 0xFFFFF) == (now & 0xFFFFF)
             whole = np.frombuffer(b"".join(fps), np.uint64).reshape(-1, WIDE)
-            given = (now >> 40, np.array(ids), whole, budget, None if one else np.array(side), np.array(sizes))
-            for a, b in _wide_pairs(*given, np.array(named)) if every else [_wide_edges(*given)]:
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a, b = _wide_edges(now >> 40, np.array(ids), whole, budget, None if one else np.array(side), np.array(sizes), np.array(named))
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
             for cell, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -527,13 +523,6 @@ def _compared(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
 
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in tx.slices(batch.column(1)):
-                h, count = shingle_sets(data, offsets, shingle)
-                raw = [x.tobytes() for x in np.split(h, np.cumsum(count)[:-1])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(raw, pa.binary())], names=["id", "shingles"])
-
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = np.zeros(batch.num_rows, bool)
@@ -543,36 +532,121 @@ def _compared(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
                 ok[row] = SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok)], names=["a", "b", "ok"])
 
-    sets = stored(texts.join(ends, "id", "left_semi").select("id", "text").mapInArrow(gathered, "id long, shingles binary"))
+    sets = stored(_shingle_sets(texts.join(ends, "id", "left_semi").select("id", "text"), shingle))
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     asked = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return stored(asked.mapInArrow(similar, "a long, b long, ok boolean"))
 
 
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur, by ORDER_BITS bits of their hash."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for raw in batch.column(0):
+                h = np.frombuffer(raw.as_buffer(), np.uint64)
+                total += np.bincount((h >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["part", "n"])
+
+    sums = sets.select("shingles").mapInArrow(counted, "part long, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    rarity = np.zeros(1 << ORDER_BITS, np.int64)
+    for part, n in sums.collect():  # at most one row per value of ORDER_BITS bits
+        rarity[part] = n
+    return rarity
+
+
+def _prefix_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b) with different names, among them all pairs of sets that are similar enough.
+
+    Shingles are put in one order for all sets, about the rarest first. Of two
+    similar sets the smaller one has a common shingle among its first 1/9, the
+    larger one among its first 1/5, and behind the first common one enough are
+    left for the overlap. What all members of a template share comes late, so
+    members that are not similar seldom meet.
+    """
+    rarity = _rarity(sets)
+    num, den = SIMILAR
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                h = np.frombuffer(batch.column(2)[row].as_buffer(), np.uint64)
+                n = len(h)
+                order = np.lexsort((h, rarity[(h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]))
+                probe = n - -(-num * n // den) + 1
+                index = n - -(-2 * num * n // (num + den)) + 1
+                first = h[order[: min(probe, n)]].view(np.int64)
+                place = np.arange(len(first))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(first),
+                        pa.array(np.full(len(first), batch.column(0)[row].as_py())),
+                        pa.array(np.full(len(first), batch.column(1)[row].as_py())),
+                        pa.array(np.full(len(first), n)),
+                        pa.array(place),
+                        pa.array(place < index),
+                    ],
+                    names=["h", "id", "named", "size", "place", "early"],
+                )
+
+    heads = stored(sets.select("id", "named", "shingles").mapInArrow(cut, "h long, id long, named long, size long, place long, early boolean"))
+    shared = heads.groupBy("h").agg(F.min("named").alias("low"), F.max("named").alias("high")).where("low <> high").select("h")
+    heads = stored(heads.join(shared, "h", "left_semi"))
+    x, y = heads.where("early").alias("x"), heads.alias("y")
+    meets = (
+        "x.h = y.h and x.named <> y.named and x.size <= y.size and (x.size < y.size or x.id < y.id) "
+        f"and {den} * x.size >= {num} * y.size "
+        f"and {num + den} * least(x.size - x.place, y.size - y.place) >= {num} * (x.size + y.size)"
+    )
+    pairs = x.join(y, F.expr(meets)).selectExpr("x.id as a", "y.id as b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles): the sorted 64-bit hashes of each text's set of shingles, with what else ``texts`` has."""
+    extra = [c for c in texts.columns if c not in ("id", "text")]
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in tx.slices(batch.column(1)):
+                h, count = shingle_sets(data, offsets, shingle)
+                raw = [x.tobytes() for x in np.split(h, np.cumsum(count)[:-1])]
+                rest = [batch.column(i).slice(a, b - a) for i in range(2, batch.num_columns)]
+                columns = [batch.column(0).slice(a, b - a), pa.array(raw, pa.binary()), *rest]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "shingles", *extra])
+
+    kinds = "".join(f", {c} long" for c in extra)
+    return texts.select("id", "text", *extra).mapInArrow(gathered, f"id long, shingles binary{kinds}")
+
+
 def _similar_roots(distinct: DataFrame, texts: DataFrame, shingle: int, budget: int) -> DataFrame:
     """(node, root) of the classes that links of similar sets form.
 
-    First come links that span the classes of near fingerprints. Where one of
-    them is not confirmed, all near pairs that confirmed links do not join yet
-    are compared as well.
+    Links of a few keys come first; those of the other keys only join classes
+    that the former left apart. Of the links of near fingerprints one per
+    document is confirmed. Where that does not join a whole class of near
+    fingerprints, all pairs of its sets that can be similar are compared too.
     """
-    first = _compared(_wide_links(distinct.withColumn("named", F.col("first")), budget), texts, shingle)
-    sure = first.where("ok").select("a", "b")
+    few = _wide_links(distinct.withColumn("named", F.col("first")), budget, range(FIRST_KEYS))
+    few = stored(few.distinct())
+    named = distinct.join(components(few).withColumnRenamed("node", "first"), "first", "left")
+    named = stored(named.select("fp", "first", "size", F.coalesce("root", "first").alias("named")))
+    links_ = stored(few.unionByName(_wide_links(named, budget, range(FIRST_KEYS, 4 * WIDE))).distinct())
+    near = stored(components(links_))
+    one = links_.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).groupBy("b").agg(F.min("a").alias("a"))
+    sure = _compared(one, texts, shingle).where("ok").select("a", "b")
     roots = stored(components(sure))
-    refused = first.where("not ok").select("a", "b")
-    if refused.isEmpty():
+    members = near.withColumnRenamed("root", "class").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = stored(members)
+    open_ = members.groupBy("class").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("class")
+    left = stored(members.join(open_, "class", "left_semi").select(F.col("node").alias("id"), F.col("root").alias("named")))
+    if left.isEmpty():
         return roots
-    near = stored(components(first.select("a", "b")))
-    open_ = refused.join(near, F.col("a") == F.col("node")).select("root").distinct()
-    large = near.join(open_, "root").groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    again = near.join(large, "root").select(F.col("node").alias("first"))
-    left = distinct.join(again, "first").join(roots.withColumnRenamed("node", "first"), "first", "left").select(
-        "fp", "first", "size", F.coalesce("root", "first").alias("named")
-    )
-    links_ = _wide_links(stored(left), budget, every=True)
-    links_ = links_.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = _compared(links_.join(refused, ["a", "b"], "left_anti"), texts, shingle)
+    sets = stored(_shingle_sets(texts.join(left, "id"), shingle))
+    second = _compared(_prefix_pairs(sets), texts, shingle)
     return components(sure.unionByName(second.where("ok").select("a", "b")))
 
 

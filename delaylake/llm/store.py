@@ -5,9 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from delaylake.sources.files import remove_folder
+
+#: Tables that stages have written, by application; None outside a stage.
+_LEFT: dict[str, list[str]] = {}
+_now: list[str] | None = None
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -33,4 +41,33 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = folder(spark)
     df.write.parquet(path)
+    if _now is not None:
+        _now.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stage(docs: DataFrame) -> Iterator[None]:
+    """A pipeline stage over ``docs``, the written result of the stage before.
+
+    That result no longer needs the tables that earlier stages have stored on
+    their way; they are deleted, unless ``docs`` still reads one of them. What
+    is stored in the stage is kept until the next one begins. Tables that are
+    stored outside of stages are never touched.
+    """
+    global _now
+    spark = docs.sparkSession
+    application = spark.sparkContext.applicationId
+    left = _LEFT.pop(application, [])
+    read = {part for name in docs.inputFiles() for part in name.split("/") if part.startswith("llm-")} if left else set()
+    if any(path.rsplit("/", 1)[1] in read for path in left):
+        _LEFT[application] = left
+    else:
+        for path in left:
+            remove_folder(spark, path)
+    outer, _now = _now, []
+    try:
+        yield
+    finally:
+        _LEFT.setdefault(application, []).extend(_now)
+        _now = outer

@@ -25,7 +25,7 @@ def test_query_matches_sql(spark, duck, name):
     assert check.differences(ours, check.arrow(duck.sql(catalogue.ORACLE_SQL[name]))) == []
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_each_operator_has_its_query(n):
     assert sum(name.startswith(f"op{n}_") for name in catalogue.QUERIES) == 1
 
