@@ -558,7 +558,7 @@ def _rarity(sets: DataFrame) -> np.ndarray:
     return rarity
 
 
-def _prefix_pairs(sets: DataFrame) -> DataFrame:
+def _prefix_pairs(sets: DataFrame, rarity: np.ndarray) -> DataFrame:
     """(a, b) with different names, among them all pairs of sets that are similar enough.
 
     Shingles are put in one order for all sets, about the rarest first. Of two
@@ -567,7 +567,6 @@ def _prefix_pairs(sets: DataFrame) -> DataFrame:
     left for the overlap. What all members of a template share comes late, so
     members that are not similar seldom meet.
     """
-    rarity = _rarity(sets)
     num, den = SIMILAR
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -628,7 +627,8 @@ def _similar_roots(distinct: DataFrame, texts: DataFrame, shingle: int, budget:
     Links of a few keys come first; those of the other keys only join classes
     that the former left apart. Of the links of near fingerprints one per
     document is confirmed. Where that does not join a whole class of near
-    fingerprints, all pairs of its sets that can be similar are compared too.
+    fingerprints, its members are compared with the one nearest to the middle,
+    and then all pairs of its sets that still have to be joined and can be similar.
     """
     few = _wide_links(distinct.withColumn("named", F.col("first")), budget, range(FIRST_KEYS))
     few = stored(few.distinct())
@@ -639,17 +639,47 @@ def _similar_roots(distinct: DataFrame, texts: DataFrame, shingle: int, budget:
     one = links_.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).groupBy("b").agg(F.min("a").alias("a"))
     sure = _compared(one, texts, shingle).where("ok").select("a", "b")
     roots = stored(components(sure))
-    members = near.withColumnRenamed("root", "class").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = stored(members)
-    open_ = members.groupBy("class").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("class")
-    left = stored(members.join(open_, "class", "left_semi").select(F.col("node").alias("id"), F.col("root").alias("named")))
+    left = _open_members(near, roots)
     if left.isEmpty():
         return roots
     sets = stored(_shingle_sets(texts.join(left, "id"), shingle))
-    second = _compared(_prefix_pairs(sets), texts, shingle)
+    rarity = _rarity(sets)
+    hubs = _hubs(sets, rarity)
+    pairs = left.join(hubs, "class").where("named <> hub_named").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    sure = stored(sure.unionByName(_compared(pairs, texts, shingle).where("ok").select("a", "b")))
+    roots = stored(components(sure))
+    left = _open_members(near, roots)
+    if left.isEmpty():
+        return roots
+    sets = sets.select("id", "shingles").join(left.select("id", "named"), "id")
+    second = _compared(_prefix_pairs(sets, rarity), texts, shingle)
     return components(sure.unionByName(second.where("ok").select("a", "b")))
 
 
+def _open_members(near: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, class, named) of the classes of near fingerprints whose members have different confirmed roots."""
+    members = near.withColumnRenamed("root", "class").join(roots, "node", "left")
+    members = stored(members.select(F.col("node").alias("id"), "class", F.coalesce("root", "node").alias("named")))
+    apart = members.groupBy("class").agg(F.min("named").alias("low"), F.max("named").alias("high")).where("low <> high")
+    return stored(members.join(apart.select("class"), "class", "left_semi"))
+
+
+def _hubs(sets: DataFrame, rarity: np.ndarray) -> DataFrame:
+    """(class, hub, hub_named): the member of each class whose shingles are the commonest, so near to most others."""
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = np.zeros(batch.num_rows)
+            for row in range(batch.num_rows):
+                h = np.frombuffer(batch.column(3)[row].as_buffer(), np.uint64)
+                score[row] = rarity[(h >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].sum() / max(1, len(h))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(score)], names=["id", "class", "named", "score"])
+
+    scores = sets.select("id", "class", "named", "shingles").mapInArrow(weighed, "id long, class long, named long, score double")
+    best = scores.groupBy("class").agg(F.max(F.struct("score", "id", "named")).alias("best"))
+    return best.select("class", F.col("best.id").alias("hub"), F.col("best.named").alias("hub_named"))
+
+
 def without_near_duplicates(docs: DataFrame, shingle: int = 5, budget: int = WIDE_BUDGET) -> DataFrame:
     """One row of ``docs`` for each class of near-duplicates.
 

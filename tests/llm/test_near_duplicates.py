@@ -32,7 +32,8 @@ def similar_pairs(texts):
 
 def prefix_pairs(spark, texts):
     frame = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "id long, text string, named long")
-    found = simhash._prefix_pairs(store.stored(simhash._shingle_sets(frame, 5))).collect()
+    sets = store.stored(simhash._shingle_sets(frame, 5))
+    found = simhash._prefix_pairs(sets, simhash._rarity(sets)).collect()
     return {(r["a"], r["b"]) for r in found}
 
 
