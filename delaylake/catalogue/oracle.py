@@ -900,3 +900,16 @@ oracle(
        sum(o_vis_seen)::bigint as o_vis_seen, y = 2014 as joined_last
        from targets where th = 60 group by ds, th, y, m""",
 )
+oracle(
+    "delay_quantile_sketches",
+    " union all ".join(
+        f"""select '{name}' as "column", count({c}) as n, true as p50_held, true as p90_held,
+            true as p95_held, true as p99_held from silver_trips"""
+        for name, c in (
+            ("ARR_DELAY_NEW", "arr"),
+            ("WEATHER_DELAY", "wd"),
+            ("NAS_DELAY", "nas"),
+            ("total_weather_delay", "total_wd"),
+        )
+    ),
+)

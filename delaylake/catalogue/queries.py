@@ -967,3 +967,14 @@ def gold_incremental(spark, sf):
         )
         .join(spark.createDataFrame(parts, "year int, month string, joined_last boolean"), ["year", "month"])
     )
+
+
+@query
+def delay_quantile_sketches(spark, sf):
+    """Monthly sketches, stored and merged: their count, and whether each quantile is within 0.01 of its rank."""
+    flown, path = silver_trips(spark, sf), files.shared_folder(spark)
+    files.write_table(quality.delay_sketches(flown), path)
+    found = quality.sketched_quantiles(files.read_table(spark, path))
+    errors = quality.rank_errors(flown, found).drop("n")
+    held = [(F.col(q) <= 0.01).alias(f"{q}_held") for q in quality.QUANTILES]
+    return found.select("column", "n").join(errors.select("column", *held), "column", "left")

@@ -143,3 +143,20 @@ def test_tau_reports(spark):
     ).selectExpr("ARR_NASW", "w > 0 as has_meteo", "w / 100 as ratio_adj")
     assert rows(ratios.tau_one_counts(df)) == [(4, 3, 1, 2)]
     assert dict(rows(ratios.tau_counts(df, [1.0, 0.8, 0.8, 0.9]))) == {0.8: 3, 0.9: 2, 1.0: 1}
+
+
+def test_sketches_of_months_merge(spark):
+    df = spark.range(50_000).selectExpr(
+        "2012 + id % 2 as year", "'01' as month", "cast(pmod(id * 7919, 50000) as double) as ARR_DELAY_NEW",
+        "cast(null as double) as WEATHER_DELAY", "cast(if(id % 3 = 0, null, 5) as double) as NAS_DELAY",
+    )
+    found = {r["column"]: r for r in quality.sketched_quantiles(quality.delay_sketches(df)).collect()}
+    spread, none, same = (found[c] for c in ("ARR_DELAY_NEW", "WEATHER_DELAY", "NAS_DELAY"))
+    assert spread["n"] == 50_000 and abs(spread["p50"] - 25_000) < 500 and abs(spread["p99"] - 49_500) < 500
+    assert none["n"] == 0 and none["p50"] is None and none["p99"] is None
+    assert same["n"] == df.where("NAS_DELAY is not null").count() and same["p50"] == same["p99"] == 5.0
+    errors = {r["column"]: r for r in quality.rank_errors(df, quality.sketched_quantiles(quality.delay_sketches(df))).collect()}
+    assert errors["NAS_DELAY"]["p90"] == 0.0 and errors["ARR_DELAY_NEW"]["p90"] < 0.01
+    wrong = spark.createDataFrame([("ARR_DELAY_NEW", 0.0, 0.0, 0.0, 0.0)], "column string, p50 double, p90 double, p95 double, p99 double")
+    assert abs(quality.rank_errors(df, wrong).first()["p50"] - 0.5) < 0.001
+    assert quality.sketched_quantiles(quality.delay_sketches(df.where("false"))).where("n > 0").count() == 0
