@@ -1,22 +1,27 @@
 """Quality rules: base counts, and robust multivariate outliers per language and source.
 
 Built-in functions only. Each text gives four transformed statistics. Per
-(lang, source) the minimum covariance determinant is searched as in its
-deterministic form: start from coordinatewise medians, then concentration steps,
-each of which takes the ``H`` share of texts nearest to the present centre and
-recomputes centre and scatter from them. The start of the step that had the
-smallest determinant could only be beaten by later steps, since these never
-raise it. Rows whose squared Mahalanobis distance exceeds ``CUTOFF`` go.
+(lang, source) the minimum covariance determinant is searched from several
+deterministic starts: coordinatewise medians and deviations, and the correlations
+of squashed values and of spatial signs. Each start is followed by concentration
+steps, which take the ``H`` share of texts nearest to the present centre and
+recompute centre and scatter from them, until nothing changes. Of all models met
+the one with the least determinant stays. Rows whose squared Mahalanobis distance
+exceeds ``CUTOFF`` go.
+
+A group with fewer than ``LEAST_ROWS`` texts that pass the base rule is judged by
+the model of all texts of its language; where the language has fewer, by the
+model of all rows. So every text that passes the base rule is judged.
 
 Groups never meet in one task: centres, scatters and the histograms that give
 the nearest share are additive aggregates with partial sums on the map side.
-Statistics are fixed-point numbers summed as decimals, so the outcome does not
+Statistics are fixed-point numbers summed exactly, so the outcome does not
 depend on the order of rows.
 
 Defined results: null text has no words and fails the base rule; null lang or
-source form groups of their own; groups with fewer than ``LEAST_ROWS`` texts
-that pass the base rule are not judged by the method; repeated rows are rows; an empty
-table gives no rows. Windows of three words are told apart by 64-bit hashes.
+source form groups of their own; rows that fail the base rule have no distance
+where none of their group passes; repeated rows are rows; an empty table gives
+no rows. Windows of three words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -35,18 +40,24 @@ MOST_REPEATED = 50
 
 STATS = ("x_length", "x_symbols", "x_lines", "x_repeats")
 SCALE = 1_000_000
-#: Least spread of each statistic. A group in which one is constant (no symbols at all) has a
-#: singular scatter; its square is added to the variance.
-FLOOR = {"x_length": 0.05, "x_symbols": 0.05, "x_lines": 0.12, "x_repeats": 0.12}
+#: Least spread of each statistic. A group in which one is constant (no symbols at all) has a singular
+#: scatter; the square is added to the variance. All are low enough for a text to go by one statistic alone:
+#: repeats reach 0.5 and lines log 2, which is more than sqrt(CUTOFF) = 4.85 of these.
+FLOOR = {"x_length": 0.06, "x_symbols": 0.06, "x_lines": 0.10, "x_repeats": 0.08}
 H = 0.75
-STEPS = 3
+#: Steps end when no model changes; the bound is for groups in which equal bins make two models alternate.
+MOST_STEPS = 25
 #: Chi-square with 4 degrees of freedom: the 0.75 quantile is 5.385, and the chance that one with 6
 #: stays below it is 0.505; their ratio makes the scatter of the nearest 3/4 consistent.
 CONSISTENT = 0.75 / 0.505
 #: The 0.9999 quantile of chi-square with 4 degrees of freedom.
 CUTOFF = 23.51
 LEAST_ROWS = 20
-BINS = 32
+#: Bins of the distance for each power of e.
+BINS = 256
+STARTS = ("medians", "squashed", "signs")
+#: Fixed-point unit of squashed values and signs, which are at most 1: their products sum up in a long.
+UNIT = 10_000
 
 
 def _sum(parts: list[Column]) -> Column:
@@ -132,14 +143,13 @@ def judged(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
         "base_failed",
         (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
     )
-    key = F.struct("g_lang", "g_source")
-    rows = stored(_statistics(base).withColumn("g", F.xxhash64(F.to_json(key))).drop("g_lang", "g_source"))
-    fit = rows.where("not base_failed").select("g", *STATS)
-    model = _start(fit)
-    for _ in range(STEPS):
-        model = _concentrated(fit, model)
-    far = _distance(rows, model)
-    outlier = F.coalesce(F.col("d2") > CUTOFF * CONSISTENT, F.lit(False))
+    keys = {"own": _key("source", "g_lang", "g_source"), "language": _key("lang", "g_lang")}
+    rows = stored(_statistics(base).withColumns(keys).drop("g_lang", "g_source"))
+    passed = rows.where("not base_failed")
+    groups = _groups(passed.groupBy("own", "language").count())
+    fit = stored(passed.select("own", *STATS).join(groups, "own").select(F.explode("fits").alias("g"), *STATS))
+    far = _distance(rows.join(groups.select("own", "g"), "own", "left"), _models(fit))
+    outlier = F.coalesce(F.col("d2") > CUTOFF, F.lit(False))
     return far.select(
         *keep,
         "n_words",
@@ -153,40 +163,123 @@ def judged(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     )
 
 
-def _start(fit: DataFrame) -> DataFrame:
-    """Coordinatewise medians and median deviations from value counts: bounded rows a group."""
+def _key(level: str, *columns: str) -> Column:
+    return F.xxhash64(F.to_json(F.struct(F.lit(level).alias("level"), *columns)))
+
+
+def _groups(sizes: DataFrame) -> DataFrame:
+    """own, g (the model that judges the group) and fits (the models that its texts help to fit).
+
+    From the number of fitting texts of each (own, language).
+    """
+    sizes = stored(sizes)
+    small = F.col("count") < LEAST_ROWS
+    languages = stored(
+        sizes.groupBy("language").agg(F.sum("count").alias("in_language"), F.max(small).alias("has_small"))
+    )
+    lonely = F.col("has_small") & (F.col("in_language") < LEAST_ROWS)
+    whole = not languages.where(lonely).isEmpty()
+    every = _key("all")
+    return stored(
+        sizes.join(languages, "language").select(
+            "own",
+            F.when(~small, F.col("own")).when(~lonely, F.col("language")).otherwise(every).alias("g"),
+            F.array_compact(
+                F.array(
+                    F.when(~small, F.col("own")),
+                    F.when(F.col("has_small") & ~lonely, F.col("language")),
+                    F.when(F.lit(whole), every),
+                )
+            ).alias("fits"),
+        )
+    )
+
+
+def _models(fit: DataFrame) -> DataFrame:
+    """The model of the least determinant for each g of ``fit`` (g and the statistics)."""
+    model = _starts(fit)
+    met: list[DataFrame] = []
+    for step in range(MOST_STEPS):
+        later = _concentrated(fit, model)
+        met.append(later.withColumn("step", F.lit(step)))
+        before = model.select("g", "start", F.col("state").alias("before"))
+        model = stored(later.join(before, ["g", "start"]).where("state <> before").drop("before"))
+        if model.isEmpty():
+            break
+    every = reduce(DataFrame.unionByName, met)
+    # The first of equal determinants, so rounding in the last digits of two starts decides nothing.
+    order = F.struct(F.round("logdet", 6), "start", "step")
+    parts = [c for c in every.columns if c not in ("g", "start", "step")]
+    best = every.groupBy("g").agg(F.min_by(F.struct(*parts), order).alias("best"))
+    return stored(best.select("g", "best.*"))
+
+
+def _starts(fit: DataFrame) -> DataFrame:
+    """The first models: g, start, centre and factor. Medians come from value counts, bounded rows a group."""
+    d = len(STATS)
     step = SCALE // 200
     long = fit.select(
         "g", F.inline(F.array(*(F.struct(F.lit(i).alias("axis"), F.round(F.col(c) / step).cast("long").alias("v")) for i, c in enumerate(STATS))))
     )
-    counts = long.groupBy("g", "axis", "v").count()
+    counts = stored(long.groupBy("g", "axis", "v").count())
     middle = _middle(counts)
     spread = _middle(
-        counts.join(middle.withColumnRenamed("m", "centre"), ["g", "axis"])
-        .groupBy("g", "axis", F.abs(F.col("v") - F.col("centre")).alias("v"))
-        .agg(F.sum("count").alias("count"))
+        stored(
+            counts.join(middle.withColumnRenamed("m", "centre"), ["g", "axis"])
+            .groupBy("g", "axis", F.abs(F.col("v") - F.col("centre")).alias("v"))
+            .agg(F.sum("count").alias("count"))
+        )
     ).withColumnRenamed("m", "s")
-    both = middle.join(spread, ["g", "axis"])
-    sizes = fit.groupBy("g").count().where(F.col("count") >= LEAST_ROWS)
-    wide = both.groupBy("g").agg(
-        *(F.max(F.when(F.col("axis") == i, F.col("m") * step / SCALE)).alias(f"m{i}") for i in range(len(STATS))),
-        *(
-            F.max(F.when(F.col("axis") == i, F.pow(1.4826 * F.col("s") * step / SCALE, 2) + FLOOR[c] ** 2)).alias(f"s{i}{i}")
-            for i, c in enumerate(STATS)
-        ),
+    wide = stored(
+        middle.join(spread, ["g", "axis"])
+        .groupBy("g")
+        .agg(
+            *(F.max(F.when(F.col("axis") == i, F.col("m") * step / SCALE)).alias(f"m{i}") for i in range(d)),
+            *(
+                F.max(F.when(F.col("axis") == i, F.sqrt(F.pow(1.4826 * F.col("s") * step / SCALE, 2) + FLOOR[c] ** 2))).alias(f"d{i}")
+                for i, c in enumerate(STATS)
+            ),
+        )
     )
-    zero = {f"s{i}{j}": F.lit(0.0) for i in range(len(STATS)) for j in range(i)}
-    return _factored(wide.join(sizes.select("g", F.col("count").alias("n")), "g").withColumns(zero))
+    z = fit.join(wide, "g").select("g", *((F.col(c) / SCALE - F.col(f"m{i}")).alias(f"e{i}") for i, c in enumerate(STATS)), *(f"d{i}" for i in range(d)))
+    z = z.select("g", *((F.col(f"e{i}") / F.col(f"d{i}")).alias(f"z{i}") for i in range(d)))
+    z = z.withColumn("size", F.greatest(F.sqrt(_sum([F.col(f"z{i}") * F.col(f"z{i}") for i in range(d)])), F.lit(1e-6)))
+    unit = {f"t{i}": F.round(F.tanh(f"z{i}") * UNIT).cast("long") for i in range(d)}
+    unit |= {f"u{i}": F.round(F.col(f"z{i}") / F.col("size") * UNIT).cast("long") for i in range(d)}
+    moments = z.withColumns(unit).groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.sum(f"{k}{i}").alias(f"{k}{i}") for k in "tu" for i in range(d)),
+        *(F.sum(F.col(f"{k}{i}") * F.col(f"{k}{j}")).alias(f"{k}{i}{j}") for k in "tu" for i in range(d) for j in range(i + 1)),
+    )
+    both = stored(moments).join(wide, "g")
+
+    def covariance(k: str, i: int, j: int) -> Column:
+        n = F.col("n")
+        return F.col(f"{k}{i}{j}") / n - F.col(f"{k}{i}") / n * (F.col(f"{k}{j}") / n)
+
+    def correlation(k: str, i: int, j: int) -> Column:
+        # A squared unit more in each variance: a constant has correlation 0, and rounding gives none above 1.
+        return covariance(k, i, j) / F.sqrt((covariance(k, i, i) + 1) * (covariance(k, j, j) + 1))
+
+    def scatter(name: str, k: str) -> Column:
+        cells = []
+        for i in range(d):
+            for j in range(i + 1):
+                r = F.lit(1.0) if i == j else correlation(k, i, j) if k else F.lit(0.0)
+                cells.append((r * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"s{i}{j}"))
+        return F.struct(F.lit(name).alias("start"), *cells)
+
+    starts = F.array(*(scatter(name, k) for name, k in zip(STARTS, ("", "t", "u"), strict=True)))
+    return _factored(both.select("g", "n", *(f"m{i}" for i in range(d)), F.inline(starts)))
 
 
 def _middle(counts: DataFrame) -> DataFrame:
-    """The lower median of each (g, axis) from (v, count).
+    """The lower median of each (g, axis) from a written table (g, axis, v, count).
 
-    The counts are written first: otherwise one exchange by group would serve
+    It is written first: otherwise one exchange by group would serve
     counting and cumulating, and bring a large group's counts of every map task
     to one place.
     """
-    counts = stored(counts)
     by = Window.partitionBy("g", "axis")
     return (
         counts.withColumn("up_to", F.sum("count").over(by.orderBy("v")))
@@ -198,7 +291,7 @@ def _middle(counts: DataFrame) -> DataFrame:
 
 
 def _factored(model: DataFrame) -> DataFrame:
-    """g, n, centre and lower Cholesky factor, as a small written table."""
+    """g, start, n, centre, lower Cholesky factor, log of the determinant and a hash of the state: a small written table."""
     d = len(STATS)
     for j in range(d):
         model = model.withColumn(
@@ -207,37 +300,39 @@ def _factored(model: DataFrame) -> DataFrame:
         for i in range(j + 1, d):
             inner = _sum([F.lit(0.0), *(F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j))])
             model = model.withColumn(f"l{i}{j}", (F.col(f"s{i}{j}") - inner) / F.col(f"l{j}{j}"))
-    factor = [f"l{i}{j}" for i in range(d) for j in range(i + 1)]
-    return stored(model.select("g", "n", *(f"m{i}" for i in range(d)), *factor))
+    values = [*(f"m{i}" for i in range(d)), *(f"l{i}{j}" for i in range(d) for j in range(i + 1))]
+    logdet = 2 * _sum([F.log(f"l{i}{i}") for i in range(d)])
+    return stored(model.select("g", "start", "n", *values, logdet.alias("logdet"), F.xxhash64(*values).alias("state")))
 
 
-def _distance(rows: DataFrame, model: DataFrame) -> DataFrame:
+def _distance(rows: DataFrame, model: DataFrame, how: str = "left") -> DataFrame:
     """The rows with d2, the squared Mahalanobis distance; null without a model."""
-    out = rows.join(model, "g", "left")
+    out = rows.join(model, "g", how)
     for i, c in enumerate(STATS):
         inner = _sum([F.lit(0.0), *(F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i))])
         out = out.withColumn(f"y{i}", (F.col(c) / SCALE - F.col(f"m{i}") - inner) / F.col(f"l{i}{i}"))
     d2 = _sum([F.col(f"y{i}") * F.col(f"y{i}") for i in range(len(STATS))])
-    return out.select(*rows.columns, "n", F.round(d2, 6).alias("d2"))
+    also = [c for c in ("start", "n") if c in model.columns]
+    return out.select(*rows.columns, *also, F.round(d2, 6).alias("d2"))
 
 
 def _concentrated(fit: DataFrame, model: DataFrame) -> DataFrame:
-    """Centre and scatter of the nearest H share of each group.
+    """Centre and scatter of the nearest H share of each group, for each start.
 
     The share ends with the first bin of the logarithmic distance that reaches it.
     """
     d = len(STATS)
-    far = _distance(fit, model).where("d2 is not null").withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS))
-    bins = stored(far.groupBy("g", "n", "bin").count())
+    far = _distance(fit, model, "inner").withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * BINS))
+    bins = stored(far.groupBy("g", "start", "n", "bin").count())
     limit = (
-        bins.withColumn("up_to", F.sum("count").over(Window.partitionBy("g").orderBy("bin")))
+        bins.withColumn("up_to", F.sum("count").over(Window.partitionBy("g", "start").orderBy("bin")))
         .where(F.col("up_to") >= F.ceil(F.col("n") * H))
-        .groupBy("g")
+        .groupBy("g", "start")
         .agg(F.min("bin").alias("limit"))
     )
-    near = far.join(stored(limit), "g").where("bin <= limit")
+    near = far.join(stored(limit), ["g", "start"]).where("bin <= limit")
     whole = [F.col(c).cast("decimal(18,0)") for c in STATS]
-    sums = near.groupBy("g").agg(
+    sums = near.groupBy("g", "start").agg(
         F.first("n").alias("n"),
         F.count(F.lit(1)).alias("h"),
         *(F.sum(x).alias(f"a{i}") for i, x in enumerate(whole)),
@@ -249,6 +344,7 @@ def _concentrated(fit: DataFrame, model: DataFrame) -> DataFrame:
             F.col(f"b{i}{j}").cast("double") / F.col("h") / SCALE**2
             - F.col(f"a{i}").cast("double") / F.col("h") / SCALE * (F.col(f"a{j}").cast("double") / F.col("h") / SCALE)
         )
+        * CONSISTENT
         + F.lit(FLOOR[STATS[i]] ** 2 if i == j else 0.0)
         for i in range(d)
         for j in range(i + 1)

@@ -1,6 +1,7 @@
 """Operators on documents against plain Python, on odd rows."""
 
 import hashlib
+import itertools
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from llm_world import SF, docs, document_list, lowered, no_docs, words  # noqa: F401
 
 import corpus_pipeline
@@ -173,11 +175,14 @@ def test_outliers_of_a_group_go(spark):
         return " ".join(w + "$$$" if junk else w for w in own)
 
     rows = [(i, text(i % 5 == 0), "en", "s") for i in range(200)]
-    rows += [(1000 + i, text(True), "xx", "small") for i in range(3)]
+    rows += [(1000 + i, text(i == 0), "en", "small") for i in range(16)]
+    rows += [(2000 + i, text(i == 0), "xx", "alone") for i in range(3)]
     found = quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
     kept = {r["doc_id"]: r["kept"] for r in found.collect()}
     assert all(kept[i] == (i % 5 != 0) for i in range(200))
-    assert all(kept[1000 + i] for i in range(3))  # too few to judge
+    # Too few for a model of their own: judged by their language, or by all rows.
+    assert all(kept[1000 + i] == (i != 0) for i in range(16))
+    assert all(kept[2000 + i] == (i != 0) for i in range(3))
     again = {r["doc_id"]: r["distance"] for r in found.collect()}
     other = quality.judged(
         spark.createDataFrame(rows[::-1], "doc_id long, text string, lang string, source string").repartition(7)
@@ -185,11 +190,60 @@ def test_outliers_of_a_group_go(spark):
     assert again == {r["doc_id"]: r["distance"] for r in other.collect()}
 
 
+def plain_determinant(x):
+    """The least determinant over all subsets of the nearest share, by trying all of them: (log, centre, scatter)."""
+    floor = np.diag([quality.FLOOR[c] ** 2 for c in quality.STATS])
+    best = None
+    for subset in itertools.combinations(range(len(x)), -(-3 * len(x) // 4)):
+        part = x[list(subset)]
+        scatter = quality.CONSISTENT * np.cov(part.T, bias=True) + floor
+        size = np.linalg.slogdet(scatter)[1]
+        if best is None or size < best[0]:
+            best = size, part.mean(axis=0), scatter
+    return best
+
+
+def test_least_determinant_equals_trying_all_subsets(spark):
+    """Groups of 20: correlated with outliers that share a direction, mostly constant, and one far cluster."""
+    rng = np.random.default_rng(11)
+    groups = []
+    for g in range(4):
+        x = rng.normal(size=(20, 4)) @ np.array([[0.4, 0.1, 0, 0], [0.3, 0.2, 0, 0.1], [0, 0, 0.3, 0.2], [0, 0, 0, 0.2]])
+        if g % 2:
+            x[:, 1:3] = 0
+        x[:4] += [[0, 2, 0, 0], [1.5, 0, 1, 0], [1, 1, 1, 1], [0.3, 0.9, 0.5, 0.2]][g]
+        groups.append(np.round(x * quality.SCALE) / quality.SCALE)
+    rows = [(g, *(int(round(v * quality.SCALE)) for v in r)) for g, x in enumerate(groups) for r in x]
+    fit = spark.createDataFrame(rows, "g long, " + ", ".join(f"{c} long" for c in quality.STATS)).repartition(3)
+    models = quality._models(fit)
+    got = {r["g"]: r["logdet"] for r in models.collect()}
+    d2 = Counter()
+    for r in quality._distance(fit, models).collect():
+        d2[r["g"], tuple(r[c] for c in quality.STATS)] = r["d2"]
+    for g, x in enumerate(groups):
+        size, centre, scatter = plain_determinant(x)
+        assert got[g] == pytest.approx(size, abs=1e-6)
+        want = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
+        for row, value in zip(rows[20 * g : 20 * g + 20], want):
+            assert d2[row[0], row[1:]] == pytest.approx(value, rel=1e-4, abs=1e-4)
+
+
+@pytest.mark.parametrize("statistic", range(4))
+def test_one_statistic_alone_can_reject(spark, statistic):
+    most = {"x_length": 1.0, "x_symbols": 0.69, "x_lines": 0.69, "x_repeats": 0.49}
+    rows = [(1, 1_600_000 + 1000 * (i % 40), 0, 0, 0) for i in range(60)]
+    far = list(rows[0])
+    far[1 + statistic] += int(list(most.values())[statistic] * quality.SCALE)
+    fit = spark.createDataFrame([*rows, tuple(far)], "g long, " + ", ".join(f"{c} long" for c in quality.STATS))
+    out = quality._distance(fit, quality._models(fit)).where(F.col("d2") > quality.CUTOFF).collect()
+    assert [tuple(r)[:5] for r in out] == [tuple(far)]
+
+
 def test_factor_is_the_cholesky_factor(spark):
     a = np.random.default_rng(2).normal(size=(9, 4))
     s = a.T @ a
     row = {f"m{i}": 0.0 for i in range(4)} | {f"s{i}{j}": float(s[i, j]) for i in range(4) for j in range(i + 1)}
-    got = quality._factored(spark.createDataFrame([{"g": 1, "n": 9} | row])).first()
+    got = quality._factored(spark.createDataFrame([{"g": 1, "start": "s", "n": 9} | row])).first()
     want = np.linalg.cholesky(s)
     assert all(got[f"l{i}{j}"] == pytest.approx(want[i, j]) for i in range(4) for j in range(i + 1))
 
