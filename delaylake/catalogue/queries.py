@@ -863,7 +863,7 @@ def ml_rf(spark, sf):
     train, test, names = features.prepare_dataset(
         stored_targets(spark, sf), "D2", REPORT_TH, origin_hours=3, dest_hours=3
     )
-    model, scores = models.fit_and_score(train, test, names, SMALL_FOREST)
+    model, scores = models.fit_and_score(train, test, names, models.ForestSettings())
     weights = models.feature_importances(spark, model).agg(
         F.count(F.lit(1)).alias("features"), rounded(F.sum("importance")).alias("importance")
     )
