@@ -8,12 +8,17 @@ A trip then needs one equi-join per end, on (airport, day), and a slice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from delaylake.functions import clock
 from delaylake.functions.paths import column_or_null
 from delaylake.operators.trips import unique_trips
+from delaylake.session import broadcast_limit
 
 LOOKBACK_HOURS = 12
 POINTS = LOOKBACK_HOURS + 1
@@ -74,12 +79,13 @@ def complete_trips(trips: DataFrame) -> DataFrame:
     return trips.filter(F.col("dep_ts_utc").isNotNull() & F.col("arr_ts_utc").isNotNull())
 
 
-def trip_bounds(trips: DataFrame) -> DataFrame:
-    """One row: 12 hours before the first departure, 12 after the last arrival."""
+def trip_bounds(trips: DataFrame, *also: Column) -> DataFrame:
+    """One row: 12 hours before the first departure, 12 after the last arrival, and further aggregates."""
     half_day = F.expr(f"interval {LOOKBACK_HOURS} hours")
     return complete_trips(trips).agg(
         (F.min("dep_ts_utc") - half_day).alias("min_ts"),
         (F.max("arr_ts_utc") + half_day).alias("max_ts"),
+        *also,
     )
 
 
@@ -90,10 +96,15 @@ def within_trip_times(observations: DataFrame, trips: DataFrame) -> DataFrame:
     reach the file reader and, where the table is split by ``year``, skip whole
     partitions. Without any trip nothing is cut.
     """
-    low, high = trip_bounds(trips).select(
-        F.date_format("min_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-        F.date_format("max_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-    ).first()
+    return between_times(observations, *_bound_text(trip_bounds(trips)).first())
+
+
+def _bound_text(bounds: DataFrame) -> DataFrame:
+    text = (F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("min_ts", "max_ts"))
+    return bounds.withColumns(dict(zip(("min_ts", "max_ts"), text)))
+
+
+def between_times(observations: DataFrame, low: str | None, high: str | None) -> DataFrame:
     if low is None or high is None:
         return observations
     kept = observations.filter(
@@ -175,12 +186,15 @@ TRIP_ENDS = {
 }
 
 
-def attach_timeline(trips: DataFrame, strips: DataFrame, prefix: str) -> DataFrame:
+def attach_timeline(
+    trips: DataFrame, strips: DataFrame, prefix: str, cell: Sequence[str] = ()
+) -> DataFrame:
     """Add the 13 points up to the hour of departure (``o``) or arrival (``d``).
 
     Newest first. An hour without observation is a point with only its time. A
     plain left join: the strips have one row per key, and adaptive execution
-    splits the trips of a key that outgrows the others.
+    splits the trips of a key that outgrows the others. ``cell`` names columns
+    of both sides that belong to the key as well.
     """
     airport, ts = TRIP_ENDS[prefix]
     columns = trips.columns
@@ -190,7 +204,7 @@ def attach_timeline(trips: DataFrame, strips: DataFrame, prefix: str) -> DataFra
         f"{day_number(ts)} as day",
         f"{hour_number(ts)} as _hour",
     )
-    found = keyed.join(strips, ["airport_id", "day"], "left")
+    found = keyed.join(strips, [*cell, "airport_id", "day"], "left")
     cut = f"reverse(slice(strip, cast(pmod(_hour, {DAY_HOURS}) + 1 as int), {POINTS}))"
     empty = f"transform(sequence(0, {LOOKBACK_HOURS}), back -> {empty_point('_hour - back')})"
     named = f"array<{point_type(prefix + '_')}>"
@@ -199,6 +213,79 @@ def attach_timeline(trips: DataFrame, strips: DataFrame, prefix: str) -> DataFra
     )
 
 
+#: Bytes of a strip at most, as Spark holds it: 36 points of 13 fields, texts of up to two words.
+STRIP_BYTES = STRIP_POINTS * 192
+#: Trips that share one cell of :func:`attach_both`.
+CELL_TRIPS = 200_000
+CELL = ["_day", "_part"]
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Into how many parts a departure day is cut: ``usual``, but for the days in ``crowded``."""
+
+    usual: int = 1
+    crowded: dict[int, int] = field(default_factory=dict)
+
+    def columns(self) -> dict[str, Column]:
+        parts = F.lit(self.usual)
+        if self.crowded:
+            known = F.create_map(*(F.lit(x) for pair in sorted(self.crowded.items()) for x in pair))
+            parts = F.coalesce(F.try_element_at(known, F.expr(day_number("dep_ts_utc"))), parts)
+        return {
+            "_day": F.expr(day_number("dep_ts_utc")),
+            "_part": F.pmod(F.xxhash64("trip_key"), parts),
+        }
+
+
+def trip_cells(trips: DataFrame, cell_trips: int = CELL_TRIPS) -> Cells:
+    """Parts per departure day, so that no cell is expected to exceed ``cell_trips``.
+
+    A narrow count per day. Days above four times the mean get a number of
+    their own; they are at most a quarter of the days and are what is fetched.
+    """
+    days = complete_trips(trips).groupBy(F.expr(day_number("dep_ts_utc")).alias("day")).count()
+    mean = days.agg(F.avg("count")).first()[0]
+    if mean is None:
+        return Cells()
+    crowded = days.filter(F.col("count") > 4 * mean).collect()
+    return Cells(
+        math.ceil(4 * mean / cell_trips), {r["day"]: math.ceil(r["count"] / cell_trips) for r in crowded}
+    )
+
+
+def attach_both(trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Cells) -> DataFrame:
+    """Both timelines without moving a trip that carries one.
+
+    Trips are dealt once, as narrow rows, by cell: departure day and a part of
+    it by the hash of their key. Each cell is sent the strips its trips ask for
+    at either end, whatever the day of arrival, so both joins find their sides
+    dealt alike. ``asked`` has the keys, airports and times of all ``trips`` and
+    maybe of more; it is read narrowly. A strip is sent once to each cell that
+    asks for it.
+    """
+    placed = trips.withColumns(cells.columns()).repartition(*CELL)
+    for prefix, (airport, ts) in TRIP_ENDS.items():
+        wanted = (
+            complete_trips(asked)
+            .withColumns(cells.columns())
+            .selectExpr(*CELL, f"{airport} as airport_id", f"{day_number(ts)} as day")
+            .distinct()
+        )
+        sent = wanted.join(strips, ["airport_id", "day"]).repartition(*CELL)
+        placed = attach_timeline(placed, sent, prefix, CELL)
+    return placed.drop(*CELL)
+
+
+def trip_profile(trips: DataFrame) -> Row:
+    """Time bounds as text, and how many bytes the strips of the trips' airports take at most."""
+    airports = F.approx_count_distinct("origin_airport_id") + F.approx_count_distinct("dest_airport_id")
+    days = F.timestamp_diff("DAY", F.col("min_ts"), F.col("max_ts")) + 2
+    bounds = trip_bounds(trips, airports.alias("airports"))
+    sized = bounds.withColumn("strip_bytes", F.col("airports") * days * STRIP_BYTES)
+    return _bound_text(sized).select("min_ts", "max_ts", "strip_bytes").first()
+
+
 JT_TRIP_COLUMNS = [
     "origin_airport_id",
     "dest_airport_id",
@@ -231,6 +318,10 @@ def join_weather(
     them once. ``deduplicate=False`` saves a shuffle
     when ``trip_key`` is known to be unique.
 
+    Where the strips may exceed what Spark broadcasts, trips and strips are
+    dealt by cells (:func:`attach_both`): a second plain join would move every
+    trip with its first timeline.
+
     ``all_trips`` is the stored table ``trips`` was selected from, if any. The
     time bounds then come from a narrow scan of that table; they may cover more
     than ``trips`` without changing the result.
@@ -238,8 +329,11 @@ def join_weather(
     profiled = trips if all_trips is None else all_trips
     needed = complete_trips(trips).select(*JT_TRIP_COLUMNS)
     base = unique_trips(needed) if deduplicate else needed
-    hourly = hourly_observations(within_trip_times(observations, profiled), tolerance_min)
-    strips = weather_strips(hourly)
+    profile = trip_profile(profiled)
+    near = between_times(observations, profile["min_ts"], profile["max_ts"])
+    strips = weather_strips(hourly_observations(near, tolerance_min))
+    if (profile["strip_bytes"] or 0) > broadcast_limit(trips.sparkSession):
+        return attach_both(base, strips, trips, trip_cells(profiled))
     return attach_timeline(attach_timeline(base, strips, "o"), strips, "d")
 
 

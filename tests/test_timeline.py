@@ -1,12 +1,14 @@
 """Hourly readings and timelines, against brute force over plain Python rows."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from delaylake import session
 from delaylake.operators import timeline
 
 OBS = (
@@ -159,3 +161,95 @@ def test_observation_point_fills_missing_columns(spark):
     point = df.select(timeline.observation_point(df, "o").alias("p")).first()["p"].asDict()
     assert point["o_ts"] == T0 and point["o_vis"] == 3.0 and point["o_sky"] is None
     assert len(point) == 13
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def by_key(df):
+    return {r["trip_key"]: (r["Wo"], r["Wd"]) for r in df.select("trip_key", "Wo", "Wd").collect()}
+
+
+def far_world(world):
+    """Arrivals on the day itself, days later and days earlier, no weather, and copies of a trip."""
+    obs, flown = world
+    odd = [
+        trip(f"far{i}", i % 4, (i + 1) % 4, T0 + timedelta(hours=40), T0 + timedelta(hours=40 + h))
+        for i, h in enumerate((0, 1, 9, 20, 30, 55, 200, -30))
+    ]
+    odd.append(trip("nowhere", None, None, T0, T0))
+    return obs, flown + odd + flown[:20]
+
+
+def test_cells_give_the_same_timelines(spark, world, no_broadcast):
+    obs, flown = far_world(world)
+    trips, seen = spark.createDataFrame(flown, TRIP), spark.createDataFrame(obs, OBS)
+    got = timeline.join_weather(trips, seen)
+    base = timeline.unique_trips(timeline.complete_trips(trips))
+    strips = timeline.weather_strips(timeline.hourly_observations(seen))
+    plain = timeline.attach_timeline(timeline.attach_timeline(base, strips, "o"), strips, "d")
+    want = by_key(plain)
+    assert by_key(got) == want and got.count() == len(want) and {*got.columns} == {*plain.columns}
+    for cells in (timeline.Cells(3), timeline.Cells(2, {timeline_day(T0): 7, timeline_day(T0) + 1: 1})):
+        cut = timeline.attach_both(base, strips, trips, cells)
+        assert by_key(cut) == want and cut.count() == len(want)
+
+
+def timeline_day(at):
+    return (at - datetime(1970, 1, 1)).days
+
+
+def exchanged(df, capsys):
+    """The input columns of each exchange of the plan."""
+    capsys.readouterr()
+    df.explain("formatted")
+    nodes = re.split(r"\n\(\d+\) ", capsys.readouterr().out)
+    return [n for n in nodes if n.startswith("Exchange")]
+
+
+def test_no_row_with_a_timeline_is_moved(spark, world, no_broadcast, capsys):
+    obs, flown = world
+    trips, seen = spark.createDataFrame(flown, TRIP), spark.createDataFrame(obs, OBS)
+    got = timeline.join_weather(trips, seen)
+    moved = exchanged(got, capsys)
+    assert moved and not [n for n in moved if "Wo#" in n]
+    base, strips = timeline.complete_trips(trips), timeline.weather_strips(timeline.hourly_observations(seen))
+    plain = timeline.attach_timeline(timeline.attach_timeline(base, strips, "o"), strips, "d")
+    assert [n for n in exchanged(plain, capsys) if "Wo#" in n]
+
+
+def test_small_strips_are_joined_plainly(spark, world, capsys):
+    obs, flown = world
+    got = timeline.join_weather(spark.createDataFrame(flown, TRIP), spark.createDataFrame(obs, OBS))
+    capsys.readouterr()
+    got.explain("formatted")
+    assert "_part#" not in capsys.readouterr().out
+
+
+def test_crowded_days_get_more_parts(spark):
+    crowd = [trip(f"c{i}", 1, 2, T0, T0) for i in range(300)]
+    calm = [trip(f"d{i}", 1, 2, T0 + timedelta(days=i % 20 + 1), T0 + timedelta(days=i)) for i in range(40)]
+    cells = timeline.trip_cells(spark.createDataFrame(crowd + calm, TRIP), cell_trips=50)
+    assert cells == timeline.Cells(2, {timeline_day(T0): 6})
+    placed = spark.createDataFrame(crowd, TRIP).withColumns(cells.columns())
+    assert placed.select("_part").distinct().count() == 6
+    none = spark.createDataFrame([], TRIP)
+    assert timeline.trip_cells(none) == timeline.Cells()
+
+
+def test_no_trips_no_rows_without_broadcast(spark, world, no_broadcast):
+    none = spark.createDataFrame([], TRIP)
+    assert timeline.join_weather(none, spark.createDataFrame(world[0], OBS)).count() == 0
+
+
+def test_broadcast_limit_reads_sizes(spark, no_broadcast):
+    assert session.broadcast_limit(spark) == -1
+    for text, size in (("10MB", 10 << 20), ("7", 7), ("3k", 3 << 10), ("10485760b", 10 << 20)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert session.broadcast_limit(spark) == size
