@@ -877,9 +877,15 @@ oracle(
        case when train_positives > 0 and train_positives < train_rows and test_rows > 0
             then 'ok' else 'empty' end as status,
        train_rows, train_positives, test_rows, test_positives
-       from split s join (values ('no_weather', 'D2', 60, 0, 0), ('origin', 'D2', 60, 3, 0),
-         ('dest', 'D1', 30, 0, 3), ('both', 'D4', 90, 3, 3))
-         e(tag, ds, th, origin_hours, dest_hours) on e.ds = s.ds and e.th = s.th""",
+       from split s join (
+         select study || ':' || ds || ':' || th || 'min:o' || o || ':d' || d as tag, ds, th,
+                o as origin_hours, d as dest_hours
+         from (select 'baseline' as study, 'D2' as ds, 60 as th, 0 as o, 0 as d
+           union all select 'window', 'D2', 60, h, 0 from (select unnest([1, 3, 5, 7, 9, 11]) as h)
+           union all select 'window', 'D2', 60, 0, h from (select unnest([1, 3, 5, 7, 9, 11]) as h)
+           union all select 'window', 'D2', 60, 7, 7
+           union all select 'threshold', 'D2', t, 7, 7 from (select unnest([15, 30, 45, 60, 90]) as t)
+           union all select 'dataset', unnest(['D1', 'D3', 'D4']), 60, 7, 7)) e on e.ds = s.ds and e.th = s.th""",
 )
 oracle(
     "stage_rerun",
@@ -913,3 +919,47 @@ oracle(
         )
     ),
 )
+oracle(
+    "equal_keys",
+    """select trip_key, ds, th, is_pos, is_pos as C from (
+       select c.trip_key, d.ds, c.th, case when d.pos then 1 else 0 end as is_pos, c.late, d.positives,
+         row_number() over (partition by d.ds, c.th, c.late order by c.draw, c.trip_key) as place
+       from (select *, ('0x' || md5('42|' || trip_key)[1:15])::bigint as draw from classes) c
+       join counts n on n.th = c.th
+       cross join lateral (values
+         ('D1', c.d1, n.cnt_d1), ('D2', c.d2, n.cnt_d2),
+         ('D3', c.d3, n.cnt_d3), ('D4', c.d4, n.cnt_d4)) d(ds, pos, positives))
+       where is_pos = 1 or (not late and place <= positives)""",
+)
+oracle(
+    "uniques_sketched",
+    " union all ".join(
+        f"""select '{name}' as "column", count(*) as "rows", count(distinct {c}) as distinct_values, true as "close"
+            from silver_trips"""
+        for name, c in (
+            ("FL_NUM", "fl_num"),
+            ("origin_airport_id", "origin"),
+            ("dest_airport_id", "dest"),
+            ("year", "y"),
+            ("month", "m"),
+        )
+    ),
+)
+_PRICE, _DAY = "cast(o_totalprice as decimal(18, 2))", "strftime(o_orderdate, '%Y-%m-%d')"
+oracle(
+    "src_csv_inferred",
+    f"""select o_orderkey as key, case when o_orderkey % 97 <> 5 then round({_PRICE}::double, 6) end as price,
+       {_DAY} as placed, o_orderpriority as priority, 'int,double,date,string' as types
+       from orders where o_orderkey % 97 not in (1, 2, 3, 4)""",
+)
+oracle(
+    "src_csv_quarantine",
+    f"""select o_orderkey::varchar as key,
+       case o_orderkey % 97 when 3 then 'unknown' when 4 then 'n/a' else {_PRICE}::varchar end as price,
+       case o_orderkey % 97 when 1 then null when 4 then 'soon' else {_DAY} end as placed,
+       case o_orderkey % 97
+         when 1 then o_orderkey || '|' || {_PRICE}
+         when 2 then o_orderkey || '|' || {_PRICE} || '|' || {_DAY} || '|' || o_orderpriority || '|more' end as line,
+       case o_orderkey % 97 when 3 then 'price' when 4 then 'price,placed' else '' end as misfits
+       from orders where o_orderkey % 97 in (1, 2, 3, 4)""",
+)

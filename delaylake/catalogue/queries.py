@@ -143,6 +143,35 @@ def src_csv_roundtrip(spark, sf):
     return files.read_delimited(spark, [f"{path}/a", f"{path}/b"], columns=TRIP_COLUMNS)
 
 
+def _damaged_orders(spark, sf):
+    """Orders as lines of text, some with a value too few or too many, or one that is no number or date."""
+    path = files.shared_folder(spark)
+    stand_ins.damaged_lines(spark, sf).write.text(path)
+    return files.read_typed(spark, [path], sep="|", columns=stand_ins.LINE_COLUMNS, tolerance=0.1)
+
+
+@query
+def src_csv_inferred(spark, sf):
+    """Types found by inference despite damaged lines, which are set aside."""
+    typed, _ = _damaged_orders(spark, sf)
+    found = ",".join(t for _, t in typed.dtypes)
+    return typed.select(
+        F.col("key").cast("bigint").alias("key"),
+        rounded("price").alias("price"),
+        F.date_format("placed", "yyyy-MM-dd").alias("placed"),
+        "priority",
+        F.lit(found.replace("bigint", "int")).alias("types"),
+    )
+
+
+@query
+def src_csv_quarantine(spark, sf):
+    _, bad = _damaged_orders(spark, sf)
+    return bad.select(
+        "key", "price", "placed", F.col(files.LINE).alias("line"), F.concat_ws(",", "_misfits").alias("misfits")
+    )
+
+
 @query
 def src_table_roundtrip(spark, sf):
     path = files.shared_folder(spark)
@@ -565,6 +594,11 @@ def balanced_keys(spark, sf):
     return targets.balanced_keys(timed_trips(spark, sf), [REPORT_TH])
 
 
+@query
+def equal_keys(spark, sf):
+    return targets.equal_keys(timed_trips(spark, sf))
+
+
 @query
 def keys_all(spark, sf):
     return targets.balanced_keys(timed_trips(spark, sf), seed=targets.GOLD_SEED)
@@ -671,6 +705,22 @@ def uniques_approx(spark, sf):
     )
 
 
+@query
+def uniques_sketched(spark, sf):
+    """Monthly sketches, stored and united, beside exact counts: is each within three standard errors of 0.65 %?"""
+    silver, path = silver_trips(spark, sf), files.shared_folder(spark)
+    files.write_table(quality.key_sketches(silver, by=["year", "month"]), path)
+    found = quality.sketched_cardinalities(files.read_table(spark, path))
+    exact = quality.key_cardinalities(silver, approximate=False).withColumnRenamed("approx_distinct", "exact")
+    gap = F.abs(F.col("exact") - F.col("approx_distinct"))
+    return found.join(exact, "column").select(
+        "column",
+        "rows",
+        F.col("exact").alias("distinct_values"),
+        (gap <= 3 * 0.0065 * F.col("exact")).alias("close"),
+    )
+
+
 @query
 def delay_quantiles(spark, sf):
     report = quality.delay_quantiles(silver_trips(spark, sf))
@@ -877,14 +927,9 @@ def ml_rf(spark, sf):
 
 @query
 def ml_grid(spark, sf):
-    studies = [
-        models.Experiment("D2", 60, 0, 0, "no_weather"),
-        models.Experiment("D2", 60, 3, 0, "origin"),
-        models.Experiment("D1", 30, 0, 3, "dest"),
-        models.Experiment("D4", 90, 3, 3, "both"),
-    ]
+    """All default experiments, with small forests; the counts do not depend on the forest."""
     rows = models.run_experiments(
-        spark, stored_targets(spark, sf), studies, forest=SMALL_FOREST
+        spark, stored_targets(spark, sf), forest=SMALL_FOREST, at_once=4
     )
     return rows.select(
         "tag",

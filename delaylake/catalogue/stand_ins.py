@@ -182,3 +182,24 @@ def zone_mapping(spark: SparkSession, folder: str) -> DataFrame:
 
 def repeated_mapping(spark: SparkSession, folder: str) -> DataFrame:
     return _derived(table(spark, folder, "supplier"), REPEATED_OFFSETS)
+
+
+LINE_COLUMNS = ["key", "price", "placed", "priority"]
+# The kind of damage goes by the key; the SQL check has the same rules.
+DAMAGED = """case cast(o_orderkey as bigint) % 97
+  when 1 then concat_ws('|', o_orderkey, o_totalprice)
+  when 2 then concat_ws('|', o_orderkey, o_totalprice, day, o_orderpriority, 'more')
+  when 3 then concat_ws('|', o_orderkey, 'unknown', day, o_orderpriority)
+  when 4 then concat_ws('|', o_orderkey, 'n/a', 'soon', o_orderpriority)
+  when 5 then concat_ws('|', o_orderkey, '', day, o_orderpriority)
+  else concat_ws('|', o_orderkey, o_totalprice, day, o_orderpriority) end as value"""
+
+
+def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders").selectExpr(
+        "cast(o_orderkey as string) as o_orderkey",
+        "cast(o_totalprice as decimal(18, 2)) as o_totalprice",
+        "date_format(o_orderdate, 'yyyy-MM-dd') as day",
+        "o_orderpriority",
+    )
+    return orders.selectExpr(DAMAGED)

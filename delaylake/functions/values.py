@@ -57,3 +57,13 @@ def unit_hash(key: Column, seed: int) -> Column:
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), key).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
+
+
+#: Bits of :func:`draw_number`: fifteen hexadecimal digits.
+DRAW_BITS = 60
+
+
+def draw_number(key: Column, seed: int) -> Column:
+    """The digest of :func:`unit_hash` as a whole number of 60 bits, for draws of an exact size."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), key).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

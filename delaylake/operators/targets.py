@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.functions import values
@@ -233,6 +233,72 @@ def balanced_keys(
     return keys.selectExpr("trip_key", "ds", "th", "is_pos", f"if({late('th')}, 1, 0) as C")
 
 
+def draw_limits(
+    measures: DataFrame,
+    counts: DataFrame,
+    thresholds: Sequence[int] = THRESHOLDS,
+    seed: int = DEFAULT_SEED,
+    bits: int = 16,
+) -> DataFrame:
+    """``(ds, th, last)``: the last negative to keep, so that as many are kept as there are positives.
+
+    ``last`` is the struct of draw and key of the n-th smallest negative, null where
+    none is kept. The first ``bits`` of the draws are counted; cumulated, they
+    tell the bin that holds the n-th. Only negatives of those bins, one in
+    ``2 ** bits`` per dataset and threshold, are put in order.
+    """
+    drawn = measures.select(
+        "trip_key", "ARR_DELAY_NEW", values.draw_number(F.col("trip_key"), seed).alias("draw")
+    ).withColumn("bin", F.shiftright("draw", values.DRAW_BITS - bits))
+    sums = [F.expr(f"count_if(not {late(th)}) as n{th}") for th in thresholds]
+    per_th = ", ".join(f"struct({th} as th, n{th} as held)" for th in thresholds)
+    bins = drawn.groupBy("bin").agg(*sums).selectExpr("bin", f"inline(array({per_th}))")
+    up_to = F.sum("held").over(Window.partitionBy("th").orderBy("bin"))
+    sizes = ", ".join(
+        f"struct('{ds}' as ds, least(cnt_{ds.lower()}, cnt_neg) as n)" for ds in DATASETS
+    )
+    wanted = counts.selectExpr("th", f"inline(array({sizes}))")
+    edge = (
+        wanted.join(bins.where("held > 0").withColumn("up_to", up_to), "th")
+        .where("n > up_to - held and n <= up_to")
+        .selectExpr("ds", "th", "bin", "n - (up_to - held) as nth")
+    )
+    place = F.row_number().over(Window.partitionBy("ds", "th").orderBy("draw", "trip_key"))
+    last = (
+        drawn.join(edge, "bin")
+        .where(f"not {late('th')}")
+        .withColumn("place", place)
+        .where("place = nth")
+        .selectExpr("ds", "th", "struct(draw, trip_key) as last")
+    )
+    return wanted.select("ds", "th").join(last, ["ds", "th"], "left")
+
+
+def equal_keys(
+    df: DataFrame,
+    thresholds: Sequence[int] = THRESHOLDS,
+    tau: float = TAU,
+    seed: int = DEFAULT_SEED,
+    bits: int = 16,
+) -> DataFrame:
+    """:func:`balanced_keys` with exactly as many negatives as positives, or all where there are fewer.
+
+    Two scans of the narrow measures more than the draw by shares. Which
+    negatives are kept depends on the keys and the seed only.
+    """
+    measures = unique_measures(df)
+    limits = draw_limits(measures, class_counts(measures, thresholds, tau), thresholds, seed, bits)
+    cells = limits.agg(F.collect_list(F.struct("ds", "th", "last")).alias("cells")).scalar()
+    tests = [f"(c.ds = '{d}' and {rule})" for d, rule in positive_rules("c.th", tau).items()]
+    tests.append(f"(not {late('c.th')} and struct(_draw, trip_key) <= c.last)")
+    drawn = measures.withColumns(
+        {"_draw": values.draw_number(F.col("trip_key"), seed), "_cells": cells}
+    )
+    members = drawn.selectExpr("*", f"inline(filter(_cells, c -> {' or '.join(tests)}))")
+    label = f"if({late('th')}, 1, 0)"
+    return members.selectExpr("trip_key", "ds", "th", f"{label} as is_pos", f"{label} as C")
+
+
 def unique_measures(df: DataFrame, **options) -> DataFrame:
     """:func:`delay_measures` with one row per trip: the smallest of its copies."""
     return keep_smallest(delay_measures(df, **options), ["trip_key"])

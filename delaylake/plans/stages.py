@@ -84,6 +84,7 @@ BRONZE_OBSERVATIONS = "bronze/observations"
 SILVER_TRIPS = "silver/trips"
 SILVER_OBSERVATIONS = "silver/observations"
 SILVER_EXTENTS = "silver/extents"
+SILVER_SKETCHES = "silver/key_sketches"
 GOLD_JOINED = "gold/joined"
 GOLD_TARGETS = "gold/targets"
 GOLD_MANIFEST = "gold/manifest"
@@ -266,12 +267,36 @@ def run_silver(
     if not store:
         return build(raw)
     names, shape = [SILVER_TRIPS, SILVER_OBSERVATIONS], shapes(spark)
-    forget = lambda month: files.remove_folder(spark, _extent_path(lake, month))
+
+    def forget(month: str) -> None:
+        """What is known of a build of the month goes before the next is written."""
+        for name in (SILVER_EXTENTS, SILVER_SKETCHES):
+            files.remove_folder(spark, f"{lake.path(name)}/{input_part(month)}")
+
     return tuple(
         _by_month(spark, raw, lake, names, [shape[n] for n in names], build, refresh, forget)
     )
 
 
+def key_report(spark: SparkSession, raw: RawInputs, lake: Lake) -> DataFrame:
+    """Distinct keys of the stored silver trips, from a sketch per input month.
+
+    A month is scanned once, when its sketch is absent: after a new month only
+    that one. Months that are not stored yet are built first.
+    """
+    run_silver(spark, raw, lake)
+    shape = shapes(spark)[SILVER_TRIPS].schema
+    for month in raw.months:
+        path = f"{lake.path(SILVER_SKETCHES)}/{input_part(month)}"
+        if not files.table_exists(spark, path):
+            trips = files.read_table(spark, lake.path(SILVER_TRIPS), shape, [input_part(month)])
+            files.write_table(quality.key_sketches(trips), path)
+    parts = [input_part(m) for m in raw.months]
+    return quality.sketched_cardinalities(
+        files.read_table(spark, lake.path(SILVER_SKETCHES), parts=parts)
+    )
+
+
 # ---- gold, part by part ---------------------------------------------------
 #
 # The joined trips and the targets are kept per part: a year and month of trips. A part depends on the

@@ -1,7 +1,8 @@
 """Readers and writers.
 
-Text files are read as strings by header name: no inference pass over the
-data, and dirty numbers are handled by ``try_cast`` in the bronze projections.
+The stages read text files as strings by header name: no inference pass over
+the data, and dirty numbers are handled by ``try_cast`` in the bronze
+projections. :func:`read_typed` is the reader for files of unknown types.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def monthly_paths(folder: str, months: Iterable[str], suffix: str = ".csv") -> list[str]:
@@ -40,6 +42,106 @@ def read_delimited(
     return reduce(DataFrame.union, parts)
 
 
+#: Types that inference tries, narrowest first; text fits always.
+INFERRED = ("int", "bigint", "double", "boolean", "date", "timestamp")
+LINE = "_line"
+
+
+def _text_columns(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c != LINE]
+
+
+def _filled(name: str) -> Column:
+    return F.trim(F.col(f"`{name}`")) != ""
+
+
+def _fits(name: str, dtype: str) -> Column:
+    """Is a filled value of the type? A date has no time of day, a number no letter for its type."""
+    value = F.trim(F.col(f"`{name}`"))
+    known = value.try_cast(dtype).isNotNull()
+    if dtype == "boolean":
+        return F.lower(value).isin("true", "false")
+    if dtype == "date":
+        return known & value.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
+    return known & ~value.rlike("[dDfF]$") if dtype == "double" else known
+
+
+def infer_types(rows: DataFrame, tolerance: float = 0.0) -> dict[str, str]:
+    """The narrowest type of each text column that all its values fit, but for a share.
+
+    One aggregation for all columns; one row reaches the driver. Blank values
+    fit any type; a column without values stays text. Lines that could not be
+    split (``_line`` set) have no say.
+    """
+    names = _text_columns(rows)
+    whole = rows.where(F.col(LINE).isNull()) if LINE in rows.columns else rows
+    sums = []
+    for i, name in enumerate(names):
+        sums.append(F.count_if(_filled(name)).alias(f"n{i}"))
+        for t in INFERRED:
+            sums.append(F.count_if(_filled(name) & _fits(name, t)).alias(f"{t}{i}"))
+    found = whole.agg(*sums).first()
+    types = {}
+    for i, name in enumerate(names):
+        n = found[f"n{i}"]
+        fitting = (t for t in INFERRED if n and n - found[f"{t}{i}"] <= tolerance * n)
+        types[name] = next(fitting, "string")
+    return types
+
+
+def read_typed(
+    spark: SparkSession,
+    paths: Sequence[str],
+    sep: str = ",",
+    columns: Sequence[str] | None = None,
+    types: dict[str, str] | None = None,
+    tolerance: float = 0.0,
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows, and the quarantine of the lines that do not fit.
+
+    Columns are named by the header of the paths, or by ``columns`` where they
+    have none. ``types`` saves the pass that infers them; a column it leaves
+    out is text. With a ``tolerance`` a column keeps its type although up to
+    that share of its values do not fit, and their lines are set aside.
+
+    The quarantine has the values as text, ``_line`` (the whole line where it
+    has too few or too many values) and ``_misfits`` (the columns whose value
+    does not fit the type). Blank values are null. Every line is in exactly one
+    of the two frames.
+    """
+    reader = spark.read.option("sep", sep).option("header", columns is None)
+    names = list(columns) if columns else reader.csv(list(paths)).columns
+    shape = StructType([StructField(n, StringType()) for n in [*names, LINE]])
+    # A pruned line is only split as far as asked: what is malformed would depend on the columns used later.
+    reader = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", LINE)
+    rows = reader.option("mode", "PERMISSIVE").schema(shape).csv(list(paths))
+    if types is None:
+        types = infer_types(rows, tolerance)
+    wanted = {n: types.get(n, "string") for n in names}
+    misfits = F.filter(
+        F.array(
+            F.lit(None).cast("string"),
+            *(
+                F.when(_filled(n) & ~_fits(n, t), F.lit(n))
+                for n, t in wanted.items()
+                if t != "string"
+            ),
+        ),
+        lambda name: name.isNotNull(),
+    )
+    judged = rows.withColumn("_misfits", misfits)
+    # Always true; without a column of the file beside the line's own, Spark refuses the scan.
+    asked = F.col(f"`{names[0]}`").isNull() | (F.length(f"`{names[0]}`") >= 0)
+    fits = F.col(LINE).isNull() & (F.size("_misfits") == 0) & asked
+    typed = judged.where(fits).select(
+        *(
+            F.col(f"`{n}`").alias(n) if t == "string" else F.trim(F.col(f"`{n}`")).try_cast(t).alias(n)
+            for n, t in wanted.items()
+        )
+    )
+    return typed, judged.where(~fits)
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Fail before any job when a needed column is absent."""
     missing = [n for n in names if n not in df.columns]

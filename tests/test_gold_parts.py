@@ -182,3 +182,25 @@ def test_two_writers_of_one_number(spark, tmp_path):
     with pytest.raises(Exception, match="already exists"):
         spark.range(1).write.mode("errorifexists").parquet(f"{path}/0000000003")
     assert versions.remove_former(spark, path) == 2
+
+
+def test_key_sketches_scan_a_new_month_only(spark, raw, two, tmp_path):
+    lake = copy(two, tmp_path)
+    before = stages.key_report(spark, upto(raw, 2), lake).collect()
+    stages.run_silver(spark, raw, lake)
+    for month in YEARS[:2]:
+        wipe(f"{lake.path(stages.SILVER_TRIPS)}/{stages.input_part(month)}")
+    spark.catalog.clearCache()
+    after = {r["column"]: r for r in stages.key_report(spark, raw, lake).collect()}
+    n = files.read_table(spark, lake.path(stages.SILVER_TRIPS), parts=[stages.input_part(YEARS[2])]).count()
+    assert {r["rows"] for r in after.values()} == {before[0]["rows"] + n} and n > 0
+    assert after["FL_NUM"]["approx_distinct"] >= max(r["approx_distinct"] for r in before if r["column"] == "FL_NUM")
+
+
+def test_a_month_built_again_gets_a_new_sketch(spark, raw, two, tmp_path):
+    lake = copy(two, tmp_path)
+    stages.key_report(spark, upto(raw, 1), lake)
+    path = f"{lake.path(stages.SILVER_SKETCHES)}/{stages.input_part(YEARS[0])}"
+    assert files.table_exists(spark, path)
+    stages.run_silver(spark, upto(raw, 1), lake, refresh=[YEARS[0]])
+    assert not files.table_exists(spark, path)

@@ -160,3 +160,17 @@ def test_sketches_of_months_merge(spark):
     wrong = spark.createDataFrame([("ARR_DELAY_NEW", 0.0, 0.0, 0.0, 0.0)], "column string, p50 double, p90 double, p95 double, p99 double")
     assert abs(quality.rank_errors(df, wrong).first()["p50"] - 0.5) < 0.001
     assert quality.sketched_quantiles(quality.delay_sketches(df.where("false"))).where("n > 0").count() == 0
+
+
+def test_key_sketches_of_groups_unite(spark):
+    df = spark.range(6000).selectExpr(
+        "cast(id % 5000 as int) as FL_NUM", "cast(null as int) as origin_airport_id",
+        "cast(id % 7 as string) as dest_airport_id", "cast(2012 + id % 2 as int) as year", "'01' as month"
+    )
+    sketches = quality.key_sketches(df, by=["year"])
+    assert sketches.count() == 2
+    found = {r["column"]: (r["approx_distinct"], r["rows"]) for r in quality.sketched_cardinalities(sketches).collect()}
+    assert abs(found.pop("FL_NUM")[0] - 5000) <= 3 * 0.0065 * 5000
+    assert found == {"dest_airport_id": (7, 6000), "year": (2, 6000), "month": (1, 6000), "origin_airport_id": (0, 6000)}
+    none = quality.sketched_cardinalities(quality.key_sketches(df.where("false"), by=["year"]))
+    assert {(r["approx_distinct"], r["rows"]) for r in none.collect()} == {(0, 0)}

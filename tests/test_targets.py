@@ -155,3 +155,54 @@ def test_missing_key_is_an_error(spark):
 def test_ratio_bucket(spark, ratio, label):
     df = spark.createDataFrame([(ratio,)], "r double")
     assert df.select(ratios.ratio_bucket(F.col("r"))).first()[0] == label
+
+
+def drawn_by_hand(data, thresholds, seed):
+    """Rows (key, delay, weather, nas, nas weather), unique: the smallest draws among the negatives."""
+    import hashlib
+
+    def draw(key):
+        return int(hashlib.md5(f"{seed}|{key}".encode()).hexdigest()[:15], 16), key
+
+    def member(ds, row, th):
+        key, delay, weather, nas, share = row
+        adjusted = max(delay - (nas - share), 0)
+        explained = (weather > 0 or share > 0) and adjusted > 0 and (weather + share) / max(adjusted, 1) >= 0.95
+        rest = {"D1": explained, "D2": weather > 0 or share >= th, "D3": weather > 0 or share > 0, "D4": True}
+        return delay >= th and rest[ds]
+
+    out = set()
+    for th in thresholds:
+        negatives = sorted((r[0] for r in data if r[1] < th), key=draw)
+        for ds in targets.DATASETS:
+            positives = [r[0] for r in data if member(ds, r, th)]
+            out |= {(k, ds, th, 1) for k in positives} | {(k, ds, th, 0) for k in negatives[: len(positives)]}
+    return out
+
+
+@pytest.mark.parametrize("bits", [1, 4, 16])
+def test_classes_of_equal_size(spark, bits):
+    data = [
+        (f"k{i}", float(i * 7 % 200), float(i % 5 == 0), float(i % 11), float(i % 11) * (i % 2))
+        for i in range(600)
+    ]
+    got = targets.equal_keys(flat(spark, data + data[:40]).repartition(5), seed=3, bits=bits)
+    found = [tuple(r) for r in got.select("trip_key", "ds", "th", "is_pos").collect()]
+    want = drawn_by_hand(data, targets.THRESHOLDS, 3)
+    assert len(found) == len(want) and set(found) == want
+
+
+def test_equal_classes_at_the_limits(spark):
+    late_row = ("late", 100.0, 5.0, 0.0, 0.0)
+    early = [(f"e{i}", 0.0, 0.0, 0.0, 0.0) for i in range(3)]
+    many_late = [(f"l{i}", 100.0, 5.0, 0.0, 0.0) for i in range(9)]
+
+    def sizes(data):
+        got = targets.equal_keys(flat(spark, data), [60]).where("ds = 'D4'").groupBy("is_pos").count()
+        return {r["is_pos"]: r["count"] for r in got.collect()}
+
+    assert sizes(early) == {}
+    assert sizes([late_row]) == {1: 1}
+    assert sizes([late_row, *early]) == {0: 1, 1: 1}
+    assert sizes([*many_late, *early]) == {0: 3, 1: 9}
+    assert targets.equal_keys(flat(spark, [])).count() == 0
