@@ -263,6 +263,11 @@ def attach_both(trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Ce
     dealt alike. ``asked`` has the keys, airports and times of all ``trips`` and
     maybe of more; it is read narrowly. A strip is sent once to each cell that
     asks for it.
+
+    The strips of a cell are hashed and its trips stream past them, so no row
+    with a timeline is sorted. What a task holds are the strips its cells ask
+    for: airports times the few days that one day's trips touch, however many
+    the trips.
     """
     placed = trips.withColumns(cells.columns()).repartition(*CELL)
     for prefix, (airport, ts) in TRIP_ENDS.items():
@@ -273,7 +278,7 @@ def attach_both(trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Ce
             .distinct()
         )
         sent = wanted.join(strips, ["airport_id", "day"]).repartition(*CELL)
-        placed = attach_timeline(placed, sent, prefix, CELL)
+        placed = attach_timeline(placed, sent.hint("shuffle_hash"), prefix, CELL)
     return placed.drop(*CELL)
 
 

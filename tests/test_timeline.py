@@ -224,6 +224,17 @@ def test_no_row_with_a_timeline_is_moved(spark, world, no_broadcast, capsys):
     assert [n for n in exchanged(plain, capsys) if "Wo#" in n]
 
 
+def test_no_row_with_a_timeline_is_sorted(spark, world, no_broadcast, capsys):
+    obs, flown = world
+    got = timeline.join_weather(spark.createDataFrame(flown, TRIP), spark.createDataFrame(obs, OBS))
+    capsys.readouterr()
+    got.explain("formatted")
+    nodes = re.split(r"\n\(\d+\) ", capsys.readouterr().out)
+    joins = [n.split()[0] for n in nodes if "Join type: LeftOuter" in n]
+    assert joins == ["ShuffledHashJoin"] * 2
+    assert not [n for n in nodes if n.startswith("Sort") and "Wo#" in n]
+
+
 def test_small_strips_are_joined_plainly(spark, world, capsys):
     obs, flown = world
     got = timeline.join_weather(spark.createDataFrame(flown, TRIP), spark.createDataFrame(obs, OBS))
