@@ -1,10 +1,13 @@
 """Every registered query against its SQL on the small tables."""
 
+import re
+
 import check
 import pytest
 
 import __spark_entry__ as spark_entry
 from delaylake.catalogue import oracle, queries
+from delaylake.operators import targets
 
 SF = "/root/testdata/sf0.001"
 QUERIES = spark_entry.queries()
@@ -45,5 +48,19 @@ def test_readings_are_not_shuffled_for_their_airport(spark, name):
     assert len(readings) <= 2 and "SortMergeJoin [airport_id" not in physical.split("event_id")[0][-4000:]
 
 
+def test_stored_targets_hold_a_trip_once(spark):
+    stored = queries.stored_targets(spark, SF)
+    assert stored.count() == stored.select("trip_key").distinct().count() > 0
+
+
+def test_a_slice_chooses_its_trips_before_the_weather(spark):
+    """No trip is multiplied by the datasets, and the slice's filter lies below the timelines' joins."""
+    rows = targets.target_slice(queries.packed_targets(spark, SF))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftOuter", 1)
+    assert "Generate inline(filter" not in plan
+    assert "D2-60" in below and not re.search(r"^ *\+- Filter", above, re.M)
+
+
 def test_entry(spark):
     assert spark_entry.entry(spark).limit(1).count() == 1

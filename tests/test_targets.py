@@ -206,3 +206,26 @@ def test_equal_classes_at_the_limits(spark):
     assert sizes([late_row, *early]) == {0: 1, 1: 1}
     assert sizes([*many_late, *early]) == {0: 3, 1: 9}
     assert targets.equal_keys(flat(spark, [])).count() == 0
+
+
+def test_packed_slices_are_those_of_the_expanded_rows(spark):
+    data = [
+        (f"k{i}", float(i * 7 % 130) if i % 17 else None, float(i % 5 * 20), float(i % 3 * 40), float(i % 3 * 20))
+        for i in range(400)
+    ]
+    measures = targets.delay_measures(flat(spark, data))
+    grid = targets.dataset_grid(targets.class_counts(measures)).scalar()
+    carried = {"F": F.struct("trip_key"), "Wo": F.lit(1), "Wd": F.lit(2), "C": F.lit(0), "year": F.lit(2012), "month": F.lit("01")}
+    args = (measures.withColumns(carried), grid, targets.TAU, targets.GOLD_SEED)
+    expanded = targets.expand_targets(*args).select(*targets.TARGET_COLUMNS)
+    packed = targets.pack_targets(*args)
+    assert packed.count() == packed.select("trip_key").distinct().count() > 0
+    held = 0
+    for ds in targets.DATASETS:
+        for th in targets.THRESHOLDS:
+            want = targets.target_slice(expanded, ds, th)
+            got = targets.target_slice(packed, ds, th)
+            assert got.dtypes == want.dtypes
+            assert rows(got, "trip_key") == rows(want, "trip_key")
+            held += got.count()
+    assert held == expanded.count() > packed.count()
