@@ -254,7 +254,9 @@ def trip_cells(trips: DataFrame, cell_trips: int = CELL_TRIPS) -> Cells:
     )
 
 
-def attach_both(trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Cells) -> DataFrame:
+def attach_both(
+    trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Cells, also: Sequence[str] = ()
+) -> DataFrame:
     """Both timelines without moving a trip that carries one.
 
     Trips are dealt once, as narrow rows, by cell: departure day and a part of
@@ -262,7 +264,8 @@ def attach_both(trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Ce
     at either end, whatever the day of arrival, so both joins find their sides
     dealt alike. ``asked`` has the keys, airports and times of all ``trips`` and
     maybe of more; it is read narrowly. A strip is sent once to each cell that
-    asks for it.
+    asks for it. ``also`` names columns of trips and strips that belong to the
+    key of a strip as well.
 
     The strips of a cell are hashed and its trips stream past them, so no row
     with a timeline is sorted. What a task holds are the strips its cells ask
@@ -274,11 +277,11 @@ def attach_both(trips: DataFrame, strips: DataFrame, asked: DataFrame, cells: Ce
         wanted = (
             complete_trips(asked)
             .withColumns(cells.columns())
-            .selectExpr(*CELL, f"{airport} as airport_id", f"{day_number(ts)} as day")
+            .selectExpr(*CELL, *also, f"{airport} as airport_id", f"{day_number(ts)} as day")
             .distinct()
         )
-        sent = wanted.join(strips, ["airport_id", "day"]).repartition(*CELL)
-        placed = attach_timeline(placed, sent.hint("shuffle_hash"), prefix, CELL)
+        sent = wanted.join(strips, [*also, "airport_id", "day"]).repartition(*CELL)
+        placed = attach_timeline(placed, sent.hint("shuffle_hash"), prefix, [*CELL, *also])
     return placed.drop(*CELL)
 
 
@@ -291,6 +294,21 @@ def trip_profile(trips: DataFrame) -> Row:
     return _bound_text(sized).select("min_ts", "max_ts", "strip_bytes").first()
 
 
+def attach_stored(trips: DataFrame, strips: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Both timelines of labeled trips (struct ``F``) from strips that were stored.
+
+    How many strips there are decides the form, as in :func:`join_weather`; it
+    is read off the stored files. ``also`` as in :func:`attach_both`.
+    """
+    ends = [c for pair in TRIP_ENDS.values() for c in pair]
+    flat = trips.withColumns({c: F.col(f"F.{c}") for c in [*ends, "trip_key"]})
+    if strips.count() * STRIP_BYTES > broadcast_limit(trips.sparkSession):
+        placed = attach_both(flat, strips, flat, trip_cells(flat), also)
+    else:
+        placed = attach_timeline(attach_timeline(flat, strips, "o", also), strips, "d", also)
+    return placed.select(*trips.columns, *ARRAY_NAMES.values())
+
+
 JT_TRIP_COLUMNS = [
     "origin_airport_id",
     "dest_airport_id",
@@ -345,7 +363,7 @@ def join_weather(
 def label_trips(joined: DataFrame, threshold_min: int) -> DataFrame:
     """Pack the trip into struct ``F`` and label it late (``C = 1``) or not.
 
-    An unknown delay counts as not late.
+    An unknown delay counts as not late. Timelines are kept where the trips have them.
     """
     late = F.when(F.col("ARR_DELAY_NEW") >= threshold_min, 1).otherwise(0)
     packed = F.struct(
@@ -363,7 +381,8 @@ def label_trips(joined: DataFrame, threshold_min: int) -> DataFrame:
         F.col("NAS_WEATHER_DELAY").alias("nas_weather_delay"),
         "trip_key",
     )
-    return joined.select(packed.alias("F"), "Wo", "Wd", late.alias("C"), "year", "month")
+    timelines = [w for w in ARRAY_NAMES.values() if w in joined.columns]
+    return joined.select(packed.alias("F"), *timelines, late.alias("C"), "year", "month")
 
 
 def labeled_join(

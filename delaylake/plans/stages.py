@@ -33,9 +33,13 @@ from delaylake.operators.observations import (
 from delaylake.operators.timeline import (
     JT_TRIP_COLUMNS,
     LOOKBACK_HOURS,
+    attach_stored,
     complete_trips,
+    hourly_observations,
     join_weather,
     label_trips,
+    weather_strips,
+    within_trip_times,
 )
 from delaylake.operators.trips import (
     bronze_trips,
@@ -87,7 +91,9 @@ SILVER_EXTENTS = "silver/extents"
 SILVER_SKETCHES = "silver/key_sketches"
 GOLD_JOINED = "gold/joined"
 GOLD_TARGETS = "gold/targets"
-GOLD_MANIFEST = "gold/manifest"
+GOLD_STRIPS = "gold/strips"
+# Manifests of tables that held timelines lie in gold/manifest: such a lake builds its gold again.
+GOLD_MANIFEST = "gold/manifest_strips"
 
 MONTHS = ("year", "month")
 SLICES = ("ds", "th", "year", "month")
@@ -157,6 +163,17 @@ def gold_joined(trips: DataFrame, observations: DataFrame) -> DataFrame:
     return label_trips(join_weather(keyed, observations, all_trips=trips), LABEL_TH)
 
 
+def gold_stored(trips: DataFrame, observations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`gold_joined` as it is stored: labeled trips without timelines, and the strips they come from.
+
+    A trip's timelines are 26 points that many trips share; the strips have
+    each point twice at most, however many the trips.
+    """
+    base = unique_trips(complete_trips(with_trip_key(trips)).select(*JT_TRIP_COLUMNS))
+    near = within_trip_times(observations, trips)
+    return label_trips(base, LABEL_TH), weather_strips(hourly_observations(near))
+
+
 def gold_targets(
     joined: DataFrame,
     thresholds: Sequence[int] = targets.THRESHOLDS,
@@ -218,13 +235,14 @@ def shapes(spark: SparkSession) -> dict[str, DataFrame]:
     mapping = _no_rows(spark, MAPPING_COLUMNS)
     b = bronze(_no_rows(spark, TRIP_COLUMNS), _no_rows(spark, OBSERVATION_COLUMNS), mapping)
     s = silver(*b, mapping)
-    joined = gold_joined(*s)
+    joined, strips = gold_stored(*s)
     return {
         BRONZE_TRIPS: b[0],
         BRONZE_OBSERVATIONS: b[1],
         SILVER_TRIPS: s[0],
         SILVER_OBSERVATIONS: s[1],
         GOLD_JOINED: joined,
+        GOLD_STRIPS: strips.withColumn("build", F.lit("")),
         GOLD_TARGETS: gold_targets(joined),
     }
 
@@ -305,7 +323,8 @@ def key_report(spark: SparkSession, raw: RawInputs, lake: Lake) -> DataFrame:
 # input months whose trips fall into it and on those whose readings its trips can look back to. Only parts
 # whose inputs changed are joined again. Class counts are kept per part and add up. Each part stores somewhat
 # more negatives than are drawn (RESERVE), so new totals seldom touch the targets of old parts; a reader
-# keeps exactly those that the current totals draw.
+# keeps exactly those that the current totals draw. Neither table holds timelines: the strips are stored
+# beside each version of the joined trips, and a reader gets both timelines from them.
 
 RESERVE = 1.25
 COUNT_COLUMNS = targets.COUNTS
@@ -442,8 +461,8 @@ def _in_parts(parts: Sequence[Part]) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def _read_joined(spark: SparkSession, lake: Lake, places: dict[Part, str]) -> DataFrame:
-    """The stored joined trips of some parts; no other part is listed or read."""
+def _read_trips(spark: SparkSession, lake: Lake, places: dict[Part, str]) -> DataFrame:
+    """The stored trips of some parts, without timelines; no other part is listed or read."""
     schema = shapes(spark)[GOLD_JOINED].schema
     folders: dict[str, list[str]] = {}
     for part, version in sorted(places.items()):
@@ -454,6 +473,31 @@ def _read_joined(spark: SparkSession, lake: Lake, places: dict[Part, str]) -> Da
     )
 
 
+def _with_weather(
+    spark: SparkSession, lake: Lake, rows: DataFrame, builds: dict[tuple, str], by: Sequence[str]
+) -> DataFrame:
+    """Both timelines from the stored strips; ``builds`` names their version per value of the columns ``by``."""
+    named = (x for key, v in sorted(builds.items()) for x in ("/".join(map(str, key)), v))
+    build = F.try_element_at(F.create_map(*map(F.lit, named)), F.concat_ws("/", *by))
+    parts = [f"build={v}" for v in sorted(set(builds.values()))]
+    strips = files.read_table(spark, lake.path(GOLD_STRIPS), shapes(spark)[GOLD_STRIPS].schema, parts)
+    return attach_stored(rows.withColumn("build", build), strips, ["build"]).drop("build")
+
+
+def _read_joined(spark: SparkSession, lake: Lake, places: dict[Part, str]) -> DataFrame:
+    """The joined trips of some parts, with both timelines."""
+    builds = {(p.year, p.month): version for p, version in places.items()}
+    return _with_weather(spark, lake, _read_trips(spark, lake, places), builds, MONTHS)
+
+
+def read_joined(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The current joined trips of all parts; those of the lowest threshold, should a part have several builds."""
+    entries = sorted(manifest(spark, lake), key=lambda e: e.th, reverse=True)
+    if not entries:
+        raise ValueError(f"no joined trips stored in {lake.path(GOLD_JOINED)}")
+    return _read_joined(spark, lake, {e.part: e.joined for e in entries})
+
+
 def _total_shares(entries: Sequence[Entry]) -> dict[tuple[str, int], float]:
     """The share of negatives to draw per dataset and threshold, from the counts of all parts."""
     sums: dict[int, list[int]] = {}
@@ -486,9 +530,12 @@ def read_targets(
         tests = [F.col("th").isin(ths) & _in_parts(parts) for parts, ths in alike.items()]
         table = files.read_table(spark, f"{lake.path(GOLD_TARGETS)}/{version}", schema)
         frames.append(table.filter(reduce(lambda a, b: a | b, tests)))
-    return targets.drawn_rows(
+    rows = targets.drawn_rows(
         reduce(DataFrame.unionByName, frames), _total_shares(chosen), targets.GOLD_SEED
     )
+    builds = {(e.part.year, e.part.month, e.th): e.joined for e in chosen}
+    placed = _with_weather(spark, lake, rows, builds, [*MONTHS, "th"])
+    return placed.select(*targets.TARGET_COLUMNS)
 
 
 def run_gold(
@@ -541,9 +588,10 @@ def _joined_places(
     if changed:
         months = sorted(set().union(*(parts[p].readings for p in changed)))
         near = [Part(n // 12, f"{n % 12 + 1:02d}") for n in months]
-        joined = gold_joined(trips.filter(_in_parts(changed)), observations.filter(_in_parts(near)))
+        joined, strips = gold_stored(trips.filter(_in_parts(changed)), observations.filter(_in_parts(near)))
         files.reject_duplicate_columns(joined)
         version = versions.new_version()
+        files.write_table(strips, f"{lake.path(GOLD_STRIPS)}/build={version}")
         files.write_table(joined, f"{lake.path(GOLD_JOINED)}/{version}", MONTHS)
         places.update(dict.fromkeys(changed, version))
     return places
@@ -560,7 +608,7 @@ def _part_counts(
     counts = {key: e.counts for key, e in fresh.items()}
     missing = {p for p in places for th in thresholds if (p, th) not in counts}
     if missing:
-        joined = _read_joined(spark, lake, {p: places[p] for p in missing})
+        joined = _read_trips(spark, lake, {p: places[p] for p in missing})
         measures = targets.delay_measures(joined, also_keep=MONTHS)
         for r in targets.class_counts(measures, thresholds, by=MONTHS).collect():
             counts[Part(r["year"], r["month"]), r["th"]] = tuple(r[c] for c in COUNT_COLUMNS)
@@ -589,7 +637,7 @@ def _store_targets(
     for parts, ths in by_parts.items():
         places = {e.part: e.joined for e in due if e.part in parts}
         cells = {(ds, e.th): k for e in due if e.th in ths for ds, k in zip(targets.DATASETS, e.kept)}
-        joined = _read_joined(spark, lake, places)
+        joined = _read_trips(spark, lake, places)
         frames.append(targets.build_targets(joined, targets.literal_cells(cells), seed=targets.GOLD_SEED))
     if frames:
         rows = reduce(DataFrame.unionByName, frames)
@@ -604,6 +652,7 @@ def vacuum(spark: SparkSession, lake: Lake) -> list[str]:
     """
     entries = manifest(spark, lake)
     gone = versions.remove_unused(spark, lake.path(GOLD_JOINED), {e.joined for e in entries})
+    gone += versions.remove_unused(spark, lake.path(GOLD_STRIPS), {e.joined for e in entries}, "build=")
     gone += versions.remove_unused(spark, lake.path(GOLD_TARGETS), {e.targets for e in entries})
     versions.remove_former(spark, lake.path(GOLD_MANIFEST))
     return gone

@@ -59,9 +59,13 @@ def remove_former(spark: SparkSession, path: str) -> int:
     return len(former)
 
 
-def remove_unused(spark: SparkSession, path: str, used: Iterable[str]) -> list[str]:
-    """Delete the version folders below a path that are not used; returns their names."""
-    gone = [n for n in files.subfolders(spark, path) if n.startswith("version-") and n not in set(used)]
+def remove_unused(spark: SparkSession, path: str, used: Iterable[str], prefix: str = "") -> list[str]:
+    """Delete the version folders below a path that are not used; returns their names.
+
+    ``prefix`` stands before the version in the names of the folders.
+    """
+    kept = {f"{prefix}{v}" for v in used}
+    gone = [n for n in files.subfolders(spark, path) if n.startswith(f"{prefix}version-") and n not in kept]
     for name in gone:
         files.remove_folder(spark, f"{path.rstrip('/')}/{name}")
     return gone

@@ -204,3 +204,35 @@ def test_a_month_built_again_gets_a_new_sketch(spark, raw, two, tmp_path):
     assert files.table_exists(spark, path)
     stages.run_silver(spark, upto(raw, 1), lake, refresh=[YEARS[0]])
     assert not files.table_exists(spark, path)
+
+
+@pytest.mark.parametrize("limit", ["-1", "1g"])
+def test_gold_stores_no_timelines_and_reads_them(spark, raw, two, whole, tmp_path, limit):
+    """Stored rows are narrow; the strips of each build give the timelines, dealt by cells or broadcast."""
+    lake = copy(two, tmp_path)
+    name, given = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, limit)
+    try:
+        table = stages.run_gold(spark, raw, lake, [60])
+        assert rows(table.select(*KEYS, "is_pos", "C", "Wo.o_vis", "Wd.d_vis"), *KEYS) == whole
+        trips, observations = stages.run_silver(spark, raw, lake)
+        shown = ["F.trip_key", "C", "Wo", "Wd"]
+        want = rows(stages.gold_joined(trips, observations).select(*shown), "trip_key")
+        assert rows(stages.read_joined(spark, lake).select(*shown), "trip_key") == want
+    finally:
+        spark.conf.set(name, given)
+    entries = stages.manifest(spark, lake)
+    builds = {e.joined for e in entries}
+    assert len(builds) > 1
+    for folder in [*(f"{lake.path(stages.GOLD_JOINED)}/{v}" for v in builds),
+                   *(f"{lake.path(stages.GOLD_TARGETS)}/{e.targets}" for e in entries)]:
+        assert not {"Wo", "Wd"} & set(files.read_table(spark, folder).columns)
+    assert set(files.subfolders(spark, lake.path(stages.GOLD_STRIPS))) == {f"build={v}" for v in builds}
+
+
+def test_clean_up_takes_the_strips_of_former_builds(spark, raw, two, tmp_path):
+    lake = copy(two, tmp_path)
+    before = {e.joined for e in stages.manifest(spark, lake)}
+    stages.run_gold(spark, upto(raw, 2), lake, [60], refresh=YEARS[:2])
+    assert {f"build={v}" for v in before} <= set(stages.vacuum(spark, lake))
+    assert stages.read_targets(spark, lake).count() > 0
