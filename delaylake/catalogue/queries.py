@@ -484,7 +484,9 @@ def obs_points(spark, sf):
 def _timeline_rows(spark, sf, prefix):
     flown, silver = silver_tables(spark, sf)
     base = trips.unique_trips(timeline.complete_trips(trips.with_trip_key(flown)))
-    hourly = timeline.hourly_observations(silver)
+    numbers = [n for n, (_, dtype) in timeline.POINT_FIELDS.items() if dtype == "double"]
+    # A reading is rounded once, not at each of the trips that look at it.
+    hourly = timeline.hourly_observations(silver).withColumns({n: rounded(n) for n in numbers})
     with_points = timeline.attach_timeline(base, timeline.weather_strips(hourly), prefix)
     points = with_points.select(
         "trip_key", F.posexplode(timeline.ARRAY_NAMES[prefix]).alias("pos", "p")
@@ -493,10 +495,7 @@ def _timeline_rows(spark, sf, prefix):
         "trip_key",
         "pos",
         stamp(F.col(f"p.{prefix}_ts")).alias("ts"),
-        *(
-            (rounded(f"p.{prefix}_{n}") if dtype == "double" else F.col(f"p.{prefix}_{n}")).alias(n)
-            for n, (_, dtype) in timeline.POINT_FIELDS.items()
-        ),
+        *(F.col(f"p.{prefix}_{n}").alias(n) for n in timeline.POINT_FIELDS),
     )
 
 

@@ -264,3 +264,11 @@ def test_broadcast_limit_reads_sizes(spark, no_broadcast):
     for text, size in (("10MB", 10 << 20), ("7", 7), ("3k", 3 << 10), ("10485760b", 10 << 20)):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
         assert session.broadcast_limit(spark) == size
+
+
+def test_readings_are_rounded_before_the_trips_take_them(spark):
+    from delaylake.catalogue import queries
+
+    plan = queries.timeline_dest(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftOuter", 1)
+    assert "round(" not in above and "round(" in below
