@@ -170,6 +170,17 @@ def with_trip_key(trips: DataFrame) -> DataFrame:
     )
 
 
+#: Parts that the copies of one trip are dealt to at most, before they meet.
+COPY_PARTS = 16
+
+
 def unique_trips(trips: DataFrame) -> DataFrame:
-    """One row per ``trip_key``; copies collapse on the map side."""
-    return keep_smallest(trips, ["trip_key"])
+    """One row per ``trip_key``, the smallest of its copies.
+
+    The choice sorts the rows of a task. So they are dealt first: a task then
+    sorts what a shuffle partition holds, however large the splits of the files.
+    Copies go by key and task they come from, and collapse before they meet.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(COPY_PARTS))
+    dealt = trips.withColumn("_copy_part", part).repartition("trip_key", "_copy_part")
+    return keep_smallest(keep_smallest(dealt, ["trip_key", "_copy_part"]).drop("_copy_part"), ["trip_key"])

@@ -272,3 +272,14 @@ def test_readings_are_rounded_before_the_trips_take_them(spark):
     plan = queries.timeline_dest(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     above, below = plan.split("Join LeftOuter", 1)
     assert "round(" not in above and "round(" in below
+
+
+def test_copies_are_chosen_among_dealt_rows(spark):
+    """The sort of the choice never holds a whole split of the files; one row per key, the smallest."""
+    from delaylake.operators.trips import unique_trips
+
+    df = spark.sql("select concat('k', id % 3) as trip_key, 9 - id as a from range(0, 9, 1, 4) union all select null, 5L union all select null, 4L")
+    plan = unique_trips(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan.rsplit("SortAggregate", 1)[1]
+    got = sorted((r["trip_key"] or "", r["a"]) for r in unique_trips(df).collect())
+    assert got == [("", 4), ("k0", 3), ("k1", 2), ("k2", 1)]
