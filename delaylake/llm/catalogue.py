@@ -10,6 +10,7 @@ from delaylake.llm import (
     katz,
     lexical,
     licenses,
+    passages,
     personal,
     pieces,
     quality,
@@ -62,7 +63,8 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return substrings.deduplicated(_table(spark, sf, "documents"))
+    docs = _table(spark, sf, "documents")
+    return substrings.deduplicated(docs, shared=passages.shared_words(docs))
 
 
 def op8_warc(spark: SparkSession, sf: str) -> DataFrame:

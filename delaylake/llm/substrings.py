@@ -57,9 +57,10 @@ def _inverse_powers(n: int) -> np.ndarray:
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Sums of byte * base^place before each place, modulo 2^64."""
+    """Sums of byte * base^place before each place, modulo 2^64; words come as their hashes."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(tx._BYTE[data] * tx.powers(len(data)), out=out[1:])
+    values = tx._BYTE[data] if data.dtype == np.uint8 else data
+    np.cumsum(values * tx.powers(len(data)), out=out[1:])
     return out
 
 
@@ -96,7 +97,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return first, last, place, h[place]
 
 
-def _blocks(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, bytes before, data, offsets): a text over one block goes in overlapping parts."""
     if len(data) <= 2 * BLOCK:
         yield 0, 0, data, offsets
@@ -118,7 +119,7 @@ def anchor_rows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
         for batch in batches:
             ids, ths = batch.column(0), batch.column(1)
             for i, _, data, offsets in tx.slices(batch.column(2), BLOCK):
-                for row, before, part, cuts in _blocks(data, offsets, length):
+                for row, before, part, cuts in blocks(data, offsets, length):
                     first, last, place, h = anchors(part, cuts, length, gram)
                     text_of = np.searchsorted(cuts, first, "right") - 1
                     take = pa.array(i + row + text_of)
@@ -487,7 +488,7 @@ def _cut(held: DataFrame, keep_text: bool) -> DataFrame:
     return held.select("doc_id", "th", "text", "spans").mapInArrow(run, RESULT)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("th"))
 
@@ -504,9 +505,12 @@ def removed(base: DataFrame, length: int, keep_text: bool) -> DataFrame:
     return _cut(joined, keep_text)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
-    base = _keyed(docs)
+def deduplicated(docs: DataFrame, length: int = LENGTH, shared: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
+
+    ``shared`` (th, sha, n_passage_words; see ``passages``) adds n_passage_words, which removes nothing.
+    """
+    base = keyed(docs)
     # Repeated rows bring equal results.
     cut = removed(base, length, keep_text=False).drop("kept_text").distinct()
     rows = base.select(
@@ -517,12 +521,18 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "t.*", "c.n_removed", "c.n_spans", "c.kept_sha256"
     )
     gone = (F.col("k.times") > 1) & (F.col("r.n_bytes") >= length)
-    return rows.alias("r").join(known.alias("k"), F.expr("r.doc_id <=> k.doc_id and r.th = k.th")).select(
+    joined = rows.alias("r").join(known.alias("k"), F.expr("r.doc_id <=> k.doc_id and r.th = k.th"))
+    more = []
+    if shared is not None:
+        joined = joined.join(shared.alias("s"), F.expr("r.th = s.th and r.sha = s.sha"), "left")
+        more = [F.coalesce("s.n_passage_words", F.lit(0).cast("long")).alias("n_passage_words")]
+    return joined.select(
         "r.doc_id",
         "r.n_bytes",
         F.when(gone, F.col("r.n_bytes")).otherwise(F.coalesce("k.n_removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("k.n_spans", F.lit(0).cast("long"))).alias("n_spans"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("k.kept_sha256", "r.sha")).alias("kept_sha256"),
+        *more,
     )
 
 
@@ -531,7 +541,7 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Bytes of a character that was cut in two go as well.
     """
-    base = _keyed(docs)
+    base = keyed(docs)
     copies = base.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("size"))
     # Of repeated rows everything goes; no other row comes twice below.
     copies = stored(copies.where((F.col("n") > 1) & (F.col("size") >= length)).select("doc_id", "th"))

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from llm_world import SF, docs, document_list, lowered, no_docs, words  # noqa: F401
 
 import corpus_pipeline
-from delaylake.llm import decontamination, katz, licenses, pieces, quality, sharding, simhash, substrings
+from delaylake.llm import decontamination, katz, licenses, passages, pieces, quality, sharding, simhash, substrings
 from delaylake.llm import text as tx
 
 
@@ -483,6 +484,57 @@ def test_repeated_strings_go(docs, document_list, no_docs):
     assert clean.columns == docs.columns and clean.count() == len(document_list)
 
 
+def plain_passage_words(texts, length=51):
+    holders = defaultdict(set)
+    split = [re.findall(rb"[^\x20\x09-\x0D]+", t) for t in texts]
+    for row, w in enumerate(split):
+        for i in range(len(w) - length + 1):
+            holders[tuple(w[i : i + length])].add(row)
+    out = []
+    for w in split:
+        covered = set()
+        for i in range(len(w) - length + 1):
+            if len(holders[tuple(w[i : i + length])]) > 1:
+                covered |= set(range(i, i + length))
+        out.append(len(covered))
+    return out
+
+
+def passage_texts():
+    rng = np.random.default_rng(13)
+    words = lambda n: [f"{'abcdefgh'[rng.integers(8)]}{rng.integers(10**4)}" for _ in range(n)]
+    texts = []
+    for n in (50, 51, 52, 60, 140):
+        passage = words(n)
+        texts += [" ".join(words(rng.integers(0, 90)) + passage + words(rng.integers(0, 90))) for _ in range(3)]
+    inner = words(70)
+    texts += [" ".join(inner + words(9) + inner), texts[4].replace(" ", " \t\n"), texts[13], "é " * 51, "a " * 300]
+    # A fragment that several texts share whole, and a second place of it in one of them.
+    twice = words(400)
+    texts += [" ".join(twice), " ".join(twice + words(20)), " ".join(words(5) + twice + words(8) + twice[30:110])]
+    return texts
+
+
+@pytest.mark.parametrize("gram", [1, 17, 51])
+def test_passages_of_over_fifty_words_are_counted(spark, gram):
+    texts = passage_texts()
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in substrings.deduplicated(frame, shared=passages.shared_words(frame, gram=gram)).collect()}
+    want = plain_passage_words([t.encode() for t in texts])
+    assert [got[i]["n_passage_words"] for i in range(len(texts))] == want
+    assert want[:3] == [0, 0, 0] and min(want[3:6]) >= 51
+    # Below 400 bytes nothing goes, yet the passage shows.
+    assert got[3]["n_removed"] == 0
+
+
+def test_passages_of_odd_rows(spark, docs, document_list, no_docs):
+    want = Counter((d[0], n) for d, n in zip(document_list, plain_passage_words([(d[1] or "").encode() for d in document_list])))
+    got = substrings.deduplicated(docs, shared=passages.shared_words(docs))
+    assert bag(got, "doc_id", "n_passage_words") == want
+    assert bag(got.drop("n_passage_words"), "*") == bag(substrings.deduplicated(docs), "*")
+    assert passages.shared_words(no_docs).count() == 0
+
+
 def test_the_pipeline_removes_passages_of_fifty_words(spark):
     rng = np.random.default_rng(12)
     noise = lambda n: " ".join(f"{'abcdefgh'[rng.integers(8)]}{rng.integers(10**5)}" for _ in range(n))
