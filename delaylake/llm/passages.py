@@ -117,9 +117,11 @@ def shared_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     keys = marks.groupBy("key").agg(F.min("th").alias("p"), F.max("th").alias("q")).where("p <> q").select("key")
     # Written, so both sides of the join are plain exchanges and a frequent key can be split.
     met = marks.join(stored(keys), "key").withColumn("settled", F.lit(False))
-    # Of texts that equal each other, one goes on.
-    lists = met.groupBy("th").agg(
-        F.min("doc_id").alias("doc_id"), F.collect_set(F.struct("a", "m", "settled")).alias("marks")
+    # Of texts that equal each other, one goes on. Written, or all copies of a text would be dealt to the task of its th.
+    lists = stored(
+        met.groupBy("th").agg(
+            F.min("doc_id").alias("doc_id"), F.collect_set(F.struct("a", "m", "settled")).alias("marks")
+        )
     )
     held = stored(_with_text(texts, lists))
     fragments = stored(_digests(held, length, single=False))
