@@ -53,6 +53,20 @@ def test_stored_targets_hold_a_trip_once(spark):
     assert stored.count() == stored.select("trip_key").distinct().count() > 0
 
 
+def test_stored_targets_are_joined_by_the_slices_that_read_them(spark):
+    """The files hold no timelines, and a slice attaches those of its own trips only."""
+    stored = queries.stored_targets(spark, SF)
+    [path] = [p for (_, name, sf), p in queries._STORED.items() if (name, sf) == ("targets", SF)][-1:]
+    assert set(spark.read.parquet(path).columns) == {"F", "C", "trip_key", "year", "month", "members"}
+    plan = targets.target_slice(stored)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join LeftOuter", 1)
+    assert "D2-60" in below and not re.search(r"^ *\+- Filter", above, re.M)
+    lazy = targets.target_slice(queries.packed_targets(spark, SF, targets.THRESHOLDS))
+    key = ["trip_key", "is_pos", "Wo", "Wd"]
+    ours, theirs = (sorted(map(str, df.select(*key).collect())) for df in (targets.target_slice(stored), lazy))
+    assert ours == theirs
+
+
 def test_a_slice_chooses_its_trips_before_the_weather(spark):
     """No trip is multiplied by the datasets, and the slice's filter lies below the timelines' joins."""
     rows = targets.target_slice(queries.packed_targets(spark, SF))

@@ -1,9 +1,12 @@
 """Features on hand-written timelines and a small forest."""
 
 import random
+import time
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from delaylake.operators import features
 from delaylake.plans import models
@@ -127,3 +130,56 @@ def test_experiments_learn_and_skip_empty(spark):
     assert ranking[0][0] in ("o_h0_vis", "o_vis_avg") and set(scores) == {
         "auc_roc", "auc_pr", "accuracy", "recall", "precision",
     }
+
+
+def test_windows_of_a_slice_hold_the_features_of_each(spark):
+    table = targets_frame(spark, 40)
+    windows = [(0, 0), (1, 0), (0, 2), (3, 2)]
+    wide = features.slice_windows(table, "D2", 60, windows=windows).cache()
+    for o, d in windows:
+        plain, _, names = features.prepare_dataset(table, "D2", 60, origin_hours=o, dest_hours=d)
+        train, _, same_names = features.windowed_dataset(wide, features.FeatureSettings(), o, d)
+        assert same_names == names
+        ours = [(r["trip_key"], *r["weather"]) for r in train.orderBy("trip_key").collect()]
+        assert ours == rows(plain.select("trip_key", *names), "trip_key")
+
+
+def test_vectors_equal_those_of_the_assembler(spark):
+    train, test, names = features.prepare_dataset(targets_frame(spark), "D2", 60, origin_hours=1)
+    indexer, assembler, _ = models.forest_pipeline(names).getStages()
+    known = indexer.fit(train.filter("carrier_id <> 3"))
+    ours = models.assembled(test, known, assembler, names)
+    theirs = assembler.transform(known.transform(test)).select("label", "features")
+    assert ours.schema["features"].metadata == theirs.schema["features"].metadata
+    vectors = [sorted((r["label"], *r["features"].toArray()) for r in df.collect()) for df in (ours, theirs)]
+    assert vectors[0] == vectors[1]
+    with pytest.raises(Exception, match="null or NaN"):
+        odd = test.withColumn("o_h0_vis", F.lit(float("nan")))
+        models.assembled(odd, known, assembler, names).collect()
+
+
+def test_features_of_a_slice_are_computed_once(spark, monkeypatch):
+    built, kept = [], set()
+    several, write = features.several_windows, models.files.write_table
+    monkeypatch.setattr(features, "several_windows", lambda *a: built.append(a[1]) or several(*a))
+    monkeypatch.setattr(models.files, "write_table", lambda df, path, *a: kept.add(path) or write(df, path, *a))
+    grid = [models.Experiment("D2", 60, o, d, f"{o}{d}") for o, d in ((0, 0), (1, 0), (0, 1), (1, 1))]
+    forest = models.ForestSettings(trees=2, depth=2)
+    got = models.run_experiments(spark, targets_frame(spark, 200), grid, forest=forest, at_once=2)
+    assert [r["status"] for r in got.collect()] == ["ok"] * 4
+    assert built == [[(0, 0), (1, 0), (0, 1), (1, 1)]]
+    assert len(kept) == 1 and not models.files.table_exists(spark, kept.pop())
+
+
+def test_room_is_shared_and_what_exceeds_it_goes_alone():
+    room, most = models.Room(10), []
+
+    def hold(n):
+        with room.taken(n):
+            most.append((room.held, n))
+            time.sleep(0.02)
+
+    with ThreadPool(6) as pool:
+        pool.map(hold, [4, 4, 4, 25, 4, 4, 25, 10], chunksize=1)
+    assert len(most) == 8 and room.held == 0
+    assert all(held <= 10 or held == n == 25 for held, n in most)
